@@ -1,0 +1,359 @@
+"""The registered queries: each takes (spark, folder of the tables) and returns a DataFrame."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pairstats.functions.keys import pair_key, period_bucket
+from pairstats.operators import clean, counts, scoring, select
+from pairstats.plans import collocations as plans
+from pairstats.sinks.stage import materialize, read_stage, stage_path, write_stage
+from pairstats.sinks.text import write_scored_text, write_top_k_report
+from pairstats.sources.ngrams import (
+    corpus_of,
+    read_corpus,
+    read_ngrams_sequence,
+    read_ngrams_table,
+    read_ngrams_text,
+)
+from pairstats.sources.scored import read_scored_text
+from pairstats.sources.stop_words import stop_words
+from pairstats.sources.tables import (
+    adjacent_pairs,
+    document_lines,
+    document_ngrams,
+    document_words,
+    facts,
+    hebrew_ngrams,
+    product_ngrams,
+    table,
+)
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+DIGITS = 6  # scores are compared rounded, because sums of doubles depend on their order
+TIE_DIGITS = 9  # equal scores may differ in their last bits
+
+
+def query(function: Query) -> Query:
+    QUERIES[function.__name__] = function
+    return function
+
+
+def rounded(name: str) -> Column:
+    # Adding 0 turns -0.0 into 0.0.
+    return (F.round(name, DIGITS) + F.lit(0.0)).alias(name)
+
+
+def show_scores(df: DataFrame) -> DataFrame:
+    scores = {"pmi", "npmi", "npmi_sum", "rel_npmi"}
+    return df.select(*[rounded(c) if c in scores else F.col(c) for c in df.columns])
+
+
+def product_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pair counts of the product names."""
+    return counts.pair_counts(clean.clean_pairs(product_ngrams(spark, sf_dir), "english"))
+
+
+def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pair counts of the documents, written so that they are counted once."""
+    pairs = clean.clean_pairs(document_ngrams(spark, sf_dir), "english")
+    return materialize(counts.pair_counts(pairs), "pair_counts")
+
+
+def product_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.association_scores(
+        plans.association_counts(product_ngrams(spark, sf_dir), "english")
+    )
+
+
+def document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.association_scores(
+        plans.association_counts(document_ngrams(spark, sf_dir), "english")
+    )
+
+
+# --- sources -------------------------------------------------------------------------------
+
+
+@query
+def parse_ngram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines, some of them malformed, split and parsed."""
+    parsed = clean.parse_ngram_lines(document_lines(spark, sf_dir))
+    return clean.split_words(parsed).select(
+        "line", "complete", "w1", "w2", "year", "match_count", "page_count", "volume_count"
+    )
+
+
+@query
+def ngrams_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as text files, read back, cleaned and counted."""
+    path = stage_path(spark, "lines")
+    document_lines(spark, sf_dir).select("line").write.text(path)
+    return counts.pair_counts(clean.clean_pairs(read_ngrams_text(spark, path), "english"))
+
+
+@query
+def ngrams_sequence_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as sequence files of (line number, line), read back, cleaned and counted."""
+    path = stage_path(spark, "lines")
+    # Keys above 32 bits, because smaller Python integers would be written as IntWritable.
+    number = F.monotonically_increasing_id() + F.lit(2**32)
+    numbered = document_lines(spark, sf_dir).select(number, "line")
+    numbered.rdd.map(tuple).saveAsNewAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        keyClass="org.apache.hadoop.io.LongWritable",
+        valueClass="org.apache.hadoop.io.Text",
+    )
+    return counts.pair_counts(clean.clean_pairs(read_ngrams_sequence(spark, path), "english"))
+
+
+@query
+def ngrams_table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed facts in Parquet, of which only the columns in use are read."""
+    path = stage_path(spark, "ngrams")
+    product_ngrams(spark, sf_dir).write.parquet(path)
+    return counts.pair_counts(clean.clean_pairs(read_ngrams_table(spark, path), "english"))
+
+
+@query
+def corpus_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pair counts of the English documents alone, by way of one folder for each language."""
+    paths = {}
+    for language in ("english", "hebrew"):
+        paths[language] = stage_path(spark, language)
+        chosen = corpus_of(document_words(spark, sf_dir), language)
+        facts(adjacent_pairs(chosen)).write.parquet(paths[language])
+    corpus = read_corpus(spark, "english", paths, "parquet")
+    return counts.pair_counts(clean.clean_pairs(corpus, "english"))
+
+
+# --- cleaning ------------------------------------------------------------------------------
+
+
+@query
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept and lines rejected, by the first check they fail."""
+    lines = clean.parse_ngram_lines(document_lines(spark, sf_dir))
+    return clean.reject_report(lines, "english")
+
+
+@query
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected lines themselves, with their reasons."""
+    lines = clean.parse_ngram_lines(document_lines(spark, sf_dir))
+    _, rejects = clean.split_valid(lines, "english")
+    return rejects.select("line", "reason")
+
+
+@query
+def clean_pairs_english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_pairs(document_ngrams(spark, sf_dir), "english")
+
+
+@query
+def clean_pairs_fold_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = clean.clean_pairs(document_ngrams(spark, sf_dir), "english", fold_case=True)
+    return counts.pair_counts(pairs)
+
+
+@query
+def clean_pairs_hebrew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spelled in Hebrew letters, under the Hebrew rules."""
+    return clean.clean_pairs(hebrew_ngrams(spark, sf_dir), "hebrew")
+
+
+@query
+def stop_word_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of letters only, stop words dropped by anti-join instead of a literal list."""
+    letters = clean.clean_pairs(document_ngrams(spark, sf_dir), "english", stop_words=[])
+    return clean.drop_stop_pairs(letters, stop_words(spark, "english"), "english")
+
+
+@query
+def stop_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each stop word of the list occurs in the documents."""
+    words = document_words(spark, sf_dir).select(F.explode("words").alias("w"))
+    seen = words.groupBy(F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return stop_words(spark, "english").join(seen, "word")
+
+
+@query
+def period_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts by period, for two widths."""
+    ngrams = document_ngrams(spark, sf_dir)
+    return ngrams.groupBy(
+        period_bucket(F.col("year")).alias("decade"),
+        period_bucket(F.col("year"), 25).alias("quarter"),
+    ).agg(F.sum("match_count").alias("n"))
+
+
+@query
+def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders, chosen by their keys."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return clean.sample_by_hash(orders, ["o_orderkey", "o_custkey"], 0.5)
+
+
+@query
+def row_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the facts at random; rows are not the same in another engine."""
+    return clean.sample_rows(document_ngrams(spark, sf_dir), 0.5, seed=7)
+
+
+# --- counts --------------------------------------------------------------------------------
+
+
+@query
+def pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.pair_counts(clean.clean_pairs(document_ngrams(spark, sf_dir), "english"))
+
+
+@query
+def left_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.left_counts(document_pairs(spark, sf_dir))
+
+
+@query
+def right_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.right_counts(document_pairs(spark, sf_dir))
+
+
+@query
+def period_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.period_totals(document_pairs(spark, sf_dir))
+
+
+@query
+def count_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_levels(document_pairs(spark, sf_dir))
+
+
+@query
+def with_left_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.with_left_count(document_pairs(spark, sf_dir))
+
+
+@query
+def with_right_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.with_right_count(document_pairs(spark, sf_dir))
+
+
+@query
+def with_period_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.with_period_total(document_pairs(spark, sf_dir))
+
+
+@query
+def association_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.association_counts(document_ngrams(spark, sf_dir), "english")
+
+
+@query
+def association_counts_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.association_counts(product_ngrams(spark, sf_dir), "english", width=5)
+
+
+@query
+def reverse_pair_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs with their words changed over, and the text key of the new order."""
+    key = pair_key(F.col("period"), F.col("w1"), F.col("w2")).alias("pair_key")
+    return counts.reverse_pairs(product_pairs(spark, sf_dir)).withColumn("pair_key", key)
+
+
+# --- scores --------------------------------------------------------------------------------
+
+
+@query
+def pmi_npmi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = plans.association_counts(product_ngrams(spark, sf_dir), "english")
+    return show_scores(scoring.with_npmi(scoring.with_pmi(counted)))
+
+
+@query
+def npmi_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = plans.association_counts(document_ngrams(spark, sf_dir), "english")
+    return show_scores(scoring.npmi_totals(scoring.with_npmi(counted)))
+
+
+@query
+def relative_npmi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return show_scores(product_scores(spark, sf_dir))
+
+
+@query
+def association_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return show_scores(document_scores(spark, sf_dir))
+
+
+# --- choice and order ----------------------------------------------------------------------
+
+
+@query
+def select_either_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product names, whose sums are negative, so that low scores pass by their share."""
+    return show_scores(select.either_threshold(product_scores(spark, sf_dir), 0.05, 0.5))
+
+
+@query
+def collocations_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ngrams = document_ngrams(spark, sf_dir)
+    return show_scores(plans.extract_collocations(ngrams, "english", 0.7, 0.3))
+
+
+@query
+def collocations_hebrew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ngrams = hebrew_ngrams(spark, sf_dir)
+    return show_scores(plans.extract_collocations(ngrams, "hebrew", 0.7, 0.3))
+
+
+@query
+def one_per_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ngrams = document_ngrams(spark, sf_dir)
+    return show_scores(
+        plans.extract_collocations(
+            ngrams, "english", 0.7, 0.3, ties="one_per_score", digits=TIE_DIGITS
+        )
+    )
+
+
+@query
+def top_k_per_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = select.top_k(document_scores(spark, sf_dir), 10, TIE_DIGITS)
+    return show_scores(best.select("period", "rank", "w1", "w2", "npmi"))
+
+
+@query
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ngrams = document_ngrams(spark, sf_dir)
+    return plans.stage_counts(ngrams, "english", 0.7, 0.3, digits=TIE_DIGITS)
+
+
+# --- sinks ---------------------------------------------------------------------------------
+
+
+@query
+def stage_parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "pairs")
+    write_stage(document_pairs(spark, sf_dir), path)
+    return read_stage(spark, path)
+
+
+@query
+def scored_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "scores")
+    write_scored_text(document_scores(spark, sf_dir), path, ["npmi", "rel_npmi"])
+    values = {"npmi": "double", "rel_npmi": "double"}
+    return show_scores(read_scored_text(spark, path, values))
+
+
+@query
+def top_k_report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "report")
+    write_top_k_report(document_scores(spark, sf_dir), path, 10, TIE_DIGITS)
+    return show_scores(read_scored_text(spark, path))

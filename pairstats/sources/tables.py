@@ -1,0 +1,96 @@
+"""2-gram facts made from ordinary tables: text documents, and two-word product names."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table that lies in one file, which one task may read whole."""
+    if len(df.inputFiles()) > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, words): each document's whole text, cut at blanks, tabs and line ends."""
+    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    words = F.array_remove(F.split("text", "[ \t\r\n]+"), "")
+    return documents.select("doc_id", "lang", words.alias("words"))
+
+
+def adjacent_pairs(words: DataFrame) -> DataFrame:
+    """(doc_id, w1, w2): each word with the next one of its document."""
+    n = F.greatest(F.size("words") - 1, F.lit(0))
+    first, second = F.slice("words", F.lit(1), n), F.slice("words", F.lit(2), n)
+    pairs = F.inline(F.arrays_zip(first.alias("w1"), second.alias("w2"))).alias("w1", "w2")
+    return words.select("doc_id", pairs)
+
+
+def facts(pairs: DataFrame) -> DataFrame:
+    """One occurrence of each pair, dated by document id."""
+    one = F.lit(1).cast("bigint")
+    return pairs.select(
+        F.concat_ws(" ", "w1", "w2").alias("ngram"),
+        (F.lit(1900) + F.col("doc_id") % 100).cast("int").alias("year"),
+        one.alias("match_count"),
+        one.alias("page_count"),
+        one.alias("volume_count"),
+    )
+
+
+def document_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every adjacent word pair of every document."""
+    return facts(adjacent_pairs(document_words(spark, sf_dir)))
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same facts as raw lines (column ``line``), in all the shapes a corpus may hold.
+
+    The last digit of a document's id decides how its lines look: good ones, and each kind of
+    malformed one.
+    """
+    pairs = adjacent_pairs(document_words(spark, sf_dir))
+    digit = F.col("doc_id") % 10
+    year = (F.lit(1900) + F.col("doc_id") % 100).cast("string")
+    ngram = (
+        F.when(digit == 1, F.col("w1"))
+        .when(digit == 2, F.concat_ws(" ", "w1", "w2", "w1"))
+        .when(digit == 3, F.concat_ws("  ", "w1", "w2"))
+        .when(digit == 4, F.concat_ws(" ", "w1", "w2", F.lit("")))
+        .otherwise(F.concat_ws(" ", "w1", "w2"))
+    )
+    year = F.when(digit == 5, F.concat(year, F.lit("x"))).otherwise(year)
+    count = F.when(digit == 6, "0").otherwise("3")
+    rest = F.when(digit == 7, "\t").otherwise("2\t1")
+    return pairs.select(F.concat_ws("\t", ngram, year, count, rest).alias("line"))
+
+
+def hebrew_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' facts with small Latin letters spelled in Hebrew ones; others stay."""
+    latin = "".join(chr(ord("a") + i) for i in range(26))
+    hebrew = "".join(chr(0x05D0 + i) for i in range(26))
+    ngrams = document_ngrams(spark, sf_dir)
+    return ngrams.withColumn("ngram", F.translate("ngram", latin, hebrew))
+
+
+def product_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-word product names by order year, counted over the ordered items."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    sold = items.join(orders, items.l_orderkey == orders.o_orderkey).join(
+        parts, items.l_partkey == parts.p_partkey
+    )
+    return sold.groupBy(
+        F.col("p_name").alias("ngram"), F.year("o_orderdate").alias("year")
+    ).agg(
+        F.count(F.lit(1)).alias("match_count"),
+        F.countDistinct("o_orderkey").alias("page_count"),
+        F.countDistinct("o_custkey").alias("volume_count"),
+    )

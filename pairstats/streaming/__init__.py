@@ -1,0 +1 @@
+"""Streaming: none. Every input of this library is a bounded set of files."""
