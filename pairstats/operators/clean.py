@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from pairstats.functions.keys import nth_field, period_bucket
 from pairstats.functions.words import (
     check_language,
-    is_letters,
-    is_stop_word,
+    first_word,
+    has_stop_word,
+    is_two_letter_words,
+    is_two_words,
     lookup_form,
+    second_word,
     stop_word_list,
 )
 
-REASONS = ("few_fields", "not_two_words", "stop_word", "non_letter", "bad_number")
-
 
 def _integer(text: Column, kind: str) -> Column:
     """``text`` as an integer; NULL unless it is digits with at most a sign (no blanks)."""
@@ -27,13 +28,14 @@ def _integer(text: Column, kind: str) -> Column:
 def parse_ngram_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Split ``w1 w2 TAB year TAB count TAB ...`` into typed columns, next to the line itself.
 
-    Trailing empty fields do not count as fields, so trailing TABs are cut first. ``complete``
-    says whether four fields are left. A number that does not parse is NULL.
+    ``complete`` says whether there are four fields, empty ones at the end not counted. A number
+    that does not parse is NULL.
     """
-    text = F.rtrim(F.col(line), F.lit("\t"))
+    text = F.col(line)
+    trimmed = F.rtrim(text, F.lit("\t"))
     return lines.select(
-        F.col(line).alias("line"),
-        (text != F.substring_index(text, "\t", 3)).alias("complete"),
+        text.alias("line"),
+        (trimmed != F.substring_index(trimmed, "\t", 3)).alias("complete"),
         nth_field(text, "\t", 1).alias("ngram"),
         _integer(nth_field(text, "\t", 2), "int").alias("year"),
         _integer(nth_field(text, "\t", 3), "bigint").alias("match_count"),
@@ -43,64 +45,77 @@ def parse_ngram_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def split_words(ngrams: DataFrame) -> DataFrame:
-    """Add ``w1`` and ``w2``; both NULL unless the 2-gram is two words with one blank between.
+    """Add ``w1`` and ``w2``; both NULL unless the 2-gram is two words."""
+    ngram = F.col("ngram")
+    two = is_two_words(ngram)
+    return ngrams.withColumns(
+        {"w1": F.when(two, first_word(ngram)), "w2": F.when(two, second_word(ngram))}
+    )
 
-    Blanks after the second word are ignored; a blank in front or a double blank is an error.
-    """
-    text = F.rtrim(F.col("ngram"), F.lit(" "))
-    w1, w2 = F.substring_index(text, " ", 1), F.substring_index(text, " ", -1)
-    two = (w1 != "") & (F.concat_ws(" ", w1, w2) == text)
-    return ngrams.withColumns({"w1": F.when(two, w1), "w2": F.when(two, w2)})
+
+def _words(language: str, stop_words: Iterable[str] | None) -> list[str]:
+    check_language(language)
+    return stop_word_list(language) if stop_words is None else list(stop_words)
+
+
+def _is_complete(ngrams: DataFrame) -> Column:
+    return F.col("complete") if "complete" in ngrams.columns else F.lit(True)
 
 
-def with_reject_reason(
+def _is_number() -> Column:
+    return F.col("year").isNotNull() & F.coalesce(F.col("match_count") > 0, F.lit(False))
+
+
+def is_valid(
     ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
-) -> DataFrame:
-    """Add ``w1``, ``w2`` and ``reason``: the first check a row fails, NULL for a good row.
+) -> Column:
+    """True for a row without a reject reason.
 
-    ``ngrams`` holds ngram, year and match_count, and ``complete`` if it came from text lines.
+    Catalyst moves this filter below the projection that parses a line, so every mention of a
+    column is worked out again. Hence the cheap test that fails most bad rows comes first, and
+    words are cut out only to look them up. The order of the tests does not change the outcome.
     """
-    words = stop_word_list(language) if stop_words is None else list(stop_words)
-    w1, w2 = F.col("w1"), F.col("w2")
-    check_language(language)
-    checks = {
-        "not_two_words": w1.isNull(),
-        "non_letter": ~(is_letters(w1, language) & is_letters(w2, language)),
-        "bad_number": F.col("year").isNull()
-        | F.col("match_count").isNull()
-        | (F.col("match_count") <= 0),
-    }
-    if words:
-        checks["stop_word"] = is_stop_word(w1, language, words) | is_stop_word(w2, language, words)
-    if "complete" in ngrams.columns:
-        checks["few_fields"] = ~F.col("complete")
-    reason = F
-    for name in REASONS:
-        if name in checks:
-            reason = reason.when(checks[name], F.lit(name))
-    return split_words(ngrams).withColumn("reason", reason)
+    ngram = F.col("ngram")
+    return (
+        is_two_letter_words(ngram, language)
+        & ~has_stop_word(language, _words(language, stop_words))
+        & _is_complete(ngrams)
+        & _is_number()
+    )
 
 
-def split_valid(
+def reject_reason(
     ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """The good rows, and the rejected rows with their ``reason``."""
-    checked = with_reject_reason(ngrams, language, stop_words)
+) -> Column:
+    """The first check a row fails, NULL for a good row."""
+    ngram, words = F.col("ngram"), _words(language, stop_words)
     return (
-        checked.where(F.col("reason").isNull()).drop("reason"),
-        checked.where(F.col("reason").isNotNull()).drop("w1", "w2"),
+        F.when(~_is_complete(ngrams), "few_fields")
+        .when(~is_two_words(ngram), "not_two_words")
+        .when(has_stop_word(language, words), "stop_word")
+        .when(~is_two_letter_words(ngram, language), "non_letter")
+        .when(~_is_number(), "bad_number")
     )
 
 
+def split_valid(
+    ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The good rows, and the rejected rows with their ``reason``.
+
+    ``ngrams`` holds ngram, year and match_count, and ``complete`` if it came from text lines.
+    """
+    valid = ngrams.where(is_valid(ngrams, language, stop_words))
+    reason = reject_reason(ngrams, language, stop_words)
+    return valid, ngrams.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def reject_report(
     ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
 ) -> DataFrame:
     """Rows per outcome: each reject reason, and ``kept``."""
-    return (
-        with_reject_reason(ngrams, language, stop_words)
-        .groupBy(F.coalesce("reason", F.lit("kept")).alias("reason"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    outcome = F.coalesce(reject_reason(ngrams, language, stop_words), F.lit("kept"))
+    return ngrams.groupBy(outcome.alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def clean_pairs(
@@ -111,14 +126,12 @@ def clean_pairs(
     stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """Good rows as (period, w1, w2, match_count). Case is kept unless ``fold_case`` is set."""
-    valid, _ = split_valid(ngrams, language, stop_words)
-    word = F.lower if fold_case else F.col
-    return valid.select(
-        period_bucket(F.col("year"), width).alias("period"),
-        word("w1").alias("w1"),
-        word("w2").alias("w2"),
-        "match_count",
-    )
+    valid = ngrams.where(is_valid(ngrams, language, stop_words))
+    w1, w2 = first_word(F.col("ngram")), second_word(F.col("ngram"))
+    if fold_case:
+        w1, w2 = F.lower(w1), F.lower(w2)
+    period = period_bucket(F.col("year"), width)
+    return valid.select(period.alias("period"), w1.alias("w1"), w2.alias("w2"), "match_count")
 
 
 def drop_stop_pairs(pairs: DataFrame, stop_words: DataFrame, language: str) -> DataFrame:
