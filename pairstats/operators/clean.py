@@ -62,14 +62,10 @@ def _is_complete(ngrams: DataFrame) -> Column:
     return F.col("complete") if "complete" in ngrams.columns else F.lit(True)
 
 
-def _is_number() -> Column:
-    return F.col("year").isNotNull() & F.coalesce(F.col("match_count") > 0, F.lit(False))
-
-
 def is_valid(
     ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
 ) -> Column:
-    """True for a row without a reject reason.
+    """True for a row without a reject reason, for use in a filter (it may be NULL).
 
     Catalyst moves this filter below the projection that parses a line, so every mention of a
     column is worked out again. Hence the cheap test that fails most bad rows comes first, and
@@ -80,7 +76,8 @@ def is_valid(
         is_two_letter_words(ngram, language)
         & ~has_stop_word(language, _words(language, stop_words))
         & _is_complete(ngrams)
-        & _is_number()
+        & F.col("year").isNotNull()
+        & (F.col("match_count") > 0)
     )
 
 
@@ -89,12 +86,13 @@ def reject_reason(
 ) -> Column:
     """The first check a row fails, NULL for a good row."""
     ngram, words = F.col("ngram"), _words(language, stop_words)
+    counted = F.coalesce(F.col("match_count") > 0, F.lit(False))
     return (
         F.when(~_is_complete(ngrams), "few_fields")
         .when(~is_two_words(ngram), "not_two_words")
         .when(has_stop_word(language, words), "stop_word")
         .when(~is_two_letter_words(ngram, language), "non_letter")
-        .when(~_is_number(), "bad_number")
+        .when(F.col("year").isNull() | ~counted, "bad_number")
     )
 
 
