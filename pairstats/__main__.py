@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from pairstats.functions.words import LANGUAGES
-from pairstats.operators.clean import sample_rows
 from pairstats.plans.collocations import TIES, extract_collocations
 from pairstats.sinks.text import write_scored_text, write_top_k_report
 from pairstats.sources.ngrams import READERS
@@ -37,12 +36,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName("pairstats").getOrCreate()
-    ngrams = READERS[args.source](spark, args.input)
-    if args.sample is not None:
-        ngrams = sample_rows(ngrams, args.sample, args.seed)
-    words = None
-    if args.stop_words:
-        words = [row.word for row in stop_words(spark, args.language, args.stop_words).collect()]
+    ngrams = READERS[args.source](spark, args.input, args.sample, args.seed)
+    words = stop_words(spark, args.language, args.stop_words) if args.stop_words else None
     found = extract_collocations(
         ngrams,
         args.language,

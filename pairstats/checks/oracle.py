@@ -175,7 +175,7 @@ def statements() -> dict[str, str]:
             FROM parsed""",
         "ngrams_text_round_trip": line_pairs,
         "ngrams_sequence_round_trip": line_pairs,
-        "ngrams_table_round_trip": f"{products} SELECT period, w1, w2, c12 FROM pairs",
+        "ngrams_table_round_trip": f"{doc_pairs} SELECT period, w1, w2, c12 FROM pairs",
         "corpus_by_language": f"""{_with(
             stop, DOC_PAIRS, DOC_FACTS,
             LETTERS.replace("FROM facts", "FROM (SELECT * FROM facts WHERE lang = 'en')"),

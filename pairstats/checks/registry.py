@@ -117,7 +117,7 @@ def ngrams_sequence_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ngrams_table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed facts in Parquet, of which only the columns in use are read."""
     path = stage_path(spark, "ngrams")
-    product_ngrams(spark, sf_dir).write.parquet(path)
+    document_ngrams(spark, sf_dir).write.parquet(path)
     return counts.pair_counts(clean.clean_pairs(read_ngrams_table(spark, path), "english"))
 
 

@@ -121,9 +121,15 @@ def clean_pairs(
     language: str,
     width: int = 10,
     fold_case: bool = False,
-    stop_words: Iterable[str] | None = None,
+    stop_words: Iterable[str] | DataFrame | None = None,
 ) -> DataFrame:
-    """Good rows as (period, w1, w2, match_count). Case is kept unless ``fold_case`` is set."""
+    """Good rows as (period, w1, w2, match_count). Case is kept unless ``fold_case`` is set.
+
+    Stop words given as a table (column ``word``) are dropped by ``drop_stop_pairs``.
+    """
+    if isinstance(stop_words, DataFrame):
+        pairs = clean_pairs(ngrams, language, width, fold_case, [])
+        return drop_stop_pairs(pairs, stop_words, language)
     valid = ngrams.where(is_valid(ngrams, language, stop_words))
     w1, w2 = first_word(F.col("ngram")), second_word(F.col("ngram"))
     if fold_case:

@@ -49,6 +49,10 @@ def count_levels(counts: DataFrame) -> DataFrame:
     return _grouping_sets(counts, [PAIR, ("period", "w1"), ("period", "w2"), ("period",)])
 
 
+# The functions below read ``counts`` twice, for the totals and for the join: give them a written
+# table if it is costly to make.
+
+
 def with_left_count(counts: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Attach ``c1``. ``totals`` is ``left_counts`` of the same pairs, if already written."""
     if totals is None:

@@ -27,18 +27,25 @@ def association_counts(
     language: str,
     width: int = 10,
     fold_case: bool = False,
-    stop_words: Iterable[str] | None = None,
+    stop_words: Iterable[str] | DataFrame | None = None,
 ) -> DataFrame:
     """Clean and count: (period, w1, w2, c12, c1, c2, n)."""
     pairs = clean_pairs(ngrams, language, width, fold_case, stop_words)
     return with_all_counts(materialize(pair_counts(pairs), "pair_counts"))
 
 
-def association_scores(counts: DataFrame) -> DataFrame:
-    """Score counted pairs: adds ``npmi`` and ``rel_npmi`` (and ``n`` where it is missing)."""
+def association_scores(counts: DataFrame, keep_counts: bool = True) -> DataFrame:
+    """Score counted pairs: adds ``npmi`` and ``rel_npmi`` (and ``n`` where it is missing).
+
+    The scores are written, because each is needed for its period's sum and again after it.
+    Without ``keep_counts`` the counts are not written along.
+    """
     if "n" not in counts.columns:
         counts = with_period_total(counts)
-    return with_relative_npmi(materialize(with_npmi(counts), "scores"))
+    scores = with_npmi(counts)
+    if not keep_counts:
+        scores = scores.select("period", "w1", "w2", "npmi")
+    return with_relative_npmi(materialize(scores, "scores"))
 
 
 def select_collocations(
@@ -73,12 +80,12 @@ def extract_collocations(
     ties: str = "keep",
     keep_scores: bool = False,
     fold_case: bool = False,
-    stop_words: Iterable[str] | None = None,
+    stop_words: Iterable[str] | DataFrame | None = None,
     digits: int | None = None,
 ) -> DataFrame:
     """The whole run: clean, count, score, choose and order."""
     counts = association_counts(ngrams, language, width, fold_case, stop_words)
-    scores = association_scores(counts)
+    scores = association_scores(counts, keep_scores)
     return select_collocations(scores, min_npmi, rel_min_npmi, ties, keep_scores, digits)
 
 
@@ -97,7 +104,7 @@ def stage_counts(
     """
     pairs = clean_pairs(ngrams, language, width, False, stop_words)
     pairs = materialize(pair_counts(pairs), "pair_counts")
-    scores = association_scores(with_all_counts(pairs))
+    scores = association_scores(with_all_counts(pairs), keep_counts=False)
     chosen = either_threshold(scores, min_npmi, rel_min_npmi)
     report = materialize(reject_report(ngrams, language, stop_words), "reject_report")
 

@@ -28,8 +28,13 @@ def stage_root(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{stage_root(spark).rstrip('/')}/pairstats/{uuid.uuid4().hex}/{name}"
+    """A new path under the shared folder, in a folder of the application's own.
+
+    Nothing is deleted here: the caller's result still reads from it. Remove the application's
+    folder when its results are no longer needed, as with checkpoint files.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{stage_root(spark).rstrip('/')}/pairstats/{application}/{uuid.uuid4().hex}/{name}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -8,34 +8,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairstats.functions.words import check_language
-from pairstats.operators.clean import parse_ngram_lines
+from pairstats.operators.clean import parse_ngram_lines, sample_rows
 
 NGRAM_SCHEMA = "ngram string, year int, match_count bigint, page_count bigint, volume_count bigint"
 
 
-def read_ngrams_text(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``w1 w2 TAB year TAB count TAB ...``, parsed; see ``parse_ngram_lines``."""
-    return parse_ngram_lines(spark.read.text(path).withColumnRenamed("value", "line"))
+def _sampled(df: DataFrame, fraction: float | None, seed: int | None) -> DataFrame:
+    """The rows to use; taken before parsing, which would otherwise be done for all of them."""
+    return df if fraction is None else sample_rows(df, fraction, seed)
 
 
-def read_ngrams_sequence(spark: SparkSession, path: str) -> DataFrame:
+def read_ngrams_text(
+    spark: SparkSession, path: str, fraction: float | None = None, seed: int | None = None
+) -> DataFrame:
+    """Lines ``w1 w2 TAB year TAB count TAB ...``, parsed; see ``parse_ngram_lines``.
+
+    ``fraction`` takes a random share of the lines, here as in the other readers.
+    """
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    return parse_ngram_lines(_sampled(lines, fraction, seed))
+
+
+def read_ngrams_sequence(
+    spark: SparkSession, path: str, fraction: float | None = None, seed: int | None = None
+) -> DataFrame:
     """The same lines as the values of sequence files ``<LongWritable, Text>``.
 
     Spark SQL has no sequence file format, so the lines pass once through Python workers, in
     batches. For repeated runs write the result to Parquet and use ``read_ngrams_table``. A
     compressed corpus needs its codec on the class path.
     """
-    lines = spark.sparkContext.sequenceFile(
+    records = spark.sparkContext.sequenceFile(
         path,
         keyClass="org.apache.hadoop.io.LongWritable",
         valueClass="org.apache.hadoop.io.Text",
-    ).map(lambda record: (record[1],))
-    return parse_ngram_lines(spark.createDataFrame(lines, "line string", verifySchema=False))
+    )
+    values = records.map(lambda record: (record[1],))
+    lines = spark.createDataFrame(values, "line string", verifySchema=False)
+    return parse_ngram_lines(_sampled(lines, fraction, seed))
 
 
-def read_ngrams_table(spark: SparkSession, path: str) -> DataFrame:
+def read_ngrams_table(
+    spark: SparkSession, path: str, fraction: float | None = None, seed: int | None = None
+) -> DataFrame:
     """Typed facts in Parquet. The columns that no count uses are never read."""
-    return spark.read.schema(NGRAM_SCHEMA).parquet(path)
+    return _sampled(spark.read.schema(NGRAM_SCHEMA).parquet(path), fraction, seed)
 
 
 READERS = {
@@ -46,10 +63,15 @@ READERS = {
 
 
 def read_corpus(
-    spark: SparkSession, language: str, paths: Mapping[str, str], source: str = "text"
+    spark: SparkSession,
+    language: str,
+    paths: Mapping[str, str],
+    source: str = "text",
+    fraction: float | None = None,
+    seed: int | None = None,
 ) -> DataFrame:
     """The facts of one language out of a map from language to path."""
-    return READERS[source](spark, paths[check_language(language)])
+    return READERS[source](spark, paths[check_language(language)], fraction, seed)
 
 
 def corpus_of(documents: DataFrame, language: str) -> DataFrame:

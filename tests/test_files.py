@@ -137,6 +137,16 @@ def test_all_readers_give_the_same_facts(spark, tmp_path):
     assert len(want) == len(kept_lines())
 
 
+def test_sample_while_reading(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    rows = spark.range(4000).selectExpr("concat('new york\t1990\t', id + 1, '\t1\t1') AS value")
+    rows.write.text(path)
+    half = sources.read_ngrams_text(spark, path, 0.5, seed=5)
+    assert 1700 < half.count() < 2300
+    plan = half.where("year = 1990")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Project") < plan.index("Sample") < plan.index("Relation")
+
+
 def test_quote_is_a_plain_character(spark, tmp_path):
     path = tmp_path / "lines"
     path.mkdir()
