@@ -78,14 +78,10 @@ parsed AS (
   SELECT line, len(f) >= 4 AS complete,
          CASE WHEN len(t) = 2 AND t[1] <> '' AND t[2] <> '' THEN t[1] END AS w1,
          CASE WHEN len(t) = 2 AND t[1] <> '' AND t[2] <> '' THEN t[2] END AS w2,
-         CASE WHEN regexp_full_match(f[2], '[+-]?[0-9]+') THEN try_cast(f[2] AS INTEGER) END
-           AS year,
-         CASE WHEN regexp_full_match(f[3], '[+-]?[0-9]+') THEN try_cast(f[3] AS BIGINT) END
-           AS match_count,
-         CASE WHEN regexp_full_match(f[4], '[+-]?[0-9]+') THEN try_cast(f[4] AS BIGINT) END
-           AS page_count,
-         CASE WHEN regexp_full_match(f[5], '[+-]?[0-9]+') THEN try_cast(f[5] AS BIGINT) END
-           AS volume_count
+         len(f) >= 4 AND regexp_full_match(f[2], '[+-]?[0-9]+')
+           AND regexp_full_match(f[3], '[+-]?[0-9]+') AS numeric,
+         try_cast(f[2] AS INTEGER) AS year, try_cast(f[3] AS BIGINT) AS match_count,
+         try_cast(f[4] AS BIGINT) AS page_count, try_cast(f[5] AS BIGINT) AS volume_count
   FROM tokens)"""
 
 LETTERS = """
@@ -138,7 +134,7 @@ REASON = """
          THEN 'stop_word'
        WHEN NOT regexp_full_match(lower(w1), '[a-z]+')
          OR NOT regexp_full_match(lower(w2), '[a-z]+') THEN 'non_letter'
-       WHEN year IS NULL OR match_count IS NULL OR match_count <= 0 THEN 'bad_number' END"""
+       WHEN NOT numeric OR year IS NULL OR match_count IS NULL OR match_count <= 0 THEN 'bad_number' END"""
 
 BEST = """
 best AS (
@@ -162,7 +158,7 @@ def statements() -> dict[str, str]:
     hebrew = _with(hebrew_stop, DOC_PAIRS, HEBREW_FACTS, HEBREW_CLEAN)
     lines = _with(stop, DOC_PAIRS, LINES)
     line_pairs = f"""{lines},
-      facts AS (SELECT * FROM parsed WHERE complete AND w1 IS NOT NULL AND match_count > 0
+      facts AS (SELECT * FROM parsed WHERE numeric AND w1 IS NOT NULL AND match_count > 0
                 AND year IS NOT NULL),{LETTERS},{CLEAN},{PAIRS}
       SELECT period, w1, w2, c12 FROM pairs"""
 
@@ -171,7 +167,7 @@ def statements() -> dict[str, str]:
 
     return {
         "parse_ngram_lines": f"""{lines}
-            SELECT line, complete, w1, w2, year, match_count, page_count, volume_count
+            SELECT line, complete, numeric, w1, w2, year, match_count, page_count, volume_count
             FROM parsed""",
         "ngrams_text_round_trip": line_pairs,
         "ngrams_sequence_round_trip": line_pairs,

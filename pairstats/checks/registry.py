@@ -85,7 +85,15 @@ def parse_ngram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines, some of them malformed, split and parsed."""
     parsed = clean.parse_ngram_lines(document_lines(spark, sf_dir))
     return clean.split_words(parsed).select(
-        "line", "complete", "w1", "w2", "year", "match_count", "page_count", "volume_count"
+        "line",
+        "complete",
+        "numeric",
+        "w1",
+        "w2",
+        "year",
+        "match_count",
+        "page_count",
+        "volume_count",
     )
 
 

@@ -22,7 +22,9 @@ def nth_field(text: Column, sep: str, n: int) -> Column:
     Built on ``substring_index``, which works on the UTF-8 bytes, because a scan of raw lines
     spends most of its time here: ``split`` would build an array of all fields each time.
     """
-    padded = F.concat(text, F.lit(sep * (n - 1))) if n > 1 else text
+    if n == 1:
+        return F.substring_index(text, sep, 1)
+    padded = F.concat(text, F.lit(sep * (n - 1)))
     return F.substring_index(F.substring_index(padded, sep, n), sep, -1)
 
 

@@ -20,27 +20,28 @@ from pairstats.functions.words import (
 )
 
 
-def _integer(text: Column, kind: str) -> Column:
-    """``text`` as an integer; NULL unless it is digits with at most a sign (no blanks)."""
-    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast(kind))
+# The shape of a line. At least four fields, of which empty ones at the end do not
+# count; and, in a numeric line, digits with at most a sign (no blanks) in fields two and three.
+COMPLETE = r"^[^\t]*\t[^\t]*\t[^\t]*\t+[^\t]"
+NUMERIC = r"^[^\t]*\t[+-]?[0-9]+\t[+-]?[0-9]+\t+[^\t]"
 
 
 def parse_ngram_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Split ``w1 w2 TAB year TAB count TAB ...`` into typed columns, next to the line itself.
 
-    ``complete`` says whether there are four fields, empty ones at the end not counted. A number
-    that does not parse is NULL.
+    ``complete`` says whether there are four fields, ``numeric`` whether they also hold a year
+    and a count. A number that does not parse is NULL.
     """
     text = F.col(line)
-    trimmed = F.rtrim(text, F.lit("\t"))
     return lines.select(
         text.alias("line"),
-        (trimmed != F.substring_index(trimmed, "\t", 3)).alias("complete"),
+        text.rlike(COMPLETE).alias("complete"),
+        text.rlike(NUMERIC).alias("numeric"),
         nth_field(text, "\t", 1).alias("ngram"),
-        _integer(nth_field(text, "\t", 2), "int").alias("year"),
-        _integer(nth_field(text, "\t", 3), "bigint").alias("match_count"),
-        _integer(nth_field(text, "\t", 4), "bigint").alias("page_count"),
-        _integer(nth_field(text, "\t", 5), "bigint").alias("volume_count"),
+        nth_field(text, "\t", 2).try_cast("int").alias("year"),
+        nth_field(text, "\t", 3).try_cast("bigint").alias("match_count"),
+        nth_field(text, "\t", 4).try_cast("bigint").alias("page_count"),
+        nth_field(text, "\t", 5).try_cast("bigint").alias("volume_count"),
     )
 
 
@@ -58,8 +59,9 @@ def _words(language: str, stop_words: Iterable[str] | None) -> list[str]:
     return stop_word_list(language) if stop_words is None else list(stop_words)
 
 
-def _is_complete(ngrams: DataFrame) -> Column:
-    return F.col("complete") if "complete" in ngrams.columns else F.lit(True)
+def _line_is(ngrams: DataFrame, shape: str) -> Column:
+    """The flag that parsing left; typed facts have none and need none."""
+    return F.col(shape) if shape in ngrams.columns else F.lit(True)
 
 
 def is_valid(
@@ -75,7 +77,7 @@ def is_valid(
     return (
         is_two_letter_words(ngram, language)
         & ~has_stop_word(language, _words(language, stop_words))
-        & _is_complete(ngrams)
+        & _line_is(ngrams, "numeric")
         & F.col("year").isNotNull()
         & (F.col("match_count") > 0)
     )
@@ -88,11 +90,11 @@ def reject_reason(
     ngram, words = F.col("ngram"), _words(language, stop_words)
     counted = F.coalesce(F.col("match_count") > 0, F.lit(False))
     return (
-        F.when(~_is_complete(ngrams), "few_fields")
+        F.when(~_line_is(ngrams, "complete"), "few_fields")
         .when(~is_two_words(ngram), "not_two_words")
         .when(has_stop_word(language, words), "stop_word")
         .when(~is_two_letter_words(ngram, language), "non_letter")
-        .when(F.col("year").isNull() | ~counted, "bad_number")
+        .when(~_line_is(ngrams, "numeric") | F.col("year").isNull() | ~counted, "bad_number")
     )
 
 
@@ -101,7 +103,7 @@ def split_valid(
 ) -> tuple[DataFrame, DataFrame]:
     """The good rows, and the rejected rows with their ``reason``.
 
-    ``ngrams`` holds ngram, year and match_count, and ``complete`` if it came from text lines.
+    ``ngrams`` holds ngram, year and match_count, and two flags if it came from text lines.
     """
     valid = ngrams.where(is_valid(ngrams, language, stop_words))
     reason = reject_reason(ngrams, language, stop_words)

@@ -47,8 +47,8 @@ def test_kelvin_sign_is_a_letter_by_its_lower_case(spark):
 
 def test_parsed_columns(spark):
     row = parsed(spark, ["new york\t1991\t3\t4\t5\tmore", "york\t1991"]).collect()
-    assert tuple(row[0])[1:] == (True, "new york", 1991, 3, 4, 5)
-    assert tuple(row[1])[1:] == (False, "york", 1991, None, None, None)
+    assert tuple(row[0])[1:] == (True, True, "new york", 1991, 3, 4, 5)
+    assert tuple(row[1])[1:] == (False, False, "york", 1991, None, None, None)
 
 
 def test_typed_facts_with_nulls(spark):
