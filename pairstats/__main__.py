@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from pairstats.functions.words import LANGUAGES
 from pairstats.plans.collocations import TIES, extract_collocations
+from pairstats.session import SETTINGS
 from pairstats.sinks.text import write_scored_text, write_top_k_report
 from pairstats.sources.ngrams import READERS
 from pairstats.sources.stop_words import stop_words
@@ -35,7 +36,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
-    spark = SparkSession.builder.appName("pairstats").getOrCreate()
+    spark = SparkSession.builder.appName("pairstats").config(map=SETTINGS).getOrCreate()
     ngrams = READERS[args.source](spark, args.input, args.sample, args.seed)
     words = stop_words(spark, args.language, args.stop_words) if args.stop_words else None
     found = extract_collocations(

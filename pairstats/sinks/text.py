@@ -17,13 +17,21 @@ def _line(values: Sequence[str]) -> Column:
     return F.concat_ws("\t", key, scores)
 
 
+def write_pair_text(df: DataFrame, path: str, values: Sequence[str]) -> None:
+    """Write each pair with its values, as the rows come. The path must be new.
+
+    ``read_scored_text`` reads it back.
+    """
+    df.select(_line(values).alias("value")).write.mode("errorifexists").text(path)
+
+
 def write_scored_text(df: DataFrame, path: str, values: Sequence[str] = ("npmi",)) -> None:
     """Write ranked lines. The path must be new.
 
     Every part file is in rank order, and so is their sequence. A period is not tied to one
     file: a large one spans several.
     """
-    rank_order(df).select(_line(values).alias("value")).write.mode("errorifexists").text(path)
+    write_pair_text(rank_order(df), path, values)
 
 
 def write_top_k_report(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pairstats.functions.words import check_language
 from pairstats.operators.clean import parse_ngram_lines, sample_rows
@@ -72,9 +71,3 @@ def read_corpus(
 ) -> DataFrame:
     """The facts of one language out of a map from language to path."""
     return READERS[source](spark, paths[check_language(language)], fraction, seed)
-
-
-def corpus_of(documents: DataFrame, language: str) -> DataFrame:
-    """The rows of one language of a table that holds several (column ``lang``, ISO 639-1)."""
-    code = {"english": "en", "hebrew": "he"}[check_language(language)]
-    return documents.where(F.col("lang") == code)

@@ -261,6 +261,7 @@ def statements() -> dict[str, str]:
               FROM (SELECT DISTINCT period, round(npmi, 9) FROM chosen)""",
         "stage_parquet_round_trip": f"{doc_pairs} SELECT period, w1, w2, c12 FROM pairs",
         "scored_text_round_trip": f"{doc_scores} SELECT period, w1, w2, {npmi}, {rel} FROM scores",
+        "counts_text_round_trip": f"{doc_counted} SELECT period, w1, w2, c12, c1, c2 FROM counted",
         "top_k_report_round_trip": f"""{doc_scores},{BEST}
             SELECT period, w1, w2, {npmi} FROM best WHERE rank <= 10""",
     }

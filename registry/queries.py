@@ -11,9 +11,8 @@ from pairstats.functions.keys import pair_key, period_bucket
 from pairstats.operators import clean, counts, scoring, select
 from pairstats.plans import collocations as plans
 from pairstats.sinks.stage import materialize, read_stage, stage_path, write_stage
-from pairstats.sinks.text import write_scored_text, write_top_k_report
+from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
 from pairstats.sources.ngrams import (
-    corpus_of,
     read_corpus,
     read_ngrams_sequence,
     read_ngrams_table,
@@ -21,8 +20,9 @@ from pairstats.sources.ngrams import (
 )
 from pairstats.sources.scored import read_scored_text
 from pairstats.sources.stop_words import stop_words
-from pairstats.sources.tables import (
+from registry.tables import (
     adjacent_pairs,
+    corpus_of,
     document_lines,
     document_ngrams,
     document_words,
@@ -360,6 +360,14 @@ def scored_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_scores(read_scored_text(spark, path, values))
 
 
+@query
+def counts_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "counts")
+    counted = plans.association_counts(document_ngrams(spark, sf_dir), "english")
+    write_pair_text(counted, path, ["c12", "c1", "c2"])
+    return read_scored_text(spark, path, dict.fromkeys(("c12", "c1", "c2"), "bigint"))
+
+
 @query
 def top_k_report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "report")

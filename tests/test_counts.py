@@ -104,9 +104,11 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_words_are_split(spark, settings):
+@pytest.mark.parametrize("local_map, join", [("0", "SortMergeJoin"), ("128m", "ShuffledHashJoin")])
+def test_hot_words_are_split(spark, settings, local_map, join):
     """With totals too large to broadcast, the joins split the hot word's partition."""
     settings(
+        adaptive__maxShuffledHashJoinLocalMapThreshold=local_map,
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
@@ -120,7 +122,7 @@ def test_hot_words_are_split(spark, settings):
         got = {row[key]: row[-1] for row in out.collect()}
         want = {r[0]: r[1] for r in pairs.groupBy(key).agg(F.sum("c12")).collect()}
         assert got == want
-        assert "SortMergeJoin(skew=true)" in executed(out)
+        assert f"{join}(skew=true)" in executed(out)
 
 
 def test_small_totals_are_broadcast_by_size(spark, settings):

@@ -5,9 +5,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import REJECTED, kept_lines
+from pairstats import association_counts
 from pairstats.operators.clean import clean_pairs
 from pairstats.sinks.stage import materialize, read_stage, stage_path, stage_root, write_stage
-from pairstats.sinks.text import write_scored_text, write_top_k_report
+from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
 from pairstats.sources import ngrams as sources
 from pairstats.sources.scored import read_scored_text
 
@@ -55,6 +56,16 @@ def test_text_sink_with_more_values(spark, scored, tmp_path):
     assert rows_of(read_scored_text(spark, path, values)) == rows_of(scored)
 
 
+def test_pair_text_of_counts(spark, tmp_path):
+    rows = [(1990, "new", "york", 15, 20), (1990, "big", "idea", 20, 20)]
+    df = spark.createDataFrame(rows, "period int, w1 string, w2 string, c12 bigint, c1 bigint")
+    write_pair_text(df, str(tmp_path / "out"), ["c12", "c1"])
+    lines = sorted(line for part in part_lines(tmp_path / "out") for line in part)
+    assert lines == ["1990 big idea\t20 20", "1990 new york\t15 20"]
+    back = read_scored_text(spark, str(tmp_path / "out"), {"c12": "bigint", "c1": "bigint"})
+    assert back.dtypes == df.dtypes and rows_of(back) == rows_of(df)
+
+
 def test_stage_text_of_counts_is_readable(spark, tmp_path):
     path = tmp_path / "counts"
     path.mkdir()
@@ -159,4 +170,4 @@ def test_unknown_language(spark):
     with pytest.raises(ValueError):
         sources.read_corpus(spark, "latin", {"latin": "x"})
     with pytest.raises(ValueError):
-        sources.corpus_of(spark.range(1), "latin")
+        association_counts(spark.createDataFrame([], sources.NGRAM_SCHEMA), "latin")
