@@ -29,8 +29,9 @@ NUMERIC = r"^[^\t]*\t[+-]?[0-9]+\t[+-]?[0-9]+\t+[^\t]"
 def parse_ngram_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Split ``w1 w2 TAB year TAB count TAB ...`` into typed columns, next to the line itself.
 
-    ``complete`` says whether there are four fields, ``numeric`` whether they also hold a year
-    and a count. A number that does not parse is NULL.
+    ``complete`` says whether there are four fields, ``numeric`` whether they also hold digits for
+    a year and a count. A number that does not parse is NULL; one with blanks around it parses, but
+    its line is not ``numeric``.
     """
     text = F.col(line)
     return lines.select(

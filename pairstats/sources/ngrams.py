@@ -50,7 +50,10 @@ def read_ngrams_sequence(
 def read_ngrams_table(
     spark: SparkSession, path: str, fraction: float | None = None, seed: int | None = None
 ) -> DataFrame:
-    """Typed facts in Parquet. The columns that no count uses are never read."""
+    """Typed facts in Parquet. The columns that no count uses are never read.
+
+    Such a table is made from parsed lines that are ``numeric``.
+    """
     return _sampled(spark.read.schema(NGRAM_SCHEMA).parquet(path), fraction, seed)
 
 
