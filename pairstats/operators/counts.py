@@ -2,13 +2,15 @@
 
 The totals are attached by equi-joins from written tables, not by window sums: a window would
 bring every pair of one word (or period) into one task. The written table's size lets Spark
-broadcast a small table of totals; with a large one, adaptive execution splits the partition of
-a hot word. Neither side is ever broadcast without a known size.
+broadcast a small table of totals. With a large one both sides are shuffled, and a word that holds
+a large share of all pairs is spread over many slices by the hash of its other word. Adaptive
+execution alone would not do: with thousands of partitions Spark keeps only average sizes of
+shuffled blocks, and may not see the hot one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairstats.sinks.stage import materialize, materialize_by
@@ -18,6 +20,11 @@ PAIR = ("period", "w1", "w2")
 # Values of ``level`` in ``count_levels``: Spark's grouping id over (period, w1, w2).
 LEVELS = {0: "pair", 1: "left", 2: "right", 3: "period"}
 
+# A word is hot if it holds more than this share of all pairs: fewer than 1000 words can, in either
+# place. Below so many pairs it is left alone in any case.
+HOT_SHARE = 1000
+HOT_PAIRS = 1_000_000
+
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
     """Occurrences of each ordered pair in each period, over all its years."""
@@ -39,9 +46,10 @@ def period_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("period").agg(F.sum("c12").alias("n"))
 
 
-def _grouping_sets(counts: DataFrame, sets: list[tuple[str, ...]]) -> DataFrame:
+def _grouping_sets(counts: DataFrame, sets: list[tuple[str, ...]], *more: Column) -> DataFrame:
     levels = counts.groupingSets([[F.col(c) for c in s] for s in sets], *PAIR)
-    return levels.agg(F.grouping_id().cast("int").alias("level"), F.sum("c12").alias("total"))
+    level = F.grouping_id().cast("int").alias("level")
+    return levels.agg(level, F.sum("c12").alias("total"), *more)
 
 
 def count_levels(counts: DataFrame) -> DataFrame:
@@ -49,41 +57,73 @@ def count_levels(counts: DataFrame) -> DataFrame:
     return _grouping_sets(counts, [PAIR, ("period", "w1"), ("period", "w2"), ("period",)])
 
 
+def _n_pairs() -> Column:
+    return F.count(F.lit(1)).alias("n_pairs")
+
+
+def _attach_word_total(counts: DataFrame, totals: DataFrame, place: str, rows: int) -> DataFrame:
+    """Join the totals (period, ``place``, total, n_pairs) of a word in that place.
+
+    ``rows`` is the number of all pairs. A hot word's pairs go to as many slices as it exceeds its
+    share, and its total is repeated for each slice: fewer than 2000 rows more. The hot words
+    themselves, fewer than ``HOT_SHARE``, are broadcast to mark the pairs.
+    """
+    keys = ["period", place]
+    if rows <= HOT_PAIRS:
+        return counts.join(totals.drop("n_pairs"), keys)
+    limit = max(rows // HOT_SHARE, HOT_PAIRS)
+    slices = F.ceil(F.col("n_pairs") / F.lit(limit)).cast("int")
+    hot = totals.where(F.col("n_pairs") > limit).select(*keys, slices.alias("_slices"))
+    other = "w2" if place == "w1" else "w1"
+    own_slice = F.pmod(F.xxhash64(other), F.col("_slices")).cast("int")
+    marked = counts.join(F.broadcast(hot), keys, "left").select(
+        *counts.columns, F.coalesce(own_slice, F.lit(0)).alias("_slice")
+    )
+    each_slice = F.explode(F.sequence(F.lit(0), slices - 1)).alias("_slice")
+    return marked.join(totals.select(*keys, "total", each_slice), [*keys, "_slice"])
+
+
+def _with_word_count(counts: DataFrame, place: str, name: str) -> DataFrame:
+    totals = counts.groupBy("period", place).agg(F.sum("c12").alias("total"), _n_pairs())
+    totals = materialize(totals, f"{name}_totals")
+    rows = totals.agg(F.sum("n_pairs")).first()[0] or 0
+    out = _attach_word_total(counts, totals, place, rows)
+    return out.select(*counts.columns, F.col("total").alias(name))
+
+
 # The functions below read ``counts`` twice, for the totals and for the join: give them a written
 # table if it is costly to make.
 
 
-def with_left_count(counts: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Attach ``c1``. ``totals`` is ``left_counts`` of the same pairs, if already written."""
-    if totals is None:
-        totals = materialize(left_counts(counts), "left_counts")
-    return counts.join(totals, ["period", "w1"]).select(*counts.columns, "c1")
+def with_left_count(counts: DataFrame) -> DataFrame:
+    """Attach ``c1``, the total of each pair's first word."""
+    return _with_word_count(counts, "w1", "c1")
 
 
-def with_right_count(counts: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Attach ``c2``. ``totals`` is ``right_counts`` of the same pairs, if already written."""
-    if totals is None:
-        totals = materialize(right_counts(counts), "right_counts")
-    return counts.join(totals, ["period", "w2"]).select(*counts.columns, "c2")
+def with_right_count(counts: DataFrame) -> DataFrame:
+    """Attach ``c2``, the total of each pair's second word."""
+    return _with_word_count(counts, "w2", "c2")
 
 
-def with_period_total(counts: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Attach ``n``. ``totals`` is ``period_totals`` of the same pairs, if already written."""
-    if totals is None:
-        totals = materialize(period_totals(counts), "period_totals")
+def with_period_total(counts: DataFrame) -> DataFrame:
+    """Attach ``n``, the total of each pair's period: a table of one row per period."""
+    totals = materialize(period_totals(counts), "period_totals")
     return counts.join(totals, "period").select(*counts.columns, "n")
 
 
 def with_all_counts(counts: DataFrame) -> DataFrame:
-    """Attach ``c1``, ``c2`` and ``n``, all taken from one pass over the written pair table."""
+    """Attach ``c1``, ``c2`` and ``n``, all taken from one pass over the pair table."""
     sets = [("period", "w1"), ("period", "w2"), ("period",)]
-    totals = materialize_by(_grouping_sets(counts, sets), "level", [1, 2, 3], "totals")
-    left = totals[1].select("period", "w1", F.col("total").alias("c1"))
-    right = totals[2].select("period", "w2", F.col("total").alias("c2"))
+    totals = materialize_by(_grouping_sets(counts, sets, _n_pairs()), "level", [1, 2, 3], "totals")
+    left = totals[1].select("period", "w1", "total", "n_pairs")
+    right = totals[2].select("period", "w2", "total", "n_pairs")
     period = totals[3].select("period", F.col("total").alias("n"))
-    return with_period_total(
-        with_right_count(with_left_count(counts, left), right), period
-    )
+    rows = totals[3].agg(F.sum("n_pairs")).first()[0] or 0
+    out = _attach_word_total(counts, left, "w1", rows)
+    out = out.select(*counts.columns, F.col("total").alias("c1"))
+    out = _attach_word_total(out, right, "w2", rows)
+    out = out.select(*counts.columns, "c1", F.col("total").alias("c2"))
+    return out.join(period, "period").select(*counts.columns, "c1", "c2", "n")
 
 
 def reverse_pairs(pairs: DataFrame) -> DataFrame:

@@ -104,24 +104,61 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("local_map, join", [("0", "SortMergeJoin"), ("128m", "ShuffledHashJoin")])
-def test_hot_words_are_split(spark, settings, local_map, join):
-    """With totals too large to broadcast, the joins split the hot word's partition."""
+ATTACH = [(counts.with_left_count, "w1"), (counts.with_right_count, "w2")]
+
+
+def no_broadcast(settings, **more):
     settings(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", **more
+    )
+
+
+@pytest.mark.parametrize("attach, key", ATTACH)
+def test_hot_words_are_sliced(spark, settings, monkeypatch, attach, key):
+    """Without any help of adaptive execution, no task gets the hot word whole."""
+    no_broadcast(settings, adaptive__enabled="false", shuffle__partitions="32")
+    pairs = materialize(hot_pairs(spark), "pairs")
+    rows, want = pairs.count(), dict(pairs.groupBy(key).agg(F.sum("c12")).collect())
+
+    def largest_share(df):
+        sizes = df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        return sizes / rows
+
+    assert largest_share(attach(pairs)) > 1 / 3
+    monkeypatch.setattr(counts, "HOT_PAIRS", 500)
+    out = attach(pairs)
+    assert largest_share(out) < 1 / 10
+    got = out.collect()
+    assert len(got) == rows and {row[key]: row[-1] for row in got} == want
+
+
+@pytest.mark.parametrize("hot", [1, 7, 1000])
+def test_slices_do_not_change_the_counts(lines, settings, monkeypatch, hot):
+    pairs = materialize(counts.pair_counts(clean.clean_pairs(lines, "english")), "pairs")
+    want = rows_of(counts.with_all_counts(pairs))
+    monkeypatch.setattr(counts, "HOT_PAIRS", hot)
+    monkeypatch.setattr(counts, "HOT_SHARE", 10)
+    assert rows_of(counts.with_all_counts(pairs)) == want
+    no_broadcast(settings)
+    assert rows_of(counts.with_all_counts(pairs)) == want
+
+
+@pytest.mark.parametrize("local_map, join", [("0", "SortMergeJoin"), ("128m", "ShuffledHashJoin")])
+def test_adaptive_execution_splits_too(spark, settings, local_map, join):
+    """Both sides of the join are plain shuffles, which adaptive execution can split."""
+    no_broadcast(
+        settings,
         adaptive__maxShuffledHashJoinLocalMapThreshold=local_map,
-        autoBroadcastJoinThreshold="-1",
-        adaptive__autoBroadcastJoinThreshold="-1",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
         adaptive__advisoryPartitionSizeInBytes="10k",
         adaptive__coalescePartitions__enabled="false",
         shuffle__partitions="64",
     )
     pairs = materialize(hot_pairs(spark), "pairs")
-    for attach, key in ((counts.with_left_count, "w1"), (counts.with_right_count, "w2")):
+    for attach, key in ATTACH:
         out = attach(pairs)
         got = {row[key]: row[-1] for row in out.collect()}
-        want = {r[0]: r[1] for r in pairs.groupBy(key).agg(F.sum("c12")).collect()}
-        assert got == want
+        assert got == dict(pairs.groupBy(key).agg(F.sum("c12")).collect())
         assert f"{join}(skew=true)" in executed(out)
 
 
