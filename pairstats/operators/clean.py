@@ -18,8 +18,13 @@ from pairstats.functions.words import (
     second_word,
     stop_word_list,
 )
+from pairstats.sinks.stage import materialize
 
 
+# The longest stop list to broadcast, in words, and the slices for longer ones.
+LONG_LIST = 1_000_000
+LIST_SLICES = 32
+
 # The shape of a line. At least four fields, of which empty ones at the end do not
 # count; and, in a numeric line, digits with at most a sign (no blanks) in fields two and three.
 COMPLETE = r"^[^\t]*\t[^\t]*\t[^\t]*\t+[^\t]"
@@ -144,13 +149,23 @@ def clean_pairs(
 def drop_stop_pairs(pairs: DataFrame, stop_words: DataFrame, language: str) -> DataFrame:
     """Drop pairs with a word of ``stop_words(word)`` in either place, by anti-join.
 
-    For lists too long for a literal set. Spark broadcasts the list if its size allows and
-    shuffles otherwise.
+    For lists too long for a literal set. The list is written and counted first. Up to
+    ``LONG_LIST`` words it is broadcast; a longer one is shuffled, repeated for each of
+    ``LIST_SLICES`` slices of the pairs, so that no task gets all pairs of a frequent word.
     """
     check_language(language)
     words = stop_words.select(F.col("word").alias("_stop")).distinct()
-    for place in ("w1", "w2"):
+    words = materialize(words, "stop_words")
+    long = words.count() > LONG_LIST
+    if long:
+        every = F.sequence(F.lit(0), F.lit(LIST_SLICES - 1))
+        words = words.select("_stop", F.explode(every).alias("_slice"))
+    else:
+        words = F.broadcast(words)
+    for place, other in (("w1", "w2"), ("w2", "w1")):
         found = lookup_form(F.col(place), language) == F.col("_stop")
+        if long:
+            found &= F.pmod(F.xxhash64(other), F.lit(LIST_SLICES)) == F.col("_slice")
         pairs = pairs.join(words, found, "left_anti")
     return pairs
 

@@ -25,6 +25,9 @@ LEVELS = {0: "pair", 1: "left", 2: "right", 3: "period"}
 HOT_SHARE = 1000
 HOT_PAIRS = 1_000_000
 
+# The most rows of a table of period totals to broadcast.
+MANY_PERIODS = 1_000_000
+
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
     """Occurrences of each ordered pair in each period, over all its years."""
@@ -57,6 +60,13 @@ def count_levels(counts: DataFrame) -> DataFrame:
     return _grouping_sets(counts, [PAIR, ("period", "w1"), ("period", "w2"), ("period",)])
 
 
+def join_by_period(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """Join a written table of one row per period, which is counted and then broadcast."""
+    if totals.count() <= MANY_PERIODS:
+        totals = F.broadcast(totals)
+    return rows.join(totals, "period")
+
+
 def _n_pairs() -> Column:
     return F.count(F.lit(1)).alias("n_pairs")
 
@@ -69,9 +79,9 @@ def _attach_word_total(counts: DataFrame, totals: DataFrame, place: str, rows: i
     themselves, fewer than ``HOT_SHARE``, are broadcast to mark the pairs.
     """
     keys = ["period", place]
-    if rows <= HOT_PAIRS:
-        return counts.join(totals.drop("n_pairs"), keys)
     limit = max(rows // HOT_SHARE, HOT_PAIRS)
+    if rows <= limit or totals.agg(F.max("n_pairs")).first()[0] <= limit:
+        return counts.join(totals.drop("n_pairs"), keys)
     slices = F.ceil(F.col("n_pairs") / F.lit(limit)).cast("int")
     hot = totals.where(F.col("n_pairs") > limit).select(*keys, slices.alias("_slices"))
     other = "w2" if place == "w1" else "w1"
@@ -108,7 +118,7 @@ def with_right_count(counts: DataFrame) -> DataFrame:
 def with_period_total(counts: DataFrame) -> DataFrame:
     """Attach ``n``, the total of each pair's period: a table of one row per period."""
     totals = materialize(period_totals(counts), "period_totals")
-    return counts.join(totals, "period").select(*counts.columns, "n")
+    return join_by_period(counts, totals).select(*counts.columns, "n")
 
 
 def with_all_counts(counts: DataFrame) -> DataFrame:
@@ -123,7 +133,7 @@ def with_all_counts(counts: DataFrame) -> DataFrame:
     out = out.select(*counts.columns, F.col("total").alias("c1"))
     out = _attach_word_total(out, right, "w2", rows)
     out = out.select(*counts.columns, "c1", F.col("total").alias("c2"))
-    return out.join(period, "period").select(*counts.columns, "c1", "c2", "n")
+    return join_by_period(out, period).select(*counts.columns, "c1", "c2", "n")
 
 
 def reverse_pairs(pairs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairstats.functions.scores import npmi, pmi, relative_npmi
+from pairstats.operators.counts import join_by_period
 from pairstats.sinks.stage import materialize
 
 
@@ -24,9 +25,8 @@ def npmi_totals(scores: DataFrame) -> DataFrame:
     return scores.groupBy("period").agg(F.sum("npmi").alias("npmi_sum"))
 
 
-def with_relative_npmi(scores: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Add ``rel_npmi``. ``scores`` is read twice, so pass a written table if it is costly."""
-    if totals is None:
-        totals = materialize(npmi_totals(scores), "npmi_totals")
+def with_relative_npmi(scores: DataFrame) -> DataFrame:
+    """Add ``rel_npmi``. ``scores`` is read twice: give a written table if it is costly to make."""
+    totals = materialize(npmi_totals(scores), "npmi_totals")
     share = relative_npmi(F.col("npmi"), F.col("npmi_sum")).alias("rel_npmi")
-    return scores.join(totals, "period").select(*scores.columns, share)
+    return join_by_period(scores, totals).select(*scores.columns, share)

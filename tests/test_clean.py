@@ -103,14 +103,36 @@ def test_stop_lists(spark, tmp_path):
         stop_word_list("latin")
 
 
-@pytest.mark.parametrize("threshold", ["-1", "10m"])
-def test_anti_join_equals_literal_list(spark, lines, settings, threshold):
-    settings(autoBroadcastJoinThreshold=threshold)
-    letters = clean.clean_pairs(lines, "english", stop_words=[])
-    joined = clean.drop_stop_pairs(letters, stop_words(spark, "english"), "english")
+@pytest.mark.parametrize("longest, join", [(1000, "BroadcastHashJoin"), (10, "SortMergeJoin")])
+def test_anti_join_equals_literal_list(spark, lines, settings, monkeypatch, longest, join):
+    settings(autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(clean, "LONG_LIST", longest)
+    words = stop_words(spark, "english")
+    joined = clean.clean_pairs(lines, "english", stop_words=words)
+    assert joined._jdf.queryExecution().sparkPlan().toString().count(join) == 2
     assert pairs_of(joined) == pairs_of(clean.clean_pairs(lines, "english"))
 
 
+def test_long_list_spreads_a_frequent_stop_word(spark, settings, monkeypatch):
+    """A word that starts a third of all pairs is dropped by many tasks, not by one."""
+    settings(
+        autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="32"
+    )
+    i = F.col("id")
+    w1 = F.when(i % 3 == 0, "the").otherwise(F.concat(F.lit("w"), i.cast("string")))
+    pairs = spark.range(0, 30000, 1, 4).select(
+        w1.alias("w1"), F.concat(F.lit("v"), i.cast("string")).alias("w2")
+    )
+    monkeypatch.setattr(clean, "LONG_LIST", 10)
+    out = clean.drop_stop_pairs(pairs, stop_words(spark, "english"), "english")
+    assert out.count() == 20000
+    shuffled = pairs.repartition(
+        32, F.lower("w1"), F.pmod(F.xxhash64("w2"), F.lit(clean.LIST_SLICES))
+    )
+    sizes = shuffled.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < 30000 / 8
+
+
 def test_own_stop_words(lines):
     found = clean.clean_pairs(lines, "english", stop_words=["york", "it's", "back\\slash"])
     words = {w for row in found.collect() for w in (row.w1, row.w2)}

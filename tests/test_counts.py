@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import EXPECTED
-from pairstats.operators import clean, counts
+from pairstats.operators import clean, counts, scoring
 from pairstats.sinks.stage import materialize
 
 
@@ -162,6 +163,16 @@ def test_adaptive_execution_splits_too(spark, settings, local_map, join):
         assert f"{join}(skew=true)" in executed(out)
 
 
+def test_nothing_is_shuffled_by_period_alone(lines, settings):
+    """Not even in a session that never broadcasts by itself."""
+    no_broadcast(settings)
+    pairs = materialize(counts.pair_counts(clean.clean_pairs(lines, "english")), "pairs")
+    out = scoring.with_relative_npmi(scoring.with_npmi(counts.with_all_counts(pairs)))
+    plan = executed(out)
+    assert "hashpartitioning(period#" in plan
+    assert not re.search(r"hashpartitioning\(period#\d+, \d+\)", plan)
+
+
 def test_small_totals_are_broadcast_by_size(spark, settings):
     pairs = materialize(hot_pairs(spark, 6000), "pairs")
     settings(autoBroadcastJoinThreshold="10m")
