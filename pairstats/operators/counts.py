@@ -20,10 +20,10 @@ PAIR = ("period", "w1", "w2")
 # Values of ``level`` in ``count_levels``: Spark's grouping id over (period, w1, w2).
 LEVELS = {0: "pair", 1: "left", 2: "right", 3: "period"}
 
-# A word is hot if it holds more than this share of all pairs: fewer than 1000 words can, in either
-# place. Below so many pairs it is left alone in any case.
-HOT_SHARE = 1000
-HOT_PAIRS = 1_000_000
+# A word with more pairs than this is hot. In tables so large that more than ``HOT_WORDS`` words
+# could be, the limit is that share of all pairs, so that there are always fewer.
+HOT_PAIRS = 2_000_000
+HOT_WORDS = 100_000
 
 # The most rows of a table of period totals to broadcast.
 MANY_PERIODS = 1_000_000
@@ -74,12 +74,12 @@ def _n_pairs() -> Column:
 def _attach_word_total(counts: DataFrame, totals: DataFrame, place: str, rows: int) -> DataFrame:
     """Join the totals (period, ``place``, total, n_pairs) of a word in that place.
 
-    ``rows`` is the number of all pairs. A hot word's pairs go to as many slices as it exceeds its
-    share, and its total is repeated for each slice: fewer than 2000 rows more. The hot words
-    themselves, fewer than ``HOT_SHARE``, are broadcast to mark the pairs.
+    ``rows`` is the number of all pairs. A hot word's pairs go to as many slices as they exceed the
+    limit, and its total is repeated for each slice: fewer than twice ``HOT_WORDS`` rows more. The
+    hot words themselves, fewer than ``HOT_WORDS``, are broadcast to mark the pairs.
     """
     keys = ["period", place]
-    limit = max(rows // HOT_SHARE, HOT_PAIRS)
+    limit = max(rows // HOT_WORDS, HOT_PAIRS)
     if rows <= limit or totals.agg(F.max("n_pairs")).first()[0] <= limit:
         return counts.join(totals.drop("n_pairs"), keys)
     slices = F.ceil(F.col("n_pairs") / F.lit(limit)).cast("int")

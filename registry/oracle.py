@@ -134,7 +134,8 @@ REASON = """
          THEN 'stop_word'
        WHEN NOT regexp_full_match(lower(w1), '[a-z]+')
          OR NOT regexp_full_match(lower(w2), '[a-z]+') THEN 'non_letter'
-       WHEN NOT numeric OR year IS NULL OR match_count IS NULL OR match_count <= 0 THEN 'bad_number' END"""
+       WHEN NOT numeric OR year IS NULL OR match_count IS NULL OR match_count <= 0
+         THEN 'bad_number' END"""
 
 BEST = """
 best AS (

@@ -24,7 +24,8 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, words): each document's whole text, cut at blanks, tabs and line ends."""
-    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    documents = _spread(documents, "doc_id")
     words = F.array_remove(F.split("text", "[ \t\r\n]+"), "")
     return documents.select("doc_id", "lang", words.alias("words"))
 

@@ -198,7 +198,7 @@ def _reason(line: str, words: set[str]) -> str | None:
     st.lists(
         st.lists(
             st.sampled_from(
-                ["a", "New", "york", "9", "The", "the", " ", "  ", "\t", "\t", "1990", "-3", "0", "x7"]
+                "a|New|york|9|The|the| |  |\t|\t|1990|-3|0|x7".split("|")
             ),
             max_size=12,
         ).map("".join),

@@ -138,7 +138,7 @@ def test_slices_do_not_change_the_counts(lines, settings, monkeypatch, hot):
     pairs = materialize(counts.pair_counts(clean.clean_pairs(lines, "english")), "pairs")
     want = rows_of(counts.with_all_counts(pairs))
     monkeypatch.setattr(counts, "HOT_PAIRS", hot)
-    monkeypatch.setattr(counts, "HOT_SHARE", 10)
+    monkeypatch.setattr(counts, "HOT_WORDS", 10)
     assert rows_of(counts.with_all_counts(pairs)) == want
     no_broadcast(settings)
     assert rows_of(counts.with_all_counts(pairs)) == want
@@ -178,7 +178,8 @@ def test_small_totals_are_broadcast_by_size(spark, settings):
     settings(autoBroadcastJoinThreshold="10m")
     plan = counts.with_all_counts(pairs)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("BroadcastHashJoin") == 3
-    assert "hashpartitioning" not in plan and "Exchange" not in plan.replace("BroadcastExchange", "")
+    assert "hashpartitioning" not in plan
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
 
 
 def test_plan_of_the_counting_stage(spark, lines):

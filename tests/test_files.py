@@ -106,7 +106,8 @@ def test_stage_table_is_split_by_period(spark, scored, tmp_path):
     back = read_stage(spark, path)
     assert back.dtypes == scored.dtypes and rows_of(back) == rows_of(scored)
     one = back.where(F.col("period") == 1990)
-    assert "PartitionFilters: [isnotnull(period" in one._jdf.queryExecution().executedPlan().toString()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan
 
 
 def test_materialize_keeps_schema_and_rows(scored):
@@ -124,7 +125,8 @@ def test_written_tables_go_to_the_shared_folder(spark):
 
 def write_sequence(spark, rows, path):
     # Keys above 32 bits, because smaller Python integers would be written as IntWritable.
-    spark.sparkContext.parallelize([(2**32 + i, r) for i, r in enumerate(rows)], 3).saveAsNewAPIHadoopFile(
+    records = spark.sparkContext.parallelize([(2**32 + i, r) for i, r in enumerate(rows)], 3)
+    records.saveAsNewAPIHadoopFile(
         path,
         "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
         keyClass="org.apache.hadoop.io.LongWritable",
@@ -161,9 +163,10 @@ def test_sample_while_reading(spark, tmp_path):
 def test_quote_is_a_plain_character(spark, tmp_path):
     path = tmp_path / "lines"
     path.mkdir()
-    (path / "part-0").write_text('" york\t1991\t3\t1\t1\n"new york\t1991\t3\t1\t1\nnew york\t1991\t3\t1\t1\n')
+    ngrams = ['" york', '"new york', "new york"]
+    (path / "part-0").write_text("".join(f"{n}\t1991\t3\t1\t1\n" for n in ngrams))
     read = sources.read_ngrams_text(spark, str(path))
-    assert sorted(r.ngram for r in read.collect()) == ['" york', '"new york', "new york"]
+    assert sorted(r.ngram for r in read.collect()) == ngrams
 
 
 def test_unknown_language(spark):

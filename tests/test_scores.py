@@ -66,7 +66,8 @@ def test_threshold_is_inclusive_and_skips_nan(spark):
         (1, "a", "g", float("nan"), 0.5),
         (1, "a", "h", None, float("inf")),
     ]
-    df = spark.createDataFrame(rows, "period int, w1 string, w2 string, npmi double, rel_npmi double")
+    schema = "period int, w1 string, w2 string, npmi double, rel_npmi double"
+    df = spark.createDataFrame(rows, schema)
     kept = {r.w2 for r in select.either_threshold(df, 0.7, 0.3).collect()}
     assert kept == {"b", "c", "g", "h"}
 
