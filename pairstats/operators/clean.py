@@ -20,7 +20,6 @@ from pairstats.functions.words import (
 )
 from pairstats.sinks.stage import materialize
 
-
 # The longest stop list to broadcast, in words, and the slices for longer ones.
 LONG_LIST = 1_000_000
 LIST_SLICES = 32

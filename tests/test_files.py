@@ -123,6 +123,26 @@ def test_written_tables_go_to_the_shared_folder(spark):
     assert configured is None or root == configured
 
 
+class Cluster:
+    """As much of a session on a cluster as ``stage_root`` asks for."""
+
+    class sparkContext:
+        master = "yarn"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    def __init__(self, folder):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+
+
+def test_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError):
+        stage_root(Cluster(None))
+    assert stage_root(Cluster("hdfs:///shared")) == "hdfs:///shared"
+
+
 def write_sequence(spark, rows, path):
     # Keys above 32 bits, because smaller Python integers would be written as IntWritable.
     records = spark.sparkContext.parallelize([(2**32 + i, r) for i, r in enumerate(rows)], 3)
