@@ -60,11 +60,11 @@ def count_levels(counts: DataFrame) -> DataFrame:
     return _grouping_sets(counts, [PAIR, ("period", "w1"), ("period", "w2"), ("period",)])
 
 
-def join_by_period(rows: DataFrame, totals: DataFrame) -> DataFrame:
+def join_by_period(rows: DataFrame, totals: DataFrame, periods: int | None = None) -> DataFrame:
     """Join a written table of one row per period, which is counted and then broadcast."""
-    if totals.count() <= MANY_PERIODS:
-        totals = F.broadcast(totals)
-    return rows.join(totals, "period")
+    if periods is None:
+        periods = totals.count()
+    return rows.join(F.broadcast(totals) if periods <= MANY_PERIODS else totals, "period")
 
 
 def _n_pairs() -> Column:
@@ -128,12 +128,13 @@ def with_all_counts(counts: DataFrame) -> DataFrame:
     left = totals[1].select("period", "w1", "total", "n_pairs")
     right = totals[2].select("period", "w2", "total", "n_pairs")
     period = totals[3].select("period", F.col("total").alias("n"))
-    rows = totals[3].agg(F.sum("n_pairs")).first()[0] or 0
+    periods, rows = totals[3].agg(F.count(F.lit(1)), F.sum("n_pairs")).first()
+    rows = rows or 0
     out = _attach_word_total(counts, left, "w1", rows)
     out = out.select(*counts.columns, F.col("total").alias("c1"))
     out = _attach_word_total(out, right, "w2", rows)
     out = out.select(*counts.columns, "c1", F.col("total").alias("c2"))
-    return join_by_period(out, period).select(*counts.columns, "c1", "c2", "n")
+    return join_by_period(out, period, periods).select(*counts.columns, "c1", "c2", "n")
 
 
 def reverse_pairs(pairs: DataFrame) -> DataFrame:

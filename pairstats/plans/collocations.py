@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairstats.operators.clean import clean_pairs, reject_report
@@ -106,20 +106,22 @@ def stage_counts(
     pairs = materialize(pair_counts(pairs), "pair_counts")
     scores = association_scores(with_all_counts(pairs), keep_counts=False)
     chosen = either_threshold(scores, min_npmi, rel_min_npmi)
-    report = materialize(reject_report(ngrams, language, stop_words), "reject_report")
-
-    def counted(stage: str, rows: DataFrame, total=F.count(F.lit(1))) -> DataFrame:
-        return rows.agg(F.coalesce(total, F.lit(0)).alias("n_rows")).select(
-            F.lit(stage).alias("stage"), "n_rows"
-        )
-
-    n_rows = F.sum("n_rows")
-    stages = [
-        counted("input", report, n_rows),
-        counted("kept", report.where(F.col("reason") == "kept"), n_rows),
-        counted("pairs", pairs),
-        counted("scored", scores),
-        counted("selected", chosen),
-        counted("distinct_scores", one_per_score(chosen, digits)),
+    score = F.col("npmi") if digits is None else F.round("npmi", digits)
+    per_score = chosen.groupBy("period", score.alias("score")).agg(F.count(F.lit(1)).alias("rows"))
+    report = reject_report(ngrams, language, stop_words)
+    kept = F.when(F.col("reason") == "kept", F.col("n_rows"))
+    rows = F.count(F.lit(1))
+    parts = [
+        _stage_rows(report, input=F.sum("n_rows"), kept=F.sum(kept)),
+        _stage_rows(pairs, pairs=rows),
+        _stage_rows(scores, scored=rows),
+        _stage_rows(per_score, selected=F.sum("rows"), distinct_scores=rows),
     ]
-    return reduce(DataFrame.unionByName, stages)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _stage_rows(rows: DataFrame, **totals: Column) -> DataFrame:
+    """One row (stage, n_rows) for each total over ``rows``."""
+    one = rows.agg(*[F.coalesce(t, F.lit(0)).alias(stage) for stage, t in totals.items()])
+    named = [F.struct(F.lit(s).alias("stage"), F.col(s).alias("n_rows")) for s in totals]
+    return one.select(F.inline(F.array(*named)))
