@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairstats.sinks.stage import materialize
+
 
 def _at_least(score: Column, minimum: float) -> Column:
     # Spark sorts NaN above every number, so a plain comparison would keep it.
@@ -48,17 +50,30 @@ def rank_order(scores: DataFrame, digits: int | None = None) -> DataFrame:
 
 def top_k(scores: DataFrame, k: int = 10, digits: int | None = None) -> DataFrame:
     """The ``k`` best pairs of each period with their ``rank``."""
-    spark = scores.sparkSession
     order = [_score(digits).desc_nulls_last(), F.asc("w1"), F.asc("w2")]
+    limit = scores.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if k > int(limit):
+        return _top_of_ranges(scores, k, order)
+    # Up to this k Spark cuts each period to k rows before the shuffle.
+    rank = F.row_number().over(Window.partitionBy("period").orderBy(*order))
+    return scores.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _top_of_ranges(scores: DataFrame, k: int, order: list[Column]) -> DataFrame:
+    """``top_k`` for any k: no task sorts more than one range of a period.
 
-    def cut(df: DataFrame, *keys: Column | str) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        return df.withColumn("rank", rank).where(F.col("rank") <= k)
-
-    # Up to this k Spark cuts each period to k rows before the shuffle. Beyond it, cut slices of
-    # a period first, so that no task ever sorts a whole period.
-    if k > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        slices = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
-        slice_of_period = F.pmod(F.xxhash64("w1", "w2"), slices)
-        scores = cut(scores, "period", slice_of_period).drop("rank")
-    return cut(scores, "period")
+    The rows are written in ranges of the order. A row's rank is its place in its range, after
+    all rows of the period in the ranges before, of which only the sizes are needed.
+    """
+    ranges = scores.repartitionByRange(F.asc("period"), *order)
+    ranges = materialize(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranges.groupBy("period", "_range").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("period").orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+    needed = sizes.select("period", "_range", before).where(F.col("_before") < k)
+    place = F.row_number().over(Window.partitionBy("period", "_range").orderBy(*order))
+    rank = (F.col("_before") + place).cast("int").alias("rank")
+    ranked = ranges.join(needed, ["period", "_range"]).select(*scores.columns, rank)
+    return ranked.where(F.col("rank") <= k)

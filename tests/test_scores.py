@@ -101,8 +101,11 @@ def test_rank_order(spark):
 
 @pytest.mark.parametrize("limit", ["1000", "3"])
 def test_top_k(spark, settings, limit):
-    """The same rows whether Spark cuts each period early or the slices do."""
-    settings(optimizer__windowGroupLimitThreshold=limit)
+    """The same rows whether Spark cuts each period early or ranges are ranked one by one."""
+    settings(
+        optimizer__windowGroupLimitThreshold=limit,
+        adaptive__coalescePartitions__enabled="false",
+    )
     df = many(spark)
     want = []
     by_period: dict[int, list] = {}
@@ -117,6 +120,22 @@ def test_top_k(spark, settings, limit):
     assert ("WindowGroupLimit" in plan) == (limit == "1000")
 
 
+def test_top_k_beyond_the_limit_ranks_all_rows(spark, settings):
+    settings(
+        optimizer__windowGroupLimitThreshold="3",
+        shuffle__partitions="7",
+        adaptive__coalescePartitions__enabled="false",
+    )
+    best = select.top_k(many(spark), 5000).orderBy("period", "rank").collect()
+    assert [tuple(r)[:4] for r in best] == [
+        tuple(r) for r in select.rank_order(many(spark)).collect()
+    ]
+    ranks: dict[int, list] = {}
+    for row in best:
+        ranks.setdefault(row.period, []).append(row.rank)
+    assert all(r == list(range(1, len(r) + 1)) for r in ranks.values())
+
+
 def test_one_per_score_reduces_before_the_shuffle(spark):
     df = select.one_per_score(many(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
