@@ -48,3 +48,39 @@ def bounded_sample(rows: DataFrame, bound: int) -> DataFrame:
     Spark keeps ``bound`` rows of each task at most (a top-k), so this needs no large task.
     """
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+
+
+def wrapped(docs: DataFrame) -> DataFrame:
+    """(_doc, doc_id, text): every column of ``docs`` as one struct, out of the way of new names."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return docs.select(
+        whole,
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+
+
+def map_texts(
+    df: DataFrame, added: str, function: Callable[[list[str]], list[list]], drop: str = "text"
+) -> DataFrame:
+    """``df`` with the columns ``added`` (a DDL schema) that ``function`` makes of a batch of texts.
+
+    ``function`` takes the texts of one Arrow batch and returns one list for each added column.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    new = StructType.fromDDL(added)
+    kept = [f for f in df.schema.fields if f.name != drop]
+    schema = StructType(kept + new.fields)
+
+    def run(batches):
+        types = to_arrow_schema(new)
+        for batch in batches:
+            made = function(batch.column("text").to_pylist())
+            columns = [batch.column(f.name) for f in kept]
+            columns += [pa.array(x, type=t.type) for x, t in zip(made, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.mapInArrow(run, schema)

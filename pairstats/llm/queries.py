@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pairstats.llm.common import table
+from pairstats.llm.common import fold_of, table, texts_of
+from pairstats.llm.minhash import near_duplicates
 from pairstats.llm.quality_rules import apply_quality_rules
+from pairstats.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,3 +25,20 @@ def query(function: Query) -> Query:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     return apply_quality_rules(documents, labels).drop("failed")
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = score_toxicity(texts_of(documents), labels, fold_of("doc_id", 3) != 1)
+    return scored.select(
+        "doc_id",
+        (fold_of("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op3_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
