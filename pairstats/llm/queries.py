@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from pairstats.llm.common import fold_of, table, texts_of
 from pairstats.llm.minhash import near_duplicates
+from pairstats.llm.packing import pack_documents
+from pairstats.llm.pii import digest_personal_data
 from pairstats.llm.quality_rules import apply_quality_rules
 from pairstats.llm.toxicity import score_toxicity
 
@@ -42,3 +44,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_personal_data(table(spark, sf_dir, "documents"))
