@@ -61,11 +61,12 @@ def wrapped(docs: DataFrame) -> DataFrame:
 
 
 def map_texts(
-    df: DataFrame, added: str, function: Callable[[list[str]], list[list]], drop: str = "text"
+    df: DataFrame, added: str, function: Callable, drop: str = "text", per_task: bool = False
 ) -> DataFrame:
     """``df`` with the columns ``added`` (a DDL schema) that ``function`` makes of a batch of texts.
 
     ``function`` takes the texts of one Arrow batch and returns one list for each added column.
+    With ``per_task`` it takes nothing and returns such a function, once for each task.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -77,8 +78,9 @@ def map_texts(
 
     def run(batches):
         types = to_arrow_schema(new)
+        over = function() if per_task else function
         for batch in batches:
-            made = function(batch.column("text").to_pylist())
+            made = over(batch.column("text").to_pylist())
             columns = [batch.column(f.name) for f in kept]
             columns += [pa.array(x, type=t.type) for x, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)

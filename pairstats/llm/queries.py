@@ -11,8 +11,10 @@ from pairstats.llm.common import fold_of, table, texts_of
 from pairstats.llm.minhash import near_duplicates
 from pairstats.llm.packing import pack_documents
 from pairstats.llm.pii import digest_personal_data
+from pairstats.llm.pieces import encoded_digests
 from pairstats.llm.quality_rules import apply_quality_rules
 from pairstats.llm.toxicity import score_toxicity
+from pairstats.llm.trie_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +56,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
