@@ -39,3 +39,23 @@ def components(links: DataFrame) -> DataFrame:
         if jumped.where("new <> label").isEmpty():
             return jumped.select("id", F.col("new").alias("component"))
         labels = jumped.select("id", F.col("new").alias("label"))
+
+
+def blocks(members: DataFrame, key: str, node: str, block: int) -> DataFrame:
+    """``members`` dealt so that any two of a ``key`` meet in one group (key, left, right).
+
+    A key with more than ``block`` members is cut into parts by a hash of the node, and each part
+    meets each other part in a group of its own, so no group holds more than about two parts.
+    ``own`` is the part of a row. Keys with one member alone are left out.
+    """
+    sizes = members.groupBy(key).agg(F.count("*").alias("size")).where("size > 1")
+    rows = members.join(sizes, key)
+    parts = F.ceil(F.col("size") / block).cast("int")
+    own = F.pmod(F.xxhash64(node), parts).cast("int")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return rows.select(
+        *members.columns,
+        "own",
+        F.least("own", "other").alias("left"),
+        F.greatest("own", "other").alias("right"),
+    )

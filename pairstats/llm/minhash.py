@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairstats.llm.common import map_texts, texts_of
-from pairstats.llm.graph import components
+from pairstats.llm.graph import blocks, components
 from pairstats.sinks.stage import materialize
 
 WIDTH = 4
@@ -206,24 +206,11 @@ def _star(members: DataFrame, largest: bool) -> DataFrame:
 def _block_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """Likely pairs of members of a bucket whose components differ, block against block."""
     several = members.groupBy("band").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size")
-    ).where("least < most")
-    rows = members.join(several.select("band", "size"), "band")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    rows = rows.withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
-    )
-    rows = rows.join(nodes.select("node", "n", "signature"), "node").select(
-        "band",
-        F.least("own", "other").alias("left"),
-        F.greatest("own", "other").alias("right"),
-        "own",
-        "node",
-        "component",
-        "n",
-        "signature",
+        F.min("component").alias("least"), F.max("component").alias("most")
     )
+    rows = members.join(several.where("least < most").select("band"), "band")
+    rows = rows.join(nodes.select("node", "n", "signature"), "node")
+    dealt = blocks(rows, "band", "node", BLOCK)
 
     def compare(key, table):
         node, component, size, own = (
@@ -249,7 +236,7 @@ def _block_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
         pairs = np.unique(np.sort(pairs, 1), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    compared = rows.groupBy("band", "left", "right").applyInArrow(compare, "a bigint, b bigint")
+    compared = dealt.groupBy("band", "left", "right").applyInArrow(compare, "a bigint, b bigint")
     return compared.distinct()
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairstats.llm.caps import near_vectors
 from pairstats.llm.common import fold_of, table, texts_of
+from pairstats.llm.compression import score_quality
 from pairstats.llm.minhash import near_duplicates
 from pairstats.llm.packing import pack_documents
 from pairstats.llm.pii import digest_personal_data
@@ -66,3 +68,20 @@ def op2_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_cap_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = score_quality(texts_of(documents), labels, fold_of("doc_id", 3) != 1)
+    return scored.select(
+        "doc_id",
+        (fold_of("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
