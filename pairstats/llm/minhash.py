@@ -8,8 +8,8 @@ every bucket, and each candidate is confirmed on the full shingle sets:
 1. every member of a bucket with its smallest one,
 2. every member with its largest one, where they are not yet connected,
 3. in buckets that still hold several components, all pairs of members of different components,
-   in blocks of bounded size; signatures are compared inside the block, and only likely pairs
-   leave it.
+   in blocks of bounded size; sets are compared inside the block, and only pairs that meet the
+   threshold leave it.
 
 So a large group of copies costs a row for each member, and no pair of a bucket is left out.
 """
@@ -124,14 +124,6 @@ def _signatures(texts: list[str], width: int) -> list[list]:
     return [sizes, digests, signatures, bands]
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal values, of each signature in ``a`` with each in ``b``: columns of each."""
-    equal = np.zeros((a.shape[1], b.shape[1]), np.uint16)
-    for x, y in zip(a, b, strict=True):
-        equal += x[:, None] == y[None, :]
-    return equal / np.float32(len(a))
-
-
 def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures agree often enough and whose sizes allow a link."""
     side = lambda x: nodes.select(
@@ -203,37 +195,53 @@ def _star(members: DataFrame, largest: bool) -> DataFrame:
     ).distinct()
 
 
-def _block_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs of members of a bucket whose components differ, block against block."""
+def _block_pairs(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Pairs of members of a bucket whose components differ, block against block.
+
+    Blocks hold the sets, shortened to 32 bits a shingle, so that only pairs that meet the
+    threshold leave them: equal low bits of different shingles can add a pair, never lose one.
+    """
     several = members.groupBy("band").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     )
     rows = members.join(several.where("least < most").select("band"), "band")
-    rows = rows.join(nodes.select("node", "n", "signature"), "node")
-    dealt = blocks(rows, "band", "node", BLOCK)
+    rows = materialize(rows, "block_members")
+    ids = rows.select(F.col("node").alias("doc_id")).distinct()
+
+    def shortened():
+        known = _Hashes()
+        return lambda texts: [
+            [shingles(t, width, known).astype(np.uint32).tobytes() for t in texts]
+        ]
+
+    held = texts.join(ids, "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
+    sets = materialize(map_texts(held, "shingles binary", shortened, per_task=True), "block_sets")
+    dealt = blocks(rows.join(sets, "node"), "band", "node", BLOCK)
 
     def compare(key, table):
-        node, component, size, own = (
-            table.column(c).to_numpy() for c in ("node", "component", "n", "own")
-        )
-        bits = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16)
-        bits = np.ascontiguousarray(bits.reshape(len(node), -1).T)
+        node, component, own = (table.column(c).to_numpy() for c in ("node", "component", "own"))
+        raw = table.column("shingles").to_pylist()
+        size = np.array([len(x) // 4 for x in raw])
+        _, flat = np.unique(np.frombuffer(b"".join(raw), np.uint32), return_inverse=True)
+        ends = np.cumsum(size)
         one = np.flatnonzero(own == key[1].as_py())
         two = np.flatnonzero(own == key[2].as_py())
-        found = []
-        for at in range(0, len(one), 64):
-            part = one[at : at + 64]
-            ok = component[part][:, None] != component[two][None, :]
-            low = np.minimum(size[part][:, None], size[two][None, :])
-            high = np.maximum(size[part][:, None], size[two][None, :])
-            ok &= 100 * low >= PERCENT * high
-            ok &= node[part][:, None] != node[two][None, :]
-            if ok.any():
-                ok &= _agreement(bits[:, part], bits[:, two]) >= LIKELY
-            x, y = np.nonzero(ok)
-            found.append(np.stack([node[part][x], node[two][y]], 1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        pairs = np.unique(np.sort(pairs, 1), axis=0)
+        right = np.concatenate([flat[ends[j] - size[j] : ends[j]] for j in two])
+        starts = np.cumsum(size[two]) - size[two]
+        marked = np.zeros(flat.max() + 1, np.int32)
+        found = [np.empty((0, 2), np.int64)]
+        for i in one:
+            low, high = np.minimum(size[i], size[two]), np.maximum(size[i], size[two])
+            ok = (component[two] != component[i]) & (100 * low >= PERCENT * high)
+            if not ok.any():
+                continue
+            mine = flat[ends[i] - size[i] : ends[i]]
+            marked[mine] = 1
+            both = np.add.reduceat(marked[right], starts)
+            marked[mine] = 0
+            ok &= 100 * both >= PERCENT * (size[i] + size[two] - both)
+            found += [np.array([[node[i], node[j]]]) for j in two[ok]]
+        pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     compared = dealt.groupBy("band", "left", "right").applyInArrow(compare, "a bigint, b bigint")
@@ -271,7 +279,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     marked = members.withColumn("component", F.col("node"))
     for step in ("smallest", "largest", "blocks"):
         if step == "blocks":
-            pairs = _block_pairs(marked, nodes)
+            pairs = _block_pairs(marked, plain, width)
         else:
             pairs = _likely_pairs(_star(marked, step == "largest"), nodes)
         links = materialize(links.union(_confirmed(pairs, plain, width)), "links")

@@ -11,6 +11,7 @@ from pairstats.llm.caps import near_vectors
 from pairstats.llm.common import fold_of, table, texts_of
 from pairstats.llm.compression import score_quality
 from pairstats.llm.minhash import near_duplicates
+from pairstats.llm.mixing import score_texts
 from pairstats.llm.packing import pack_documents
 from pairstats.llm.pii import digest_personal_data
 from pairstats.llm.pieces import encoded_digests
@@ -85,3 +86,11 @@ def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = score_texts(documents, fold_of("doc_id", 7) != 2)
+    held_out = (fold_of("doc_id", 7) == 2).alias("held_out")
+    return scored.select("doc_id", held_out, *[c for c in scored.columns if c != "doc_id"])
