@@ -20,15 +20,24 @@ _SAFE = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?= [^\s\x1c-\x1f\x85])")
 _RUNS = re.compile("▁+[^▁]*")
 
 
-def blank_chunks(text: str) -> list[str]:
+def blank_keys(text: str) -> list[str]:
     """Cut before each single blank between two characters that are no white space.
 
-    A byte-level tokenizer's pattern never matches across such a place.
+    A byte-level tokenizer's pattern never matches across such a place. A chunk that begins with
+    that blank is given without it, any other one with a blank behind it: see ``chunk_of``.
     """
-    if text[:1] == " " or text[-1:] == " " or any(o in text for o in _ODD):
-        return _SAFE.split(text) if text else []
-    first, *rest = text.split(" ")
-    return [first, *[" " + p for p in rest]] if text else []
+    if not text:
+        return []
+    if text[0] == " " or text[-1] == " " or any(o in text for o in _ODD):
+        first, *rest = _SAFE.split(text)
+        return [first + " ", *[c[1:] if " " not in c[1:] else c + " " for c in rest]]
+    keys = text.split(" ")
+    keys[0] += " "
+    return keys
+
+
+def chunk_of(key: str) -> str:
+    return key[:-1] if key[-1] == " " else " " + key
 
 
 def piece_chunks(text: str) -> list[str]:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairstats.llm.common import SPACES, labelled, let
+from pairstats.llm.common import SPACES, labelled, let, wrapped
 from pairstats.sinks.stage import materialize
 
 #: Characters that count as symbols.
@@ -239,18 +239,11 @@ def certified_cutoffs(labelled_counts: DataFrame, risk: float, delta: float) ->
     )
 
 
-def apply_quality_rules(
-    docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA
-) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed).
+def judge(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """``counts`` (doc_id, the counts of ``rule_counts``, others) with base_failed, kept and failed.
 
-    One row for each row of ``docs``, repeated ones and ones without id included; ``failed`` lists
-    the certified rules that reject the text. A null text has no words and fails the fixed rules.
-    Labels other than 0 and 1 or without id count for nothing; without labels the fixed rules
-    alone decide. An empty table gives an empty result.
+    ``failed`` lists the certified rules that reject the text.
     """
-    counts = rule_counts(docs.select(F.col("doc_id").cast("bigint"), "text")).drop("text")
-    counts = materialize(counts, "rule_counts")
     good = labelled(labels, "quality")
     once = counts.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     cutoffs = certified_cutoffs(once.join(good, "doc_id"), risk, delta)
@@ -262,22 +255,36 @@ def apply_quality_rules(
     names = F.array(*[F.lit(x) for x in RULES])
     marked = counts.withColumn("stratum", stratum()).withColumn("values", rule_values())
     marked = marked.join(F.broadcast(cutoffs), "stratum", "left")
-    none = F.array().cast("array<string>")
     failed = F.coalesce(
         F.transform(
             F.filter("cutoffs", lambda x: F.col("values")[x["rule"]] > x["cutoff"]),
             lambda x: names[x["rule"]],
         ),
-        none,
+        F.array().cast("array<string>"),
     )
     return marked.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
+        *counts.columns,
         base_failed().alias("base_failed"),
         (~base_failed() & (F.size(failed) == 0)).alias("kept"),
         F.array_sort(failed).alias("failed"),
     )
+
+
+def apply_quality_rules(
+    docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA
+) -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed).
+
+    One row for each row of ``docs``, repeated ones and ones without id included. A null text has
+    no words and fails the fixed rules. Labels other than 0 and 1 or without id count for nothing;
+    without labels the fixed rules alone decide. An empty table gives an empty result.
+    """
+    counts = rule_counts(docs.select(F.col("doc_id").cast("bigint"), "text")).drop("text")
+    judged = judge(materialize(counts, "rule_counts"), labels, risk, delta)
+    return judged.drop("n_lines", "n_upper", "n_bars", "n_bangs")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that fail neither the fixed rules nor a certified one, all columns."""
+    counts = materialize(rule_counts(wrapped(docs)).drop("text"), "rule_counts")
+    return judge(counts, labels).where("kept").select("_doc.*")
