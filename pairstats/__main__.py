@@ -1,4 +1,4 @@
-"""Run from a shell: ``spark-submit ... -m pairstats`` or ``python -m pairstats``."""
+"""Run from a shell: ``python -m pairstats``, or on a cluster ``spark-submit submit.py``."""
 
 from __future__ import annotations
 

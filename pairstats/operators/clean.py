@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairstats.functions.keys import nth_field, period_bucket
@@ -18,11 +18,11 @@ from pairstats.functions.words import (
     second_word,
     stop_word_list,
 )
+from pairstats.operators.counts import HOT_PAIRS, HOT_WORDS, slice_hot
 from pairstats.sinks.stage import materialize
 
-# The longest stop list to broadcast, in words, and the slices for longer ones.
-LONG_LIST = 1_000_000
-LIST_SLICES = 32
+# A longer list of stop words becomes a table, instead of text in the plan.
+LONG_LIST = 5_000
 
 # The shape of a line. At least four fields, of which empty ones at the end do not
 # count; and, in a numeric line, digits with at most a sign (no blanks) in fields two and three.
@@ -123,6 +123,40 @@ def reject_report(
     return ngrams.groupBy(outcome.alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def pair_outcomes(
+    ngrams: DataFrame, language: str, width: int = 10, stop_words: Iterable[str] | None = None
+) -> DataFrame:
+    """(reason, period, w1, w2, c12, n_facts): all facts in one pass.
+
+    Good ones are counted by pair with a NULL reason, rejected ones by reason with NULL words.
+    """
+    reason = reject_reason(ngrams, language, stop_words)
+    judged = ngrams.select("ngram", "year", "match_count", reason.alias("reason"))
+    good, ngram = F.col("reason").isNull(), F.col("ngram")
+    keyed = judged.select(
+        "reason",
+        F.when(good, period_bucket(F.col("year"), width)).alias("period"),
+        F.when(good, first_word(ngram)).alias("w1"),
+        F.when(good, second_word(ngram)).alias("w2"),
+        "match_count",
+    )
+    return keyed.groupBy("reason", "period", "w1", "w2").agg(
+        F.sum("match_count").alias("c12"), F.count(F.lit(1)).alias("n_facts")
+    )
+
+
+def stop_table(
+    spark: SparkSession, stop_words: Iterable[str] | DataFrame | None
+) -> list[str] | DataFrame | None:
+    """Stop words as given, but a long list as a table."""
+    if stop_words is None or isinstance(stop_words, DataFrame):
+        return stop_words
+    words = list(stop_words)
+    if len(words) <= LONG_LIST:
+        return words
+    return spark.createDataFrame([(word,) for word in words], "word string")
+
+
 def clean_pairs(
     ngrams: DataFrame,
     language: str,
@@ -132,8 +166,10 @@ def clean_pairs(
 ) -> DataFrame:
     """Good rows as (period, w1, w2, match_count). Case is kept unless ``fold_case`` is set.
 
-    Stop words given as a table (column ``word``) are dropped by ``drop_stop_pairs``.
+    Stop words given as a table (column ``word``), or as a long list, are dropped by
+    ``drop_stop_pairs``.
     """
+    stop_words = stop_table(ngrams.sparkSession, stop_words)
     if isinstance(stop_words, DataFrame):
         pairs = clean_pairs(ngrams, language, width, fold_case, [])
         return drop_stop_pairs(pairs, stop_words, language)
@@ -148,24 +184,26 @@ def clean_pairs(
 def drop_stop_pairs(pairs: DataFrame, stop_words: DataFrame, language: str) -> DataFrame:
     """Drop pairs with a word of ``stop_words(word)`` in either place, by anti-join.
 
-    For lists too long for a literal set. The list is written and counted first. Up to
-    ``LONG_LIST`` words it is broadcast; a longer one is shuffled, repeated for each of
-    ``LIST_SLICES`` slices of the pairs, so that no task gets all pairs of a frequent word.
+    For lists too long for a literal set; words and list meet in the form they are looked up in.
+    The list is first cut to words that occur, each with the number of its pairs: both sides of that
+    join have one row for each word. Only what is left meets the pairs, sliced where a word is
+    hot. Give it counted pairs, not facts: the outcome is the same, with fewer rows to shuffle.
     """
     check_language(language)
-    words = stop_words.select(F.col("word").alias("_stop")).distinct()
-    words = materialize(words, "stop_words")
-    long = words.count() > LONG_LIST
-    if long:
-        every = F.sequence(F.lit(0), F.lit(LIST_SLICES - 1))
-        words = words.select("_stop", F.explode(every).alias("_slice"))
-    else:
-        words = F.broadcast(words)
+    listed = stop_words.select(lookup_form(F.col("word"), language).alias("_word")).distinct()
+    listed = materialize(listed, "stop_words")
+    columns = pairs.columns
     for place, other in (("w1", "w2"), ("w2", "w1")):
-        found = lookup_form(F.col(place), language) == F.col("_stop")
-        if long:
-            found &= F.pmod(F.xxhash64(other), F.lit(LIST_SLICES)) == F.col("_slice")
-        pairs = pairs.join(words, found, "left_anti")
+        keyed = pairs.withColumn("_word", lookup_form(F.col(place), language))
+        seen = keyed.groupBy("_word").agg(F.count(F.lit(1)).alias("n_pairs"))
+        found = materialize(seen.join(listed, "_word", "left_semi"), "stop_words")
+        most, rows = found.agg(F.max("n_pairs"), F.sum("n_pairs")).first()
+        limit = max((rows or 0) // HOT_WORDS, HOT_PAIRS)
+        if (most or 0) > limit:
+            marked, sliced = slice_hot(keyed, found, ["_word"], other, limit)
+            pairs = marked.join(sliced, ["_word", "_slice"], "left_anti").select(columns)
+        else:
+            pairs = keyed.join(found, "_word", "left_anti").select(columns)
     return pairs
 
 

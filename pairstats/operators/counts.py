@@ -82,15 +82,27 @@ def _attach_word_total(counts: DataFrame, totals: DataFrame, place: str, rows: i
     limit = max(rows // HOT_WORDS, HOT_PAIRS)
     if rows <= limit or totals.agg(F.max("n_pairs")).first()[0] <= limit:
         return counts.join(totals.drop("n_pairs"), keys)
+    marked, sliced = slice_hot(counts, totals, keys, "w2" if place == "w1" else "w1", limit)
+    return marked.join(sliced, [*keys, "_slice"])
+
+
+def slice_hot(
+    pairs: DataFrame, words: DataFrame, keys: list[str], other: str, limit: int
+) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` and ``words`` (keys, n_pairs, more) with ``_slice``, for joins on keys and slice.
+
+    A word with more than ``limit`` pairs has as many slices as it exceeds that; its pairs are dealt
+    by the hash of column ``other``. The hot words, fewer than rows / limit, are broadcast.
+    """
     slices = F.ceil(F.col("n_pairs") / F.lit(limit)).cast("int")
-    hot = totals.where(F.col("n_pairs") > limit).select(*keys, slices.alias("_slices"))
-    other = "w2" if place == "w1" else "w1"
+    hot = words.where(F.col("n_pairs") > limit).select(*keys, slices.alias("_slices"))
     own_slice = F.pmod(F.xxhash64(other), F.col("_slices")).cast("int")
-    marked = counts.join(F.broadcast(hot), keys, "left").select(
-        *counts.columns, F.coalesce(own_slice, F.lit(0)).alias("_slice")
+    marked = pairs.join(F.broadcast(hot), keys, "left").select(
+        *pairs.columns, F.coalesce(own_slice, F.lit(0)).alias("_slice")
     )
     each_slice = F.explode(F.sequence(F.lit(0), slices - 1)).alias("_slice")
-    return marked.join(totals.select(*keys, "total", each_slice), [*keys, "_slice"])
+    rest = [c for c in words.columns if c not in keys and c != "n_pairs"]
+    return marked, words.select(*keys, *rest, each_slice)
 
 
 def _with_word_count(counts: DataFrame, place: str, name: str) -> DataFrame:

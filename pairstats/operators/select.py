@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from pairstats.sinks.stage import materialize
 
+# Rows of one period that may meet in one task while its best pairs are ranked.
+MANY_ROWS = 1_000_000
+
 
 def _at_least(score: Column, minimum: float) -> Column:
     # Spark sorts NaN above every number, so a plain comparison would keep it.
@@ -49,12 +52,15 @@ def rank_order(scores: DataFrame, digits: int | None = None) -> DataFrame:
 
 
 def top_k(scores: DataFrame, k: int = 10, digits: int | None = None) -> DataFrame:
-    """The ``k`` best pairs of each period with their ``rank``."""
+    """The ``k`` best pairs of each period with their ``rank``; rows without period are one, too.
+
+    Either way gives the same rows. While k rows of each task are few, Spark cuts each period to
+    k rows in every task before the shuffle; else rows are ranked range by range.
+    """
     order = [_score(digits).desc_nulls_last(), F.asc("w1"), F.asc("w2")]
     limit = scores.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    if k > int(limit):
+    if k > int(limit) or k * scores.rdd.getNumPartitions() > MANY_ROWS:
         return _top_of_ranges(scores, k, order)
-    # Up to this k Spark cuts each period to k rows before the shuffle.
     rank = F.row_number().over(Window.partitionBy("period").orderBy(*order))
     return scores.withColumn("rank", rank).where(F.col("rank") <= k)
 
@@ -75,5 +81,7 @@ def _top_of_ranges(scores: DataFrame, k: int, order: list[Column]) -> DataFrame:
     needed = sizes.select("period", "_range", before).where(F.col("_before") < k)
     place = F.row_number().over(Window.partitionBy("period", "_range").orderBy(*order))
     rank = (F.col("_before") + place).cast("int").alias("rank")
-    ranked = ranges.join(needed, ["period", "_range"]).select(*scores.columns, rank)
+    needed = needed.select(F.col("period").alias("_of"), F.col("_range").alias("_in"), "_before")
+    same = ranges["period"].eqNullSafe(needed["_of"]) & (ranges["_range"] == needed["_in"])
+    ranked = ranges.join(needed, same).select(*[ranges[c] for c in scores.columns], rank)
     return ranked.where(F.col("rank") <= k)

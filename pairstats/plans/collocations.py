@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairstats.operators.clean import clean_pairs, reject_report
+from pairstats.operators.clean import clean_pairs, drop_stop_pairs, pair_outcomes, stop_table
 from pairstats.operators.counts import pair_counts, with_all_counts, with_period_total
 from pairstats.operators.scoring import with_npmi, with_relative_npmi
 from pairstats.operators.select import either_threshold, one_per_score, rank_order
@@ -30,8 +30,14 @@ def association_counts(
     stop_words: Iterable[str] | DataFrame | None = None,
 ) -> DataFrame:
     """Clean and count: (period, w1, w2, c12, c1, c2, n)."""
-    pairs = clean_pairs(ngrams, language, width, fold_case, stop_words)
-    return with_all_counts(materialize(pair_counts(pairs), "pair_counts"))
+    stop_words = stop_table(ngrams.sparkSession, stop_words)
+    table = isinstance(stop_words, DataFrame)
+    pairs = clean_pairs(ngrams, language, width, fold_case, [] if table else stop_words)
+    pairs = materialize(pair_counts(pairs), "pair_counts")
+    if table:
+        # Stop words are a matter of the words alone, so they can go after counting.
+        pairs = materialize(drop_stop_pairs(pairs, stop_words, language), "pair_counts")
+    return with_all_counts(pairs)
 
 
 def association_scores(counts: DataFrame, keep_counts: bool = True) -> DataFrame:
@@ -100,20 +106,24 @@ def stage_counts(
 ) -> DataFrame:
     """Rows that leave each stage of a run: (stage, n_rows).
 
-    Plain counts of the facts and of the written tables, so a task that runs twice counts once.
+    One scan: facts are counted by pair, the rejected ones under no pair with their reason. Plain
+    counts of written tables, so a task that runs twice counts once.
     """
-    pairs = clean_pairs(ngrams, language, width, False, stop_words)
-    pairs = materialize(pair_counts(pairs), "pair_counts")
+    outcomes = materialize(pair_outcomes(ngrams, language, width, stop_words), "outcomes")
+    pairs = outcomes.where(F.col("reason").isNull()).select("period", "w1", "w2", "c12")
     scores = association_scores(with_all_counts(pairs), keep_counts=False)
     chosen = either_threshold(scores, min_npmi, rel_min_npmi)
     score = F.col("npmi") if digits is None else F.round("npmi", digits)
     per_score = chosen.groupBy("period", score.alias("score")).agg(F.count(F.lit(1)).alias("rows"))
-    report = reject_report(ngrams, language, stop_words)
-    kept = F.when(F.col("reason") == "kept", F.col("n_rows"))
+    good = F.col("reason").isNull()
     rows = F.count(F.lit(1))
     parts = [
-        _stage_rows(report, input=F.sum("n_rows"), kept=F.sum(kept)),
-        _stage_rows(pairs, pairs=rows),
+        _stage_rows(
+            outcomes,
+            input=F.sum("n_facts"),
+            kept=F.sum(F.when(good, F.col("n_facts"))),
+            pairs=F.count(F.when(good, F.lit(1))),
+        ),
         _stage_rows(scores, scored=rows),
         _stage_rows(per_score, selected=F.sum("rows"), distinct_scores=rows),
     ]

@@ -2,39 +2,110 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Folders of local sessions that name none, and folders found to be shared, by application.
+_local_folders: dict[str, str] = {}
+_seen_folders: set[tuple[str, str]] = set()
+# Folders of the open runs, the innermost last.
+_runs: list[str] = []
+
+
+def _hadoop_path(spark: SparkSession, folder: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+
+
+def file_system(spark: SparkSession, folder: str):
+    """The Hadoop file system that a folder resolves to."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return _hadoop_path(spark, folder).getFileSystem(conf)
+
+
+def is_local(spark: SparkSession, folder: str) -> bool:
+    """True if a folder, once resolved, is on a file system of the machine at hand."""
+    return file_system(spark, folder).getUri().getScheme() == "file"
+
+
+def _check_shared(spark: SparkSession, folder: str) -> None:
+    """Refuse a folder on a local file system that executors do not see.
+
+    A folder that all machines mount is local by name only: a marker written by the driver tells.
+    """
+    context = spark.sparkContext
+    key = (context.applicationId, folder)
+    if context.master.startswith("local") or key in _seen_folders or not is_local(spark, folder):
+        return
+    marker = f"{folder.rstrip('/')}/.pairstats-{uuid.uuid4().hex}"
+    files, path = file_system(spark, folder), _hadoop_path(spark, marker)
+    files.mkdirs(path)
+    try:
+        plain = path.toUri().getPath()
+        tasks = max(2, context.defaultParallelism)
+        if not all(context.parallelize(range(tasks), tasks).map(lambda _: os.path.isdir(plain)).collect()):
+            raise ValueError(f"{folder} is local to the driver; name a folder all executors share")
+    finally:
+        files.delete(path, True)
+    _seen_folders.add(key)
+
 
 def stage_root(spark: SparkSession) -> str:
     """The shared folder for written tables: the session's ``spark.checkpoint.dir``.
 
-    A local session without one gets a temporary folder. A cluster session must name one: other
-    machines cannot read a temporary folder of the driver.
+    A local session without one gets a temporary folder. A cluster session must name one that its
+    executors see: a folder of one machine alone is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pairstats-"))
-    return context.getCheckpointDir()
+    if folder or context.getCheckpointDir():
+        folder = folder or context.getCheckpointDir()
+        _check_shared(spark, folder)
+        return folder
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    application = context.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="pairstats-")
+    return _local_folders[application]
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{stage_root(spark).rstrip('/')}/pairstats/{spark.sparkContext.applicationId}"
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, in a folder of the application's own.
 
-    Nothing is deleted here: the caller's result still reads from it. Remove the application's
-    folder when its results are no longer needed, as with checkpoint files.
+    Nothing is deleted here: the caller's result still reads from it. See ``written_tables`` and
+    ``free_tables``.
     """
-    application = spark.sparkContext.applicationId
-    return f"{stage_root(spark).rstrip('/')}/pairstats/{application}/{uuid.uuid4().hex}/{name}"
+    folder = _runs[-1] if _runs else _application_folder(spark)
+    return f"{folder}/{uuid.uuid4().hex}/{name}"
+
+
+@contextlib.contextmanager
+def written_tables(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside the block go with its end: take or write results before that."""
+    folder = f"{_application_folder(spark)}/run-{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _runs.remove(folder)
+        file_system(spark, folder).delete(_hadoop_path(spark, folder), True)
+
+
+def free_tables(spark: SparkSession) -> None:
+    """Delete all tables this application has written; results that read them are gone, too."""
+    folder = _application_folder(spark)
+    file_system(spark, folder).delete(_hadoop_path(spark, folder), True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -60,7 +131,10 @@ def materialize_by(df: DataFrame, column: str, values: list, name: str) -> dict:
     def part(value) -> DataFrame:
         try:
             return spark.read.schema(schema).parquet(f"{path}/{column}={value}")
-        except AnalysisException:  # no row has this value, so there is no folder
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            # No row has this value, so there is no folder.
             return spark.createDataFrame([], schema)
 
     return {value: part(value) for value in values}

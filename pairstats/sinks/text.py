@@ -25,21 +25,28 @@ def write_pair_text(df: DataFrame, path: str, values: Sequence[str]) -> None:
     df.select(_line(values).alias("value")).write.mode("errorifexists").text(path)
 
 
-def write_scored_text(df: DataFrame, path: str, values: Sequence[str] = ("npmi",)) -> None:
+def write_scored_text(
+    df: DataFrame, path: str, values: Sequence[str] = ("npmi",), digits: int | None = None
+) -> None:
     """Write ranked lines. The path must be new.
 
     Every part file is in rank order, and so is their sequence. A period is not tied to one
-    file: a large one spans several.
+    file: a large one spans several. ``digits`` rounds the score for the order.
     """
-    write_pair_text(rank_order(df), path, values)
+    write_pair_text(rank_order(df, digits), path, values)
 
 
 def write_top_k_report(
     df: DataFrame, path: str, k: int = 10, digits: int | None = None
 ) -> None:
-    """Write the ``k`` best pairs of each period to one file, a blank line before each period."""
+    """Write the ``k`` best pairs of each period, a blank line before each period.
+
+    Part files hold ranges of (period, rank), so that any k can be written; read in the order of
+    their names they are the report.
+    """
     lines = F.when(F.col("rank") == 1, F.array(F.lit(""), _line(["npmi"])))
-    report = top_k(df, k, digits).repartition(1).sortWithinPartitions("period", "rank")
+    report = top_k(df, k, digits).repartitionByRange("period", "rank")
+    report = report.sortWithinPartitions("period", "rank")
     (
         report.select(F.explode(lines.otherwise(F.array(_line(["npmi"])))).alias("value"))
         .write.mode("errorifexists")

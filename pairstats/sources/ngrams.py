@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JError
+from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pairstats.functions.words import check_language
 from pairstats.operators.clean import parse_ngram_lines, sample_rows
@@ -28,22 +31,37 @@ def read_ngrams_text(
     return parse_ngram_lines(_sampled(lines, fraction, seed))
 
 
+def _rows_of(spark: SparkSession, records: RDD) -> DataFrame:
+    """(key, line) of records that the JVM holds.
+
+    By way of the session's own calls for rows of an RDD, which leave out the Python workers. Where
+    a Spark version has other ones, the records pass through Python.
+    """
+    schema = StructType([StructField("key", LongType()), StructField("line", StringType())])
+    try:
+        util = spark.sparkContext._jvm.org.apache.spark.api.python.SerDeUtil
+        arrays = util.toJavaArray(records._to_java_object_rdd())
+        rows = spark._jsparkSession.applySchemaToPythonRDD(arrays.rdd(), schema.json())
+        return DataFrame(rows, spark)
+    except (AttributeError, TypeError, Py4JError):
+        return spark.createDataFrame(records, schema, verifySchema=False)
+
+
 def read_ngrams_sequence(
     spark: SparkSession, path: str, fraction: float | None = None, seed: int | None = None
 ) -> DataFrame:
     """The same lines as the values of sequence files ``<LongWritable, Text>``.
 
-    Spark SQL has no sequence file format, so the lines pass once through Python workers, in
-    batches. For repeated runs write the result to Parquet and use ``read_ngrams_table``. A
-    compressed corpus needs its codec on the class path.
+    Spark SQL has no sequence file format, but the JVM reads the records and makes rows of them;
+    no Python worker takes part. For repeated runs write the result to Parquet and use
+    ``read_ngrams_table``. A compressed corpus needs its codec on the class path.
     """
     records = spark.sparkContext.sequenceFile(
         path,
         keyClass="org.apache.hadoop.io.LongWritable",
         valueClass="org.apache.hadoop.io.Text",
     )
-    values = records.map(lambda record: (record[1],))
-    lines = spark.createDataFrame(values, "line string", verifySchema=False)
+    lines = _rows_of(spark, records).select("line")
     return parse_ngram_lines(_sampled(lines, fraction, seed))
 
 

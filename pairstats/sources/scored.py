@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pairstats.functions.keys import nth_field, split_pair_key
 
 
-def read_scored_text(
-    spark: SparkSession, path: str, values: Mapping[str, str] | None = None
+def parse_scored_lines(
+    lines: DataFrame, values: Mapping[str, str] | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Read pairs with their values, given as name -> type (default: ``npmi`` as double)."""
+    """Pairs with their values out of column ``value``, after the columns ``keep``."""
     values = {"npmi": "double"} if values is None else values
     key = nth_field(F.col("value"), "\t", 1)
     rest = nth_field(F.col("value"), "\t", 2)
@@ -21,6 +21,12 @@ def read_scored_text(
         nth_field(rest, " ", i).try_cast(kind).alias(name)
         for i, (name, kind) in enumerate(values.items(), start=1)
     ]
+    return lines.select(*keep, *split_pair_key(key), *columns)
+
+
+def read_scored_text(
+    spark: SparkSession, path: str, values: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Read pairs with their values, given as name -> type (default: ``npmi`` as double)."""
     # Blank lines part the groups of a report.
-    lines = spark.read.text(path).where(F.col("value") != "")
-    return lines.select(*split_pair_key(key), *columns)
+    return parse_scored_lines(spark.read.text(path).where(F.col("value") != ""), values)

@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
-
-from pairstats.functions.words import HEBREW_STOP_WORDS, english_stop_words
+from pairstats.functions.words import ENGLISH_STOP_WORDS, HEBREW_STOP_WORDS
 
 LATIN = "".join(chr(ord("a") + i) for i in range(26))
 HEBREW = "".join(chr(0x05D0 + i) for i in range(26))
 
 
-def _spark_stop_words() -> list[str]:
-    """Spark's English list, out of its own jar, because no session may be running here."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as files:
-        return files.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
-
-
 def _values(words: list[str]) -> str:
     return ", ".join("('" + word.replace("'", "''") + "')" for word in words)
 
@@ -146,7 +134,7 @@ best AS (
 
 def statements() -> dict[str, str]:
     """Query name -> SQL, for each registered query whose rows SQL can state."""
-    stop = f"stop(word) AS (VALUES {_values(english_stop_words(_spark_stop_words()))})"
+    stop = f"stop(word) AS (VALUES {_values(ENGLISH_STOP_WORDS)})"
     hebrew_stop = f"stop(word) AS (VALUES {_values(HEBREW_STOP_WORDS)})"
 
     doc_clean = _with(stop, DOC_PAIRS, DOC_FACTS, LETTERS, CLEAN)
@@ -196,9 +184,15 @@ def statements() -> dict[str, str]:
             WHERE NOT EXISTS (SELECT 1 FROM stop WHERE word = lower(w1))
               AND NOT EXISTS (SELECT 1 FROM stop WHERE word = lower(w2))""",
         "stop_word_table": f"""{_with(stop, DOC_PAIRS)}
-            SELECT word, CAST(count(*) AS BIGINT) AS n_rows
-            FROM (SELECT lower(unnest(w)) AS w FROM words) AS s JOIN stop ON word = s.w
+            SELECT word, CAST(count(s.w) AS BIGINT) AS n_rows
+            FROM stop LEFT JOIN (SELECT lower(unnest(w)) AS w FROM words) AS s ON word = s.w
             GROUP BY word""",
+        "clean_pairs_own_list": f"""{_with(DOC_PAIRS, DOC_FACTS, LETTERS)}
+            SELECT CAST(year - year % 10 AS INTEGER) AS period, w1, w2,
+                   CAST(sum(match_count) AS BIGINT) AS c12
+            FROM letters
+            WHERE lower(w1) NOT IN ('the', 'of', 'and') AND lower(w2) NOT IN ('the', 'of', 'and')
+            GROUP BY 1, 2, 3""",
         "period_buckets": f"""{_with(DOC_PAIRS, DOC_FACTS)}
             SELECT CAST(year - year % 10 AS INTEGER) AS decade,
                    CAST(year - year % 25 AS INTEGER) AS quarter,
@@ -208,6 +202,9 @@ def statements() -> dict[str, str]:
             SELECT o_orderkey, o_custkey FROM orders
             WHERE CAST('0x' || substr(md5(concat_ws(chr(9), o_orderkey, o_custkey)), 1, 8)
                        AS BIGINT) < 2147483648""",
+        "row_sample": f"""{_with(DOC_PAIRS, DOC_FACTS)}
+            SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS share_in_bounds,
+                   true AS all_in_whole FROM facts""",
         "pair_counts": f"{doc_pairs} SELECT period, w1, w2, c12 FROM pairs",
         "left_counts": f"""{doc_clean}
             SELECT period, w1, CAST(sum(match_count) AS BIGINT) AS c1 FROM clean GROUP BY 1, 2""",
@@ -224,6 +221,7 @@ def statements() -> dict[str, str]:
         "with_right_count": f"{doc_counted} SELECT period, w1, w2, c12, c2 FROM counted",
         "with_period_total": f"{doc_counted} SELECT period, w1, w2, c12, n FROM counted",
         "association_counts": f"{doc_counted} SELECT {all_counts} FROM counted",
+        "association_counts_stop_table": f"{doc_counted} SELECT {all_counts} FROM counted",
         "association_counts_products": f"""
             {product_counted.replace("year % 10", "year % 5")} SELECT {all_counts} FROM counted""",
         "reverse_pair_view": f"""{products}
@@ -252,6 +250,13 @@ def statements() -> dict[str, str]:
             SELECT period, w1, w2, {npmi} FROM numbered WHERE place = 1""",
         "top_k_per_period": f"""{doc_scores},{BEST}
             SELECT period, rank, w1, w2, {npmi} FROM best WHERE rank <= 10""",
+        "top_k_large": f"""{doc_scores},{BEST}
+            SELECT period, rank, w1, w2, {npmi} FROM best WHERE rank <= 1500""",
+        "delivered_order": f"""{doc_scores}
+            SELECT CAST(row_number() OVER (
+                     ORDER BY period, round(npmi, 9) DESC NULLS LAST, w1, w2) AS BIGINT) AS position,
+                   period, w1, w2, {npmi}
+            FROM scores""",
         "stage_counts": f"""{doc_scores}, {CHOSEN}
             SELECT 'input' AS stage, CAST(count(*) AS BIGINT) AS n_rows FROM facts
             UNION ALL SELECT 'kept', count(*) FROM clean

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairstats.functions.keys import pair_key, period_bucket
@@ -18,7 +18,7 @@ from pairstats.sources.ngrams import (
     read_ngrams_table,
     read_ngrams_text,
 )
-from pairstats.sources.scored import read_scored_text
+from pairstats.sources.scored import parse_scored_lines, read_scored_text
 from pairstats.sources.stop_words import stop_words
 from registry.tables import (
     adjacent_pairs,
@@ -185,10 +185,20 @@ def stop_word_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stop_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each stop word of the list occurs in the documents."""
+    """How often each stop word of the list occurs in the documents, 0 for those that do not."""
     words = document_words(spark, sf_dir).select(F.explode("words").alias("w"))
     seen = words.groupBy(F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return stop_words(spark, "english").join(seen, "word")
+    every = stop_words(spark, "english").join(seen, "word", "left")
+    return every.select("word", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@query
+def clean_pairs_own_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pair counts without the words of a list of one's own, in mixed case."""
+    pairs = clean.clean_pairs(
+        document_ngrams(spark, sf_dir), "english", stop_words=["The", "OF", "and"]
+    )
+    return counts.pair_counts(pairs)
 
 
 @query
@@ -210,8 +220,20 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def row_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half of the facts at random; rows are not the same in another engine."""
-    return clean.sample_rows(document_ngrams(spark, sf_dir), 0.5, seed=7)
+    """Facts about a random half: its share, and whether any fact is in it too often."""
+    whole = document_ngrams(spark, sf_dir)
+    keys = ["ngram", "year"]
+    per = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    both = per(whole, "n_whole").join(
+        per(clean.sample_rows(whole, 0.5, seed=7), "n_sample"), keys, "full"
+    )
+    share = F.coalesce(F.sum("n_sample"), F.lit(0)) / F.sum("n_whole")
+    fits = F.coalesce("n_sample", F.lit(0)) <= F.coalesce("n_whole", F.lit(0))
+    return both.agg(
+        F.sum("n_whole").alias("n_rows"),
+        share.between(0.45, 0.55).alias("share_in_bounds"),
+        F.min(fits).alias("all_in_whole"),
+    )
 
 
 # --- counts --------------------------------------------------------------------------------
@@ -262,6 +284,13 @@ def association_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.association_counts(document_ngrams(spark, sf_dir), "english")
 
 
+@query
+def association_counts_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with stop words from a table, which is applied to counted pairs."""
+    stop = stop_words(spark, "english").select(F.upper("word").alias("word"))
+    return plans.association_counts(document_ngrams(spark, sf_dir), "english", stop_words=stop)
+
+
 @query
 def association_counts_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.association_counts(product_ngrams(spark, sf_dir), "english", width=5)
@@ -336,6 +365,13 @@ def top_k_per_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_scores(best.select("period", "rank", "w1", "w2", "npmi"))
 
 
+@query
+def top_k_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More pairs for each period than one task should rank."""
+    best = select.top_k(document_scores(spark, sf_dir), 1500, TIE_DIGITS)
+    return show_scores(best.select("period", "rank", "w1", "w2", "npmi"))
+
+
 @query
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ngrams = document_ngrams(spark, sf_dir)
@@ -360,6 +396,27 @@ def scored_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_scores(read_scored_text(spark, path, values))
 
 
+@query
+def delivered_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each pair in the written text: its line, after all part files before its own."""
+    path = stage_path(spark, "scores")
+    write_scored_text(document_scores(spark, sf_dir), path, ["npmi"], TIE_DIGITS)
+    # A part file is one row here; Spark's line reader would not tell places.
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.split(F.rtrim("value", F.lit("\n")), "\n").alias("lines"),
+    )
+    files = materialize(files.where("size(lines) > 0 AND lines[0] <> ''"), "files")
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each part file.
+    before = files.select("file", F.size("lines").alias("n")).select(
+        "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    lines = files.select("file", F.posexplode("lines").alias("at", "value")).join(before, "file")
+    position = (F.col("before") + F.col("at") + 1).alias("position")
+    return show_scores(parse_scored_lines(lines.select(position, "value"), keep=["position"]))
+
+
 @query
 def counts_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "counts")

@@ -103,34 +103,55 @@ def test_stop_lists(spark, tmp_path):
         stop_word_list("latin")
 
 
-@pytest.mark.parametrize("longest, join", [(1000, "BroadcastHashJoin"), (10, "SortMergeJoin")])
-def test_anti_join_equals_literal_list(spark, lines, settings, monkeypatch, longest, join):
-    settings(autoBroadcastJoinThreshold="-1")
-    monkeypatch.setattr(clean, "LONG_LIST", longest)
+@pytest.mark.parametrize("hot", [1, 10**6])
+def test_anti_join_equals_literal_list(spark, lines, monkeypatch, hot):
+    monkeypatch.setattr(clean, "HOT_PAIRS", hot)
     words = stop_words(spark, "english")
     joined = clean.clean_pairs(lines, "english", stop_words=words)
-    assert joined._jdf.queryExecution().sparkPlan().toString().count(join) == 2
     assert pairs_of(joined) == pairs_of(clean.clean_pairs(lines, "english"))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (hot == 1)  # the few hot words alone
 
 
-def test_long_list_spreads_a_frequent_stop_word(spark, settings, monkeypatch):
+def test_frequent_stop_word_is_spread(spark, settings, monkeypatch):
     """A word that starts a third of all pairs is dropped by many tasks, not by one."""
-    settings(
-        autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="32"
-    )
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="32")
     i = F.col("id")
-    w1 = F.when(i % 3 == 0, "the").otherwise(F.concat(F.lit("w"), i.cast("string")))
+    w1 = F.when(i % 3 == 0, "The").otherwise(F.concat(F.lit("w"), i.cast("string")))
     pairs = spark.range(0, 30000, 1, 4).select(
         w1.alias("w1"), F.concat(F.lit("v"), i.cast("string")).alias("w2")
     )
-    monkeypatch.setattr(clean, "LONG_LIST", 10)
+    monkeypatch.setattr(clean, "HOT_PAIRS", 500)
     out = clean.drop_stop_pairs(pairs, stop_words(spark, "english"), "english")
-    assert out.count() == 20000
-    shuffled = pairs.repartition(
-        32, F.lower("w1"), F.pmod(F.xxhash64("w2"), F.lit(clean.LIST_SLICES))
-    )
-    sizes = shuffled.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-    assert sizes < 30000 / 8
+    assert out.count() == 20000 and out.columns == ["w1", "w2"]
+    found = pairs.where("w1 = 'The'").groupBy("w1").agg(F.count("*").alias("n_pairs"))
+    marked, sliced = clean.slice_hot(pairs, found, ["w1"], "w2", 500)
+    assert sliced.count() == 20
+    sizes = marked.groupBy("w1", "_slice").count().agg(F.max("count")).first()[0]
+    assert sizes < 800
+
+
+def test_stop_words_in_any_case(spark, lines):
+    """Lists match in any case, whether literal, table, or a list so long that it becomes one."""
+    listed = ["York", "THE"]
+    table = spark.createDataFrame([(w,) for w in listed], "word string")
+    long = listed + [f"x{i}" for i in range(clean.LONG_LIST)]
+    want = pairs_of(clean.clean_pairs(lines, "english", stop_words=["york", "the"]))
+    assert want and not {w.lower() for r in want for w in r[1:3]} & {"york", "the"}
+    for stop in (listed, table, long):
+        assert pairs_of(clean.clean_pairs(lines, "english", stop_words=stop)) == want
+    assert isinstance(clean.stop_table(spark, long), type(table))
+
+
+def test_pair_outcomes_count_every_line(lines):
+    found = clean.pair_outcomes(lines, "english").collect()
+    rejected = Counter()
+    for row in found:
+        if row.reason is not None:
+            rejected[row.reason] += row.n_facts
+            assert row.w1 is None and row.period is None
+    assert rejected == Counter(REJECTED.values())
+    assert sum(r.n_facts for r in found if r.reason is None) == len(kept_lines())
 
 
 def test_own_stop_words(lines):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import REJECTED, kept_lines
 from pairstats import association_counts
 from pairstats.operators.clean import clean_pairs
+from pairstats.sinks import stage
 from pairstats.sinks.stage import materialize, read_stage, stage_path, stage_root, write_stage
 from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
 from pairstats.sources import ngrams as sources
@@ -87,7 +88,7 @@ def test_sinks_never_overwrite(scored, tmp_path, write):
 
 def test_top_k_report(spark, scored, tmp_path):
     write_top_k_report(scored, str(tmp_path / "report"), 2)
-    (lines,) = part_lines(tmp_path / "report")
+    lines = [line for part in part_lines(tmp_path / "report") for line in part]
     assert lines == [
         "",
         "1520 old town\t-0.25",
@@ -127,7 +128,7 @@ class Cluster:
     """As much of a session on a cluster as ``stage_root`` asks for."""
 
     class sparkContext:
-        master = "yarn"
+        master, applicationId = "yarn", "app"
 
         @staticmethod
         def getCheckpointDir():
@@ -137,7 +138,8 @@ class Cluster:
         self.conf = {"spark.checkpoint.dir": folder} if folder else {}
 
 
-def test_cluster_needs_a_shared_folder():
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    monkeypatch.setattr(stage, "is_local", lambda *_: False)
     with pytest.raises(ValueError):
         stage_root(Cluster(None))
     assert stage_root(Cluster("hdfs:///shared")) == "hdfs:///shared"
@@ -194,3 +196,84 @@ def test_unknown_language(spark):
         sources.read_corpus(spark, "latin", {"latin": "x"})
     with pytest.raises(ValueError):
         association_counts(spark.createDataFrame([], sources.NGRAM_SCHEMA), "latin")
+
+
+def test_report_spans_files_and_reads_in_order(spark, settings, tmp_path, monkeypatch):
+    settings(shuffle__partitions="4", adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(0, 200).select(
+        (F.col("id") % 3 * 10).cast("int").alias("period"),
+        F.lit("a").alias("w1"),
+        F.concat(F.lit("w"), F.col("id").cast("string")).alias("w2"),
+        (F.col("id") / 200).alias("npmi"),
+    )
+    write_top_k_report(rows, str(tmp_path / "report"), 50)
+    parts = part_lines(tmp_path / "report")
+    assert len(parts) > 1
+    lines = [line for part in parts for line in part]
+    assert len(lines) == 153 and lines.count("") == 3
+    scores = [(line.split()[0], -float(line.split("\t")[1])) for line in lines if line]
+    assert scores == sorted(scores, key=lambda x: (int(x[0]), x[1]))
+
+
+def test_sequence_files_need_no_python_worker(spark, tmp_path):
+    path = str(tmp_path / "seq")
+    pairs = spark.sparkContext.parallelize([(2**33, "new york\t1991\t3\t1\t1"), (2**33 + 1, "x")], 2)
+    pairs.saveAsNewAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        keyClass="org.apache.hadoop.io.LongWritable",
+        valueClass="org.apache.hadoop.io.Text",
+    )
+    read = sources.read_ngrams_sequence(spark, path)
+    lineage = read._jdf.queryExecution().toRdd().toDebugString()
+    assert "PythonRDD[" not in lineage and "MapPartitionsRDD" in lineage
+    assert sorted(r.ngram for r in read.collect()) == ["new york", "x"]
+
+
+def test_only_a_missing_folder_is_an_empty_table(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a")], "level int, w string")
+    tables = stage.materialize_by(df, "level", [1, 2], "t")
+    assert tables[1].count() == 1 and tables[2].count() == 0
+
+    def fail(*_):
+        raise AnalysisException("no rights", errorClass="UNABLE_TO_INFER_SCHEMA", messageParameters={})
+
+    monkeypatch.setattr(type(spark.read), "parquet", fail)
+    with pytest.raises(AnalysisException):
+        stage.materialize_by(df, "level", [1], "t")
+
+
+def test_written_tables_can_be_freed(spark, tmp_path):
+    df = spark.range(3)
+    before = spark.sparkContext.getCheckpointDir()
+    with stage.written_tables(spark) as folder:
+        inside = stage.stage_path(spark, "t")
+        assert inside.startswith(folder)
+        assert materialize(df, "t").count() == 3
+    assert not stage.file_system(spark, folder).exists(stage._hadoop_path(spark, folder))
+    assert spark.sparkContext.getCheckpointDir() == before  # the caller's, untouched
+
+
+def test_folder_of_one_machine_is_refused(spark, monkeypatch):
+    class Context:
+        master, applicationId, defaultParallelism = "spark://host:7077", "app", 2
+        _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+        def parallelize(self, *args):
+            return self
+
+        def map(self, _):
+            return self
+
+        def collect(self):
+            return self.seen
+
+    class Session:
+        sparkContext = Context()
+
+    Context.seen = [True, False]
+    assert stage.is_local(spark, "/tmp/x") and stage.is_local(spark, "file:/tmp/x")
+    with pytest.raises(ValueError):
+        stage._check_shared(Session, "/tmp/pairstats-test-shared")
+    Context.seen = [True, True]
+    stage._check_shared(Session, "/tmp/pairstats-test-shared")

@@ -141,3 +141,26 @@ def test_one_per_score_reduces_before_the_shuffle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert plan.count("Aggregate") >= 2
+
+
+def test_top_k_keeps_null_periods_and_scores_at_any_k(spark, settings):
+    """One result on both sides of the limit: rows without period are ranked like a period."""
+    settings(optimizer__windowGroupLimitThreshold="1000")
+    nulls = spark.range(0, 40).select(
+        F.lit(None).cast("int").alias("period"),
+        F.lit("w").alias("w1"),
+        F.concat(F.lit("n"), F.col("id").cast("string")).alias("w2"),
+        F.when(F.col("id") % 4 > 0, F.col("id") / 40).alias("npmi"),
+    )
+    df = many(spark, 300).union(nulls)
+    small, large = (
+        sorted(map(tuple, select.top_k(df, k).collect()), key=repr) for k in (1000, 2000)
+    )
+    assert small == large and len(small) == 340
+    assert [r[-1] for r in small if r[0] is None and r[3] is None] != []
+
+
+def test_top_k_counts_the_rows_that_meet_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(select, "MANY_ROWS", 20)
+    best = select.top_k(many(spark), 10)
+    assert "WindowGroupLimit" not in best._jdf.queryExecution().executedPlan().toString()
