@@ -50,6 +50,11 @@ def bounded_sample(rows: DataFrame, bound: int) -> DataFrame:
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
+def small(df: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """A written table of ids: broadcast if it has at most ``most`` rows, else as it is."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def wrapped(docs: DataFrame) -> DataFrame:
     """(_doc, doc_id, text): every column of ``docs`` as one struct, out of the way of new names."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
