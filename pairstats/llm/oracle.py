@@ -1,5 +1,152 @@
-"""The same results in plain SQL for the queries that SQL can express."""
+"""The same results in plain SQL, written for DuckDB, for the queries that SQL can express."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from pairstats.llm import quality_rules as rules
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+WORDS = r"""
+words AS (
+  SELECT doc_id, text,
+         list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))"""
+
+COMPONENTS = """
+either AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, c) AS (
+  SELECT a, a FROM either
+  UNION
+  SELECT either.b, reach.c FROM reach JOIN either ON either.a = reach.id),
+component AS (SELECT id, min(c) AS c FROM reach GROUP BY id)"""
+
+
+def _near_duplicates() -> str:
+    lower = f"translate(text, '{UPPER}', '{LOWER}')"
+    return f"""WITH RECURSIVE {WORDS.format(text=lower)},
+      sets AS (
+        SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+          WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+          ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+          END) AS s
+        FROM words),
+      items AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM sets),
+      links AS (
+        SELECT x.doc_id AS a, y.doc_id AS b
+        FROM items x JOIN items y ON x.s = y.s AND x.doc_id < y.doc_id
+        GROUP BY x.doc_id, y.doc_id, x.n, y.n
+        HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),{COMPONENTS}
+      SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id,
+             coalesce(c, doc_id) = doc_id AS kept
+      FROM sets LEFT JOIN component ON id = doc_id"""
+
+
+def _near_vectors() -> str:
+    return f"""WITH RECURSIVE v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+      u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+            WHERE list_dot_product(e, e) > 0),
+      links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id < y.vec_id
+        WHERE len(x.e) = len(y.e) AND list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.9),{COMPONENTS}
+      SELECT vec_id, CAST((SELECT count(*) FROM either WHERE a = vec_id) AS BIGINT) AS n_links,
+             coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+      FROM embeddings LEFT JOIN component ON id = vec_id"""
+
+
+def _quality_rules() -> str:
+    names = list(rules.RULES)
+    values = {
+        "symbols_per_word": "n_symbols / n_words",
+        "upper_share": "n_upper / word_chars",
+        "dup_line_share": "n_dup_lines / n_lines",
+        "repeat_word_share": "n_repeat_words / n_words",
+        "bar_share": "n_bars / n_words",
+        "bang_share": "n_bangs / n_words",
+    }
+    each = " UNION ALL ".join(
+        f"SELECT doc_id, stratum, {k} AS rule, {rules.RULES[r]}::DOUBLE AS step, "
+        f"coalesce({values[r]}, 0.0) AS value FROM facts WHERE NOT base_failed"
+        for k, r in enumerate(names)
+    )
+    stratum = " ".join(
+        f"WHEN n_words >= {least} THEN {k}" for k, least in reversed(list(enumerate(rules.STRATA)))
+    )
+    rate = rules.RISK / len(names)
+    level = rules.DELTA / (len(rules.STRATA) * len(names))
+    symbols = "".join("\\" + c for c in rules.SYMBOLS)
+    return rf"""WITH {WORDS.format(text="text")},
+      windows AS (
+        SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM words WHERE len(w) > 2),
+      counted AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+        FROM windows),
+      repeated AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n
+        FROM counted, (VALUES (0), (1), (2)) AS o(k) WHERE times > 1 GROUP BY doc_id),
+      lined AS (
+        SELECT doc_id, list_filter(string_split(text, chr(10)),
+          lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS x
+        FROM words),
+      plain AS (
+        SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_repeat_words, len(x) AS n_lines,
+               len(x) - len(list_distinct(x)) AS n_dup_lines,
+               length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+               length(text) - length(regexp_replace(text, '[{symbols}]', '', 'g')) AS n_symbols,
+               length(text) - length(regexp_replace(text, '[A-Z]{{2,}}', '', 'g')) AS n_upper,
+               length(text) - length(replace(text, '|', '')) AS n_bars,
+               length(text) - length(replace(text, '!', '')) AS n_bangs
+        FROM words JOIN lined USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+      facts AS (
+        SELECT *, n_words < {rules.MIN_WORDS}
+            OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+          CASE {stratum} END AS stratum
+        FROM plain),
+      measured AS ({each}),
+      good AS (
+        SELECT doc_id, max(quality) AS label FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+      above AS (
+        SELECT stratum, rule, step, label, greatest(0, least({rules.CUTOFFS},
+                 CAST(ceil(value / step) AS INTEGER) - 1)) AS above
+        FROM measured JOIN good USING (doc_id)),
+      tested AS (
+        SELECT stratum, rule, step, cutoff, sum(label) AS all_good, sum(1 - label) AS all_bad,
+               sum(label) FILTER (above >= cutoff) AS good,
+               sum(1 - label) FILTER (above >= cutoff) AS bad
+        FROM above, range(1, {rules.CUTOFFS + 1}) AS r(cutoff) GROUP BY ALL),
+      tails AS (
+        SELECT stratum, rule, step, cutoff, all_good, all_bad, coalesce(good, 0) AS good,
+               coalesce(bad, 0) AS bad
+        FROM tested),
+      passed AS (
+        SELECT *, CASE WHEN good < all_good * {rate} THEN list_sum(list_transform(
+            range(0, CAST(good AS BIGINT) + 1), lambda k: exp(lgamma(all_good + 1) - lgamma(k + 1)
+              - lgamma(all_good - k + 1) + k * ln({rate}) + (all_good - k) * ln(1 - {rate}))))
+            ELSE 1.0 END <= {level} AS passed
+        FROM tails),
+      certified AS (
+        SELECT *, bool_and(passed) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) AS ok,
+               round(coalesce(bad / nullif(all_bad, 0), 0.0)
+                     - {rules.GOOD_WEIGHT} * coalesce(good / nullif(all_good, 0), 0.0), 9) AS trade
+        FROM passed),
+      best AS (
+        SELECT stratum, rule, cutoff * step AS cutoff FROM certified WHERE ok AND trade > 0
+        QUALIFY row_number() OVER (
+          PARTITION BY stratum, rule ORDER BY trade DESC, cutoff DESC) = 1),
+      failed AS (
+        SELECT DISTINCT doc_id FROM measured JOIN best USING (stratum, rule)
+        WHERE value > best.cutoff)
+      SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+             CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+             CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+             NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM failed) AS kept
+      FROM facts"""
+
+
+ORACLE: dict[str, str] = {
+    "op3_minmax_near_duplicates": _near_duplicates(),
+    "op4_cap_near_vectors": _near_vectors(),
+    "op8_quality_rules": _quality_rules(),
+}
