@@ -79,9 +79,11 @@ def _quality_rules() -> str:
     symbols = "".join("\\" + c for c in rules.SYMBOLS)
     return rf"""WITH {WORDS.format(text="text")},
       windows AS (
-        SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM words WHERE len(w) > 2),
+        SELECT doc_id, unnest(list_transform(range(1, len(w) - 1),
+          lambda i: {{'i': i, 'a': w[i], 'b': w[i + 1], 'c': w[i + 2]}})) AS x
+        FROM words WHERE len(w) > 2),
       counted AS (
-        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+        SELECT doc_id, x.i AS i, count(*) OVER (PARTITION BY doc_id, x.a, x.b, x.c) AS times
         FROM windows),
       repeated AS (
         SELECT doc_id, count(DISTINCT i + k) AS n
