@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairstats.llm.common import map_texts, texts_of
+from pairstats.llm.common import map_texts, small, texts_of
 from pairstats.llm.graph import blocks, components
 from pairstats.sinks.stage import materialize
 
@@ -83,7 +83,7 @@ def _signatures(texts: list[str], width: int) -> list[list]:
     known = _Hashes()
     sizes, digests, signatures, bands = [], [], [], []
     empty = [0, None, None, None]
-    at, step = 0, 0
+    at = 0
     while at < len(texts):
         sets, total = [], 0
         while at < len(texts) and total < 200_000:  # shingles at a time
@@ -120,7 +120,6 @@ def _signatures(texts: list[str], width: int) -> list[list]:
                 row += 1
             for column, value in zip((sizes, digests, signatures, bands), rest, strict=True):
                 column.append(value)
-        step += 1
     return [sizes, digests, signatures, bands]
 
 
@@ -151,12 +150,11 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets meet the threshold.
 
-    Only texts of documents in a pair travel; each pair is one row, wherever it is computed.
+    ``texts`` holds those of documents in a bucket alone; each pair is one row, wherever it is
+    computed.
     """
     pairs = materialize(pairs, "candidates")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    held = materialize(texts.join(ids, "doc_id", "left_semi"), "candidate_texts")
-    side = lambda x: held.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
+    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b")
 
     def run(batches):
@@ -206,7 +204,7 @@ def _block_pairs(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     )
     rows = members.join(several.where("least < most").select("band"), "band")
     rows = materialize(rows, "block_members")
-    ids = rows.select(F.col("node").alias("doc_id")).distinct()
+    ids = materialize(rows.select(F.col("node").alias("doc_id")).distinct(), "block_ids")
 
     def shortened():
         known = _Hashes()
@@ -214,7 +212,7 @@ def _block_pairs(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             [shingles(t, width, known).astype(np.uint32).tobytes() for t in texts]
         ]
 
-    held = texts.join(ids, "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
+    held = texts.join(small(ids), "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
     sets = materialize(map_texts(held, "shingles binary", shortened, per_task=True), "block_sets")
     dealt = blocks(rows.join(sets, "node"), "band", "node", BLOCK)
 
@@ -267,15 +265,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     sets = full.groupBy("digest").agg(F.min("doc_id").alias("node"))
     of = materialize(full.select("doc_id", "digest").join(sets, "digest").distinct(), "sets")
     own = of.where("doc_id = node").select("doc_id", "digest")
-    nodes = full.join(own, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    nodes = nodes.withColumnRenamed("doc_id", "node")
     # Rows of one id with several texts.
     again = of.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     links = materialize(again.where("a < b").select("a", "b"), "links")
-    rows = nodes.select("node", F.explode("bands").alias("band"))
-    common = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = materialize(rows.join(common.select("band"), "band").distinct(), "members")
-    plain = texts.where("doc_id IS NOT NULL")
+    rows = full.select("doc_id", "digest", "bands").join(own, ["doc_id", "digest"], "left_semi")
+    rows = rows.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
+    rows = materialize(rows, "bands")
+    ends = rows.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    common = ends.where("least < most").select("band")
+    members = materialize(rows.join(common, "band").distinct(), "members")
+    # From here on, only documents in a bucket with others take part.
+    ids = materialize(members.select(F.col("node").alias("doc_id")).distinct(), "bucket_ids")
+    ids = small(ids)
+    nodes = full.join(ids, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("node"), "digest", "n", "signature"
+    )
+    nodes = materialize(nodes.dropDuplicates(["node", "digest"]), "nodes")
+    plain = materialize(texts.join(ids, "doc_id", "left_semi"), "bucket_texts")
     marked = members.withColumn("component", F.col("node"))
     for step in ("smallest", "largest", "blocks"):
         if step == "blocks":
