@@ -23,6 +23,8 @@ from pairstats.llm.common import map_texts, texts_of
 SPACE = "▁"
 #: Pairs of pieces whose stability a task remembers.
 PAIRS = 300_000
+#: Up to so many characters, looking at all pairs again is faster than a heap of them.
+SHORT = 24
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -41,6 +43,7 @@ class Pieces:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         self.unknown = model.unk_id()
+        self.control = {i for i in range(n) if model.is_control(i)}
         self.text = [model.id_to_piece(i) for i in range(n)]
         self.ids: dict[str, int] = {}
         self.score: dict[str, float] = {}
@@ -57,11 +60,23 @@ class Pieces:
         for piece in self.ids:
             self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
+        self.plain = [piece.replace(SPACE, " ") for piece in self.text]
         self.stable_pairs: dict[tuple[str, str], bool] = {}
 
     def merged(self, s: str) -> list[str]:
         """The pieces of ``s`` by merging: the best scored pair first, the leftmost of equals."""
         score = self.score
+        if len(s) <= SHORT:
+            short = list(s)
+            while True:
+                best, at = None, -1
+                for i in range(len(short) - 1):
+                    value = score.get(short[i] + short[i + 1])
+                    if value is not None and (best is None or value > best):
+                        best, at = value, i
+                if at < 0:
+                    return short
+                short[at : at + 2] = [short[at] + short[at + 1]]
         parts: list[str | None] = list(s)
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -100,14 +115,15 @@ class Pieces:
             self.stable_pairs[left, right] = known
         return known
 
-    def longest_at(self, chunk: str) -> list[int]:
-        """Length of the longest piece that begins at each position; 1 where none does."""
-        length = [1] * len(chunk)
-        for end, piece in self.automaton.iter(chunk):
-            start = end - len(piece) + 1
-            if len(piece) > length[start]:
-                length[start] = len(piece)
-        return length
+    def longest_at(self, chunk: str, at: int) -> int:
+        """Length of the longest piece that begins at a position; 1 where none does.
+
+        The automaton's trie says how far a piece can reach at most.
+        """
+        size = self.automaton.longest_prefix(chunk[at : at + self.longest])
+        while size > 1 and chunk[at : at + size] not in self.score:
+            size -= 1
+        return max(size, 1)
 
     def encode_chunk(self, chunk: str) -> list[str]:
         """The pieces of a chunk; a character without a piece stands for itself."""
@@ -115,11 +131,10 @@ class Pieces:
             return [chunk]
         if chunk.startswith(SPACE * 2):
             return self.merged(chunk)
-        length = self.longest_at(chunk)
         n = len(chunk)
         failed = bytearray(n + 1)
         out: list[str] = []
-        at, size = 0, length[0] if n else 0
+        at, size = 0, self.longest_at(chunk, 0) if n else 0
         while at < n:
             last = out[-1] if out else ""
             while size:
@@ -134,7 +149,7 @@ class Pieces:
             if size:
                 out.append(piece)
                 at += size
-                size = length[at] if at < n else 0
+                size = self.longest_at(chunk, at) if at < n else 0
             else:
                 failed[at] = 1
                 if not out:  # cannot happen with a consistent model
@@ -170,7 +185,13 @@ class Pieces:
         return [i for c in piece_chunks(text) for i in self.ids_of(self.encode_chunk(c))]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids; the blank that encoding puts in front is taken away again."""
+        """The text of ids; the blank that encoding puts in front is taken away again.
+
+        Control ids, which encoding never makes, stand for nothing.
+        """
+        if self.bytes.keys().isdisjoint(ids) and self.control.isdisjoint(ids):
+            text = "".join(map(self.plain.__getitem__, ids))
+            return text[1:] if text[:1] == " " else text
         out, held = [], bytearray()
         for i in ids:
             if i in self.bytes:
@@ -179,7 +200,7 @@ class Pieces:
             if held:
                 out.append(held.decode("utf-8", "replace"))
                 held.clear()
-            out.append(self.text[i].replace(SPACE, " ") if i not in (1, 2) else "")
+            out.append("" if i in self.control else self.plain[i])
         out.append(held.decode("utf-8", "replace"))
         text = "".join(out)
         return text[1:] if text[:1] == " " else text
