@@ -6,13 +6,12 @@ code words each, and every combination of code words is a direction. The inner p
 blocks, so all exceeding directions of a vector are found by merging sorted block sums instead of trying
 each (list decoding). Vectors that share a filter are compared, block against block, and verified
 in double precision. The number of directions grows with the number of vectors, so that a filter holds
-about ``SHARED`` unrelated ones at any size.
+about ``SHARED`` unrelated ones at any size, and so does the number of independent codes, so that a pair at
+exactly ``COSINE`` is missed with probability ``MISS`` at most at any size.
 """
 
 from __future__ import annotations
 
-from statistics import NormalDist
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,15 +21,43 @@ from pairstats.llm.graph import blocks, components
 from pairstats.sinks.stage import materialize
 
 COSINE = 0.9
-#: Independent codes, filters of a vector in each (on average), blocks of a code.
-CODES, FILTERS, PARTS = 3, 16, 4
+#: Filters of a vector in each code (on average), blocks of a code: with more blocks the directions of
+#: a code hang together more, and a vector passes many of them or none.
+FILTERS, PARTS = 16, 2
 SHARED = 64
+#: Probability that no code has a filter for a pair at exactly COSINE, and pairs it is measured on.
+MISS, TRIALS = 0.001, 1000
 #: Members of a filter that one task compares with as many others.
 BLOCK = 1024
 #: Vectors are compared by their bytes first; rounding moves a cosine by less than that.
 ROUNDING = 0.02
 
 
+def _cap_shares(dimensions: int) -> tuple[np.ndarray, np.ndarray]:
+    """Angles up to a right one, and the share of all directions within each of a unit vector."""
+    # The angle has density sin^(dimensions - 2); half of it lies below a right angle.
+    angle = np.linspace(0, np.pi / 2, 200_001)
+    density = np.sin(angle) ** (dimensions - 2)
+    below = np.concatenate([[0.0], np.cumsum(density[1:] + density[:-1])])
+    return angle, below / (2 * below[-1])
+
+
+def cap_threshold(dimensions: int, share: float) -> float:
+    """The inner product that a share of all directions exceeds with a unit vector."""
+    if dimensions == 1:
+        return np.inf  # two directions: each vector keeps its own
+    angle, shares = _cap_shares(dimensions)
+    return float(np.cos(np.interp(share, shares, angle)))
+
+
+def cap_share(dimensions: int, cosine: float) -> float:
+    """The share of all directions whose inner product with a unit vector exceeds the cosine."""
+    if dimensions == 1:
+        return 0.5
+    angle, shares = _cap_shares(dimensions)
+    return float(np.interp(np.arccos(cosine), angle, shares))
+
+
 class ProductCode:
     def __init__(self, dimensions: int, words: int, filters: float, seed: int) -> None:
         rng = np.random.default_rng([seed, dimensions])
@@ -43,9 +70,7 @@ class ProductCode:
         codes /= np.linalg.norm(codes, axis=2, keepdims=True)
         self.codes = codes / np.sqrt(self.parts)
         self.words = words
-        share = min(0.5, filters / words**self.parts)
-        # Inner products with a random direction are close to normal with variance 1 / dimensions.
-        self.threshold = NormalDist().inv_cdf(1 - share) / np.sqrt(self.padded)
+        self.threshold = cap_threshold(self.padded, min(0.5, filters / words**self.parts))
 
     def passed(self, unit: np.ndarray) -> list[np.ndarray]:
         """For each unit vector the numbers of all directions it exceeds the threshold with."""
@@ -74,8 +99,45 @@ class ProductCode:
         return found if len(found) else np.array([a_order[0] * len(b) + b_order[0]])
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.stack([np.asarray(x, float) for x in column.to_pylist()])
+def shared_filter(code: ProductCode, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether each pair of unit vectors has a filter in common."""
+    both = zip(code.passed(left), code.passed(right), strict=True)
+    return np.array([len(np.intersect1d(a, b)) > 0 for a, b in both])
+
+
+def random_pairs(dimensions: int, pairs: int, cosine: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and others at exactly the cosine with them."""
+    rng = np.random.default_rng([seed, dimensions, 1])
+    x, y = rng.standard_normal((2, pairs, dimensions))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if dimensions == 1:
+        return x, x
+    y -= (y * x).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    return x, cosine * x + np.sqrt(1 - cosine**2) * y
+
+
+def codes_for(dimensions: int, n: int) -> tuple[int, int]:
+    """(code words of a block, number of codes) for ``n`` vectors.
+
+    Codes are added until a pair at exactly ``COSINE`` is missed by all with probability ``MISS`` at
+    most. Each code is turned at random, so the misses of a pair are independent and their
+    probabilities multiply; each is measured on random pairs, two standard errors put on top. So few
+    vectors that one block holds them need no code: 0.
+    """
+    if n <= BLOCK:
+        return 1, 0
+    # In few dimensions a vector is close to more than SHARED others: filters no narrower than that.
+    share = max(SHARED / n, cap_share(dimensions, COSINE))
+    words = max(2, round((FILTERS / share) ** (1 / min(PARTS, dimensions)) + 0.5))
+    missed, codes = 1.0, 0
+    while missed > MISS:
+        left, right = random_pairs(dimensions, TRIALS, COSINE, codes)
+        code = ProductCode(dimensions, words, FILTERS, codes)
+        share = 1 - shared_filter(code, left, right).mean()
+        missed *= min(1 - 1 / TRIALS, share + 2 * np.sqrt((share * (1 - share) + 1 / TRIALS) / TRIALS))
+        codes += 1
+    return words, codes
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -83,8 +145,11 @@ def _units(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _filtered(nodes: DataFrame, words: int) -> DataFrame:
-    """(filter, node, bytes): each vector under every filter it passes, as rounded bytes."""
+def _filtered(nodes: DataFrame, plan: dict[int, tuple[int, int]]) -> DataFrame:
+    """(filter, node, bytes): each vector under every filter it passes, as rounded bytes.
+
+    ``plan`` has the code words and the number of codes for each length of vectors.
+    """
 
     def run(batches):
         codes: dict[int, list[ProductCode]] = {}
@@ -95,19 +160,25 @@ def _filtered(nodes: DataFrame, words: int) -> DataFrame:
             for k, v in enumerate(vectors):
                 by.setdefault(len(v), []).append(k)
             for dimensions, rows in by.items():
+                words, number = plan[dimensions]
                 if dimensions not in codes:
                     codes[dimensions] = [
-                        ProductCode(dimensions, words, FILTERS, s) for s in range(CODES)
+                        ProductCode(dimensions, words, FILTERS, s) for s in range(number)
                     ]
-                for at in range(0, len(rows), 1000):
-                    part = rows[at : at + 1000]
+                step = max(1, min(1000, 2_000_000 // words))
+                for at in range(0, len(rows), step):
+                    part = rows[at : at + step]
                     unit = _units(np.array([vectors[k] for k in part], float))
                     low = np.round(unit * 127).astype(np.int8)
                     keys, nodes_, bytes_ = [], [], []
+                    if not number:  # one filter for all
+                        keys.append(np.full(len(part), dimensions % 4096))
+                        nodes_.append(np.array([ids[k] for k in part]))
+                        bytes_ = [b.tobytes() for b in low]
                     for s, code in enumerate(codes[dimensions]):
                         for k, found, b in zip(part, code.passed(unit), low, strict=True):
                             # Vectors of other lengths have filters of their own.
-                            keys.append(found * (CODES * 4096) + s * 4096 + dimensions % 4096)
+                            keys.append((found * number + s) * 4096 + dimensions % 4096)
                             nodes_.append(np.full(len(found), ids[k]))
                             bytes_.extend([b.tobytes()] * len(found))
                     yield pa.RecordBatch.from_arrays(
@@ -196,9 +267,10 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     reps = of.where("vec_id = node").select("node", "size").distinct()
     nodes = valid.withColumnRenamed("vec_id", "node").join(reps.select("node").distinct(), "node")
     nodes = materialize(nodes, "nodes")
-    n = nodes.count()
-    words = max(2, round((max(n, 1) * FILTERS / SHARED) ** (1 / PARTS) + 0.5))
-    pairs = materialize(_compared(_filtered(nodes, words)), "near_pairs")
+    # One row for each length of vectors.
+    sizes = nodes.groupBy(F.size("embedding").alias("dimensions")).count().collect()
+    plan = {r["dimensions"]: codes_for(r["dimensions"], r["count"]) for r in sizes}
+    pairs = materialize(_compared(_filtered(nodes, plan)), "near_pairs")
     links = materialize(_verified(pairs, nodes), "near_links")
     both = links.union(links.select("b", "a")).distinct()
     counted = (

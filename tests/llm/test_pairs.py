@@ -168,3 +168,26 @@ def test_list_decoding_finds_all_exceeding_directions():
     for found, values in zip(code.passed(unit), every, strict=True):
         want = set(np.flatnonzero(values >= code.threshold)) or {int(values.argmax())}
         assert set(found.tolist()) == want
+
+
+@pytest.mark.parametrize("n", [2_000, 100_000, 1_000_000, 10_000_000])
+def test_pairs_at_the_threshold_share_a_filter_at_any_size(n):
+    words, codes = caps.codes_for(64, n)
+    for cosine in (0.9, 0.92):
+        left, right = caps.random_pairs(64, 500, cosine, 99)
+        hit = np.zeros(500, bool)
+        for seed in range(codes):
+            code = caps.ProductCode(64, words, caps.FILTERS, seed)
+            some = np.flatnonzero(~hit)
+            if len(some):
+                hit[some] = caps.shared_filter(code, left[some], right[some])
+        assert hit.mean() >= 0.99
+
+
+def test_cap_threshold_is_exact():
+    """On the sphere in three dimensions the share of a cap is (1 - height) / 2."""
+    for share in (0.5, 0.1, 1e-3, 1e-6):
+        assert abs(caps.cap_threshold(3, share) - (1 - 2 * share)) < 1e-9
+    x = np.random.default_rng(5).standard_normal((400_000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert abs((x[:, 0] > caps.cap_threshold(16, 0.01)).mean() - 0.01) < 1e-3
