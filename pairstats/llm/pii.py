@@ -1,11 +1,12 @@
 """Personal data by fixed patterns and a semi-Markov conditional random field.
 
 The fixed patterns find the usual forms. The field finds forms that they do not know (an address
-with ``(at)``, a number without ``+``): a window around each digit or sign is cut into tokens; runs of up
+with ``(at)``, a number without ``+``): a window around each digit or sign (``@``, a bracketed ``at`` or dot, ``at`` before a
+dotted name, the word ``dot``) is cut into tokens; runs of up
 to ``LONGEST`` tokens are candidate segments; features of the whole segment (digit groups, checksum,
 separators, ends, words before) score it under each kind, and dynamic programming over segment
-boundaries picks the best set of segments and kinds together. Outside the windows no candidate exists, so the
-best labelling there is plain text and nothing is lost by leaving it out.
+boundaries picks the best set of segments and kinds together. A candidate holds a digit or sign, so outside
+the windows none exists and the best labelling there is plain text.
 
 The field is trained on windows of the corpus itself: spans of the fixed patterns and rewritten
 forms of them are its positive segments; spans that fail a check and all other numbers are not.
@@ -38,7 +39,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|[^\sA-Za-z0-9]")
-_SIGN = re.compile(r"[0-9]+|@|\bdot\b", re.I | re.A)
+#: Rewritten signs of an address: a bracketed at or dot, at before a dotted name.
+_REWRITTEN = r"[\[({]\s?at\s?[\])}]|[\[({]\.[\])}]|(?<=\s)at(?=\s[A-Za-z0-9-]{1,63}\.[A-Za-z0-9])"
+_SIGN = re.compile(rf"[0-9]+|@|\bdot\b|{_REWRITTEN}", re.I | re.A)
+_ELSE = re.compile(_REWRITTEN, re.I | re.A)
 _TOP = frozenset(("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu"))
 _CUES = {
     "email": frozenset(("mail", "email", "contact", "write", "e")),
@@ -91,8 +95,6 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def windows(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
     """Places around digits and signs that no span covers; close ones are joined."""
-    if "@" not in text and "dot" not in text.lower() and not _DIGIT.search(text):
-        return []
     covered = sorted((a, b) for _, a, b in taken)
     out: list[tuple[int, int]] = []
     k, reach = 0, -1
@@ -132,7 +134,7 @@ def candidates(part: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int,
             if not part[b - 1].isalnum() or (b < len(part) and part[b].isalnum()):
                 continue
             s = part[a:b]
-            if not (_DIGIT.search(s) or "@" in s or "dot" in s.lower()):
+            if not (_DIGIT.search(s) or "@" in s or "dot" in s.lower() or _ELSE.search(s)):
                 continue
             out.append((i, j, features(part, a, b)))
     return out

@@ -238,6 +238,28 @@ def test_field_finds_rewritten_data(texts):
     assert hit > 20 and hit / (hit + miss) > 0.85 and false <= 0.1 * hit
 
 
+def test_field_finds_addresses_without_digits(texts):
+    """Each rewritten form of an address that holds no digit, in a text without any."""
+    parts = []
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("abdeiklmnorstu") for _ in range(rng.randint(3, 8)))
+    for i in range(150):
+        text = f"alpha beta {name()}. mail {name()}.{name()}@{name()}.com now and more words"
+        parts += pii.training_windows(text, i)
+    parts += [w for i, t in texts.items() for w in pii.training_windows(t, i)]
+    weights = pii.train(parts)
+    forms = [(" (at) ", " (dot) "), (" [at] ", " [dot] "), (" at ", " dot "),
+             ("(at)", "."), ("[at]", "[.]"), (" (at) ", ".")]
+    for at, dot in forms:
+        address = f"jane.roe{at}example{dot}com"
+        text = f"please mail {address} about the house"
+        want = ("email", 12, 12 + len(address))
+        assert pii.find_spans(text, weights)[1] == [want], address
+    # Windows open at a spaced at as well; without such a sign none does.
+    assert pii.windows("jane at example.com is one", []) and not pii.windows("look at the house.", [])
+    assert pii.find_spans("we met at the house (at noon) and left.", weights) == ([], [])
+
+
 def test_spans_keep_the_fixed_ones(documents, texts):
     for r in pii.digest_personal_data(documents).collect():
         want = brute_spans(texts[r.doc_id])
