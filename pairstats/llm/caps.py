@@ -281,8 +281,9 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     found = components(links).withColumnRenamed("id", "node")
     again = of.groupBy("vec_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     # Ids with several vectors join what these belong to.
-    again = again.where("a < b").select("a", "b")
+    again = materialize(again.where("a < b").select("vec_id", "a"), "repeated")
     if not again.isEmpty():
+        again = of.join(again, "vec_id").where("node <> a").select("a", F.col("node").alias("b"))
         found = components(links.union(again)).withColumnRenamed("id", "node")
     ids = (
         of.join(counted, "node", "left")

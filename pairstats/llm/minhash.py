@@ -265,9 +265,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     sets = full.groupBy("digest").agg(F.min("doc_id").alias("node"))
     of = materialize(full.select("doc_id", "digest").join(sets, "digest").distinct(), "sets")
     own = of.where("doc_id = node").select("doc_id", "digest")
-    # Rows of one id with several texts.
+    # Rows of one id with several texts: all their nodes meet the smallest.
     again = of.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    links = materialize(again.where("a < b").select("a", "b"), "links")
+    again = materialize(again.where("a < b").select("doc_id", "a"), "repeated")
+    links = of.join(again, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
+    links = materialize(links, "links")
     rows = full.select("doc_id", "digest", "bands").join(own, ["doc_id", "digest"], "left_semi")
     rows = rows.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
     rows = materialize(rows, "bands")

@@ -191,3 +191,13 @@ def test_cap_threshold_is_exact():
     x = np.random.default_rng(5).standard_normal((400_000, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     assert abs((x[:, 0] > caps.cap_threshold(16, 0.01)).mean() - 0.01) < 1e-3
+
+
+def test_all_texts_and_vectors_of_one_id_are_linked(spark):
+    a, b, c = "a b c d e f g", "k l m n o p q", "r s t u v w x"
+    df = spark.createDataFrame([(5, a), (5, b), (5, c), (1, a), (3, b), (7, b)], "doc_id bigint, text string")
+    assert {r.component_id for r in minhash.near_duplicates(df).collect()} == {1}
+    x, y, z = np.eye(3).tolist()
+    df = spark.createDataFrame([(5, x), (5, y), (5, z), (1, x), (3, y), (7, y)],
+                               "vec_id bigint, embedding array<double>")
+    assert {r.component_id for r in caps.near_vectors(df).collect()} == {1}
