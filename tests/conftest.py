@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from worked_example import REJECTED, kept_lines  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -40,65 +42,6 @@ def settings(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-KEPT = """
-new york 1991 10
-new york 1999 5
-new idea 1995 5
-big idea 1995 20
-New York 1993 3
-solo pair 2001 4
-alpha beta 1980 2
-gamma delta 1989 2
-red fox 1970 1
-red dog 1971 9
-blue fox 1972 9
-blue dog 1979 1
-pa qa 1960 1
-pa qb 1960 6
-pb qa 1960 6
-pb qb 1960 9
-ua va 1950 1
-ua vb 1950 1
-ub va 1950 1
-ub vb 1950 1
-"""
-
-REJECTED = {
-    "the york\t1991\t100\t1\t1": "stop_word",
-    "The york\t1991\t7\t1\t1": "stop_word",
-    "york The\t1991\t7\t1\t1": "stop_word",
-    "the y0rk\t1991\t7\t1\t1": "stop_word",
-    "york 99\t1991\t7\t1\t1": "non_letter",
-    "yörk city\t1991\t7\t1\t1": "non_letter",
-    "york city\n\t1991\t7\t1\t1": "non_letter",
-    "york\t1991\t7\t1\t1": "not_two_words",
-    "york \t1991\t7\t1\t1": "not_two_words",
-    "a b c\t1991\t1\t1\t1": "not_two_words",
-    " york city\t1991\t7\t1\t1": "not_two_words",
-    "york  city\t1991\t7\t1\t1": "not_two_words",
-    " \t1991\t7\t1\t1": "not_two_words",
-    "\t1991\t7\t1\t1": "not_two_words",
-    "\t\t\tx": "not_two_words",
-    "new york\t1991\t3": "few_fields",
-    "new york\t1991\t3\t": "few_fields",
-    "new york\t1991\t3\t\t\t": "few_fields",
-    "": "few_fields",
-    "\t\t\t\t": "few_fields",
-    "new york\t19x1\t3\t1\t1": "bad_number",
-    "new york\t 1991\t3\t1\t1": "bad_number",
-    "new york\t99999999999\t3\t1\t1": "bad_number",
-    "new york\t1991\tabc\t1\t1": "bad_number",
-    "new york\t1991\t0\t1\t1": "bad_number",
-    "new york\t1991\t-2\t1\t1": "bad_number",
-    "new york\t1991\t\t1\t1": "bad_number",
-}
-
-
-def kept_lines() -> list[str]:
-    rows = [line.split(" ") for line in KEPT.split("\n") if line]
-    return [f"{w1} {w2}\t{year}\t{count}\t1\t1" for w1, w2, year, count in rows]
-
-
 @pytest.fixture
 def lines(spark):
     """Good and bad lines, parsed."""
@@ -106,31 +49,3 @@ def lines(spark):
 
     rows = [(line,) for line in kept_lines() + list(REJECTED)]
     return parse_ngram_lines(spark.createDataFrame(rows, "line string"))
-
-
-# period, w1, w2, c12, c1, c2, n, npmi, rel_npmi, kept at 0.7 / 0.3: worked out by hand.
-EXPECTED = [
-    (1950, "ua", "va", 1, 2, 2, 4, 0.0, None, False),
-    (1950, "ua", "vb", 1, 2, 2, 4, 0.0, None, False),
-    (1950, "ub", "va", 1, 2, 2, 4, 0.0, None, False),
-    (1950, "ub", "vb", 1, 2, 2, 4, 0.0, None, False),
-    (1960, "pa", "qa", 1, 7, 7, 22, -0.259064, 5.199453, True),
-    (1960, "pa", "qb", 6, 7, 15, 22, 0.176129, -3.534937, False),
-    (1960, "pb", "qa", 6, 15, 7, 22, 0.176129, -3.534937, False),
-    (1960, "pb", "qb", 9, 15, 15, 22, -0.143019, 2.870422, True),
-    (1970, "red", "dog", 9, 10, 10, 20, 0.736106, 1.850789, True),
-    (1970, "blue", "fox", 9, 10, 10, 20, 0.736106, 1.850789, True),
-    (1970, "red", "fox", 1, 10, 10, 20, -0.537244, -1.350789, False),
-    (1970, "blue", "dog", 1, 10, 10, 20, -0.537244, -1.350789, False),
-    (1980, "alpha", "beta", 2, 2, 2, 4, 1.0, 0.5, True),
-    (1980, "gamma", "delta", 2, 2, 2, 4, 1.0, 0.5, True),
-    (1990, "New", "York", 3, 3, 3, 43, 1.0, 0.489452, True),
-    (1990, "new", "york", 15, 20, 15, 43, 0.726837, 0.355752, True),
-    (1990, "big", "idea", 20, 20, 25, 43, 0.708487, 0.346771, True),
-    (1990, "new", "idea", 5, 20, 25, 43, -0.392223, -0.191974, False),
-    (2000, "solo", "pair", 4, 4, 4, 4, None, None, False),
-]
-
-
-def rounded(value, digits=6):
-    return None if value is None else round(value, digits) + 0.0

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings as hypothesis_settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import REJECTED, kept_lines
+from worked_example import REJECTED, kept_lines
 from pairstats.functions.keys import nth_field, period_bucket, split_pair_key
 from pairstats.functions.words import HEBREW_STOP_WORDS, stop_word_list
 from pairstats.operators import clean

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import EXPECTED
+from worked_example import EXPECTED
 from pairstats.operators import clean, counts, scoring
 from pairstats.sinks.stage import materialize
 

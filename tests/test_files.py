@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import REJECTED, kept_lines
+from worked_example import REJECTED, kept_lines
 from pairstats import association_counts
 from pairstats.operators.clean import clean_pairs
 from pairstats.sinks import stage

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from conftest import EXPECTED, REJECTED, kept_lines, rounded
+from worked_example import EXPECTED, REJECTED, kept_lines, rounded
 from pairstats import (
     association_counts,
     association_scores,

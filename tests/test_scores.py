@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import EXPECTED, rounded
+from worked_example import EXPECTED, rounded
 from pairstats.operators import scoring, select
 from pairstats.plans.collocations import association_counts, association_scores
 
