@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pairstats.llm import quality_rules as rules
+from pairstats.llm import secrets
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -147,8 +148,118 @@ def _quality_rules() -> str:
       FROM facts"""
 
 
+def _conversation_trie() -> str:
+    # The CRC-32 of a decimal, bit by bit.
+    crc = """xor(list_reduce(
+          list_prepend(4294967295::BIGINT,
+            list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT)),
+          lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+            lambda x, r: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))),
+        4294967295::BIGINT)"""
+    return f"""WITH turns AS (
+        SELECT conv_id, strlen(text) AS bytes, digest,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place
+        FROM (SELECT conv_id, turn, coalesce(text, '') AS text,
+                     sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+                       AS digest
+              FROM conversations WHERE conv_id IS NOT NULL)),
+      sizes AS (SELECT conv_id AS c, count(*) AS n FROM turns GROUP BY conv_id),
+      convs AS (SELECT c, c - c % 5 AS base, {crc} % 9 AS h FROM sizes),
+      taken AS (SELECT convs.c, base, h, least(h, coalesce(n, 0)) AS t
+                FROM convs LEFT JOIN sizes ON sizes.c = base),
+      rebuilt AS (
+        SELECT c, place AS depth, digest, bytes FROM taken JOIN turns ON conv_id = base AND place <= h
+        UNION ALL
+        SELECT c, t + place - h, digest, bytes FROM taken JOIN turns ON conv_id = c AND place > h),
+      members AS (
+        SELECT c, depth, bytes,
+               string_agg(digest, '') OVER (PARTITION BY c ORDER BY depth) AS node
+        FROM rebuilt
+        UNION ALL SELECT c, 0, 0, '' FROM convs),
+      whole AS (SELECT c, max_by(node, depth) AS node FROM members GROUP BY c),
+      nodes AS (SELECT node, min(c) AS c, any_value(depth) AS depth, any_value(bytes) AS bytes,
+                       count(*) AS n FROM members GROUP BY node),
+      children AS (SELECT left(node, length(node) - 64) AS node, count(*) AS n
+                   FROM nodes WHERE node <> '' GROUP BY 1),
+      placed AS (SELECT nodes.*, coalesce(children.n, 0) AS k FROM nodes LEFT JOIN children USING (node)),
+      under AS (SELECT u.node, count(*) FILTER (v.k = 0) AS leaves, sum((v.n - 1) * v.bytes) AS saved
+                FROM placed u JOIN placed v ON starts_with(v.node, u.node) GROUP BY u.node),
+      ends AS (SELECT node, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM whole GROUP BY node)
+      SELECT p.c::BIGINT AS conv_id, p.depth::BIGINT AS depth, up.c::BIGINT AS parent_conv_id,
+             p.n::BIGINT AS n_convs, p.k::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
+             saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+      FROM placed p JOIN under USING (node) LEFT JOIN ends USING (node)
+      LEFT JOIN placed up ON p.node <> '' AND up.node = left(p.node, length(p.node) - 64)"""
+
+
+def _secret_ownership() -> str:
+    kinds = [
+        (0, secrets.ASSIGN, 1, f"length(value) >= {secrets.LEAST['assign']}"),
+        (1, secrets.ACCESS, 0, f"length(value) >= {secrets.LEAST['access']}"),
+        (2, secrets.HEX, 0, f"length(value) >= {secrets.LEAST['hex']}"),
+        (3, secrets.RUN, 0,
+         f"length(value) <= {secrets.RUN_MOST} AND digits >= {secrets.RUN_DIGITS}"
+         f" AND digits < length(value) AND distinct_chars >= {secrets.RUN_DISTINCT}"),
+    ]
+
+    def found(kind: int, pattern: str, group: int, keep: str) -> str:
+        quoted = pattern.replace("'", "''")
+        return f"""
+          SELECT row, owner, {kind} AS kind, before + gap AS first, before + gap + size AS last, value, digits,
+                 distinct_chars
+          FROM (
+            SELECT *, length(regexp_replace(value, '[^0-9]', '', 'g')) AS digits,
+                   length(value) AS size_of_value,
+                   len(list_distinct(string_split(value, ''))) AS distinct_chars
+            FROM (
+              SELECT row, owner, value, size, gap,
+                     coalesce(sum(gap + size) OVER (PARTITION BY row ORDER BY i
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+              FROM (
+                SELECT row, owner, unnest(range(1, len(m) + 1)) AS i, unnest(g) AS value,
+                       unnest(list_transform(m, lambda x: length(x))) AS size,
+                       unnest(list_transform(b[1:len(m)], lambda x: length(x))) AS gap
+                FROM (SELECT row, owner, regexp_extract_all(text, '{quoted}') AS m,
+                             regexp_extract_all(text, '{quoted}', {group}) AS g,
+                             regexp_split_to_array(text, '{quoted}') AS b FROM docs)
+                WHERE len(m) > 0)))
+          WHERE {keep}"""
+
+    union = " UNION ALL ".join(found(*kind) for kind in kinds)
+    names = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(secrets.KINDS))
+    listed = "string_agg(name || ':' || first || ':' || last, ',' ORDER BY first, kind)"
+    counts = ", ".join(f"count(*) FILTER (kind = {i})::BIGINT AS n_{secrets.KINDS[i]}" for i in range(3))
+    return f"""WITH docs AS (
+        SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS owner,
+               coalesce(text, '') AS text FROM documents),
+      found AS ({union}),
+      owners AS (SELECT value, count(DISTINCT owner) AS n FROM found GROUP BY value),
+      judged AS (
+        SELECT row, kind, CASE kind {names} END AS name, first::BIGINT AS first, last::BIGINT AS last,
+               CASE WHEN distinct_chars < {secrets.PLAIN_DISTINCT} OR digits = 0 THEN 'plain'
+                    WHEN n > {secrets.MOST_OWNERS} THEN 'copied' ELSE 'live' END AS verdict
+        FROM found JOIN owners USING (value)),
+      kept AS (
+        SELECT * FROM judged j WHERE kind < 3 OR (verdict = 'live' AND NOT EXISTS (
+          SELECT 1 FROM judged b
+          WHERE b.row = j.row AND b.kind < 3 AND b.first < j.last AND b.last > j.first))),
+      spans AS (
+        SELECT row, {counts}, {listed} FILTER (kind < 3) AS base, {listed} AS spans,
+               string_agg(verdict, ',' ORDER BY first, kind) AS verdicts,
+               count(*) FILTER (verdict = 'live')::BIGINT AS n_live,
+               count(*) FILTER (verdict = 'copied')::BIGINT AS n_copied
+        FROM kept GROUP BY row)
+      SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+             coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+             coalesce(spans, '') AS spans, coalesce(verdicts, '') AS verdicts,
+             coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+      FROM docs LEFT JOIN spans USING (row)"""
+
+
 ORACLE: dict[str, str] = {
     "op3_minmax_near_duplicates": _near_duplicates(),
     "op4_cap_near_vectors": _near_vectors(),
     "op8_quality_rules": _quality_rules(),
+    "op12_conversation_trie": _conversation_trie(),
+    "op13_secret_ownership": _secret_ownership(),
 }

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from pairstats.llm.caps import near_vectors
 from pairstats.llm.common import fold_of, table, texts_of
 from pairstats.llm.compression import score_quality
+from pairstats.llm.conversations import prefix_trie
 from pairstats.llm.minhash import near_duplicates
 from pairstats.llm.mixing import score_texts
 from pairstats.llm.packing import pack_documents
 from pairstats.llm.pii import digest_personal_data
 from pairstats.llm.pieces import encoded_digests
 from pairstats.llm.quality_rules import apply_quality_rules
+from pairstats.llm.secrets import find_secrets
 from pairstats.llm.toxicity import score_toxicity
 from pairstats.llm.trie_counts import token_counts
 
@@ -94,3 +96,13 @@ def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_texts(documents, fold_of("doc_id", 7) != 2)
     held_out = (fold_of("doc_id", 7) == 2).alias("held_out")
     return scored.select("doc_id", held_out, *[c for c in scored.columns if c != "doc_id"])
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("n_ends")
+
+
+@query
+def op13_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
