@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from pairstats.llm import phrases, secrets
 from pairstats.llm import quality_rules as rules
-from pairstats.llm import secrets
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -256,10 +256,57 @@ def _secret_ownership() -> str:
       FROM docs LEFT JOIN spans USING (row)"""
 
 
+def _phrase_collocations() -> str:
+    part = "split_part(phrase, ' ', {})"
+    first, second, third = (part.format(i) for i in (1, 2, 3))
+    return rf"""WITH pieces AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+        FROM (SELECT coalesce(lang, 'und') AS lang,
+                     unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                               '[.,;:!?\x0A-\x0D]')) AS piece
+              FROM documents)),
+      grams AS (
+        SELECT lang, 1 AS size, unnest(w) AS phrase FROM pieces
+        UNION ALL
+        SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+        FROM pieces
+        UNION ALL
+        SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1),
+                                              lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+        FROM pieces),
+      counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase),
+      totals AS (SELECT lang, sum(f) AS n FROM counts WHERE size = 1 GROUP BY lang),
+      candidates AS (SELECT * FROM counts WHERE size > 1 AND f >= {phrases.LEAST}),
+      cuts AS (
+        SELECT lang, phrase, f AS a, 1 AS k, {first} AS front,
+               CASE size WHEN 2 THEN {second} ELSE {second} || ' ' || {third} END AS rest
+        FROM candidates
+        UNION ALL
+        SELECT lang, phrase, f, 2, {first} || ' ' || {second}, {third} FROM candidates WHERE size = 3),
+      scored AS (
+        SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r,
+               (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+        FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.front
+        JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest),
+      lowest AS (SELECT * FROM scored
+                 QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+      longer AS (
+        SELECT lang, {first} || ' ' || {second} AS phrase, f FROM candidates WHERE size = 3
+        UNION ALL SELECT lang, {second} || ' ' || {third}, f FROM candidates WHERE size = 3),
+      kept AS (SELECT * FROM lowest s WHERE NOT EXISTS (
+        SELECT 1 FROM longer g WHERE g.lang = s.lang AND g.phrase = s.phrase AND 100 * g.f >= 50 * s.a)),
+      ranked AS (SELECT *, row_number() OVER (
+        PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+      SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+             n::BIGINT AS n, score::BIGINT AS score
+      FROM ranked JOIN totals USING (lang) WHERE rank <= {phrases.BEST}"""
+
+
 ORACLE: dict[str, str] = {
     "op3_minmax_near_duplicates": _near_duplicates(),
     "op4_cap_near_vectors": _near_vectors(),
     "op8_quality_rules": _quality_rules(),
+    "op11_phrase_collocations": _phrase_collocations(),
     "op12_conversation_trie": _conversation_trie(),
     "op13_secret_ownership": _secret_ownership(),
 }

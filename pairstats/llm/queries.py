@@ -15,6 +15,7 @@ from pairstats.llm.minhash import near_duplicates
 from pairstats.llm.mixing import score_texts
 from pairstats.llm.packing import pack_documents
 from pairstats.llm.pii import digest_personal_data
+from pairstats.llm.phrases import collocations
 from pairstats.llm.pieces import encoded_digests
 from pairstats.llm.quality_rules import apply_quality_rules
 from pairstats.llm.secrets import find_secrets
@@ -106,3 +107,8 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
