@@ -19,7 +19,7 @@ length is read in windows that share their last two words.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,13 +39,13 @@ LEAST = 10
 BEST = 2_000
 
 #: Bytes of text taken at once.
-WINDOW = 2_000_000
+WINDOW = 1_000_000
 #: Entries of a container before it bursts, and of a trie before it is spilled.
-BURST, FULL = 1 << 17, 2_000_000
+BURST, FULL = 1 << 16, 1_000_000
 #: Bits of a word id in a code; words of a task before it spills and starts afresh.
 BITS = 21
 MASK = (1 << BITS) - 1
-WORDS = 600_000
+WORDS = 300_000
 #: Bytes of text for each prefix partition, and the most partitions.
 PARTITION_BYTES, PARTITIONS = 8_000_000, 512
 #: Entries of a partition above which it is dealt again.
@@ -64,14 +64,19 @@ _TABLE = bytes(
 
 
 class Words(dict):
-    """Ids of the words of one language, from a number that all languages of a task share."""
+    """Ids of the words of one language; all languages of a task count on in the same lists.
 
-    def __init__(self, lang: str, names: list) -> None:
-        self.lang, self.names = lang, names
+    ``names`` holds the words by their ids, ``langs`` the numbers of their languages; id 0 is a gap.
+    """
+
+    def __init__(self, lang: int, names: list[bytes], langs: list[int]) -> None:
+        self.lang, self.names, self.langs = lang, names, langs
+        self[_GAP] = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.names)
-        self.names.append((self.lang, word))
+        self.names.append(word)
+        self.langs.append(self.lang)
         return n
 
 
@@ -173,7 +178,7 @@ class Trie:
             yield codes[order], counts[order]
 
 
-def windows(texts: list[bytes]) -> Iterator[bytes]:
+def windows(texts: Iterable[bytes]) -> Iterator[bytes]:
     """Translated texts, a gap after each, joined or cut to some ``WINDOW`` bytes.
 
     A text is cut in front of a blank or gap alone.
@@ -220,15 +225,20 @@ def codes_of(window: bytes, words: Words, carried: tuple[int, int]) -> tuple[np.
 
 
 def _pack(ids: np.ndarray, counts: np.ndarray, names: list[bytes]) -> tuple[bytes, bytes, bytes]:
-    """A run: its words, the numbers of each phrase's words in that list (from 1), the counts."""
+    """A run: its words, the numbers of each phrase's words in that list (0: none), the counts.
+
+    ``ids`` has a row for each place of a word, sorted; the first words are kept as their steps.
+    """
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1).compress
     kind = np.uint16 if len(names) < 65_535 else np.uint32
+    steps = np.diff(ids[0], prepend=0)
+    count = np.uint8 if counts.max() < 256 else np.int64
     return (
         press(b" ".join(names)),
-        press(np.ascontiguousarray(ids.T).astype(kind).tobytes()),
-        press(counts.astype(np.int64).tobytes()),
+        press(np.stack([steps, ids[1], ids[2]]).astype(kind).tobytes()),
+        press(counts.astype(count).tobytes()),
     )
 
 
@@ -238,8 +248,11 @@ def _unpack(words: bytes, ids: bytes, counts: bytes) -> tuple[list[bytes], np.nd
     expand = zstandard.ZstdDecompressor().decompress
     names = expand(words).split(b" ")
     kind = np.uint16 if len(names) < 65_535 else np.uint32
-    flat = np.frombuffer(expand(ids), kind).astype(np.int64)
-    return names, flat.reshape(LONGEST, -1).T, np.frombuffer(expand(counts), np.int64)
+    numbers = np.frombuffer(expand(ids), kind).astype(np.int64).reshape(LONGEST, -1)
+    numbers[0] = np.cumsum(numbers[0])
+    counts = expand(counts)
+    count = np.uint8 if len(counts) == numbers.shape[1] else np.int64
+    return names, numbers, np.frombuffer(counts, count).astype(np.int64)
 
 
 def _mix(*hashes: np.ndarray) -> np.ndarray:
@@ -266,27 +279,22 @@ def _local(ids: np.ndarray, names: list[bytes]) -> tuple[np.ndarray, list[bytes]
     return numbers + 1, [names[i] for i in used.tolist()]
 
 
-def _runs(trie: Trie, names: list, partitions: int) -> Iterator[tuple]:
+def _runs(trie: Trie, names: list, langs: list, partitions: int) -> Iterator[tuple]:
     """The trie's subtrees as rows of sorted runs, one for each language and prefix partition."""
-    langs = {lang: i for i, lang in enumerate(sorted({lang for lang, _ in names}))}
-    lang_of = np.array([langs[lang] for lang, _ in names])
-    hashes = np.array([zlib.crc32(word) for _, word in names], np.uint64)
-    plain = [word for _, word in names]
     spilled = list(trie.spill())
     codes = np.concatenate([c for c, _ in spilled])
     counts = np.concatenate([n for _, n in spilled])
     del spilled
-    if not len(codes):
-        return
-    first, second = codes >> 2 * BITS, codes >> BITS & MASK
-    part = (_mix(hashes[first], hashes[second]) % np.uint64(partitions)).astype(np.int64)
-    key = lang_of[first] * partitions + part
-    by_number = list(langs)
+    hashes = np.fromiter(map(zlib.crc32, names), np.uint64, len(names))
+    first = codes >> 2 * BITS
+    part = _mix(hashes[first], hashes[codes >> BITS & MASK]) % np.uint64(partitions)
+    key = np.array(langs)[first] * partitions + part.astype(np.int64)
+    del first, part, hashes
     for group in _groups(key):
-        ids = np.stack([first[group], second[group], codes[group] & MASK], axis=1)
-        local, own = _local(ids, plain)
+        own = codes[group]
+        ids, used = _local(np.stack([own >> 2 * BITS, own >> BITS & MASK, own & MASK]), names)
         lang, number = divmod(int(key[group[0]]), partitions)
-        yield by_number[lang], number, len(group), *_pack(local, counts[group], own)
+        yield lang, number, len(group), *_pack(ids, counts[group], used)
 
 
 def _run_batch(rows: list[tuple]):
@@ -304,13 +312,14 @@ def _counter(partitions: int):
     def run(batches):
         import pyarrow as pa
 
-        trie, names, by_lang = Trie(), [("", b"")], {}
+        trie, names, langs = Trie(), [b""], [0]
+        by_lang: dict[str, Words] = {}
 
         def spill():
-            rows, size = [], 0
-            for row in _runs(trie, names, partitions):
-                rows.append(row)
-                size += sum(map(len, row[3:]))
+            called, rows, size = list(by_lang), [], 0
+            for lang, *rest in _runs(trie, names, langs, partitions):
+                rows.append((called[lang], *rest))
+                size += sum(map(len, rest[2:]))
                 if size > 8_000_000:
                     yield _run_batch(rows)
                     rows, size = [], 0
@@ -318,25 +327,21 @@ def _counter(partitions: int):
                 yield _run_batch(rows)
 
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
+            languages = batch.column("lang").to_pylist()
             texts = batch.column("text").cast(pa.binary())
-            for lang in sorted(set(langs)):
+            for lang in sorted(set(languages)):
                 if lang not in by_lang:
-                    by_lang[lang] = Words(lang, names)
-                    by_lang[lang][_GAP] = 0
+                    by_lang[lang] = Words(len(by_lang), names, langs)
                 carried = (0, 0)
-                for window in windows([texts[i].as_py() for i, x in enumerate(langs) if x == lang]):
+                for window in windows(texts[i].as_py() for i, x in enumerate(languages) if x == lang):
                     codes, carried = codes_of(window, by_lang[lang], carried)
                     trie.add(codes)
-                    if len(trie) > FULL:
+                    if len(trie) > FULL or len(names) > WORDS:
                         yield from spill()
                     if len(names) > WORDS:
-                        yield from spill()
-                        last = [names[i][1] for i in carried]
-                        names[1:] = []
-                        by_lang = {x: Words(x, names) for x in by_lang}
-                        for words in by_lang.values():
-                            words[_GAP] = 0
+                        last = [names[i] for i in carried]
+                        del names[1:], langs[1:]
+                        by_lang = {x: Words(w.lang, names, langs) for x, w in by_lang.items()}
                         carried = tuple(by_lang[lang][word] if word else 0 for word in last)
         yield from spill()
 
@@ -352,11 +357,11 @@ def _deal_again(batches):
             names, ids, counts = _unpack(row["words"], row["ids"], row["counts"])
             hashes = np.array([0] + [zlib.crc32(n) for n in names], np.uint64)
             # Not the hash that chose the partition, or all would fall together again.
-            mixed = _mix(hashes[ids[:, 2]], hashes[ids[:, 1]], hashes[ids[:, 0]])
+            mixed = _mix(*hashes[ids[::-1]])
             piece = (mixed >> np.uint64(7)) % np.uint64(row["pieces"])
             rows, numbers = [], []
             for group in _groups(piece.astype(np.int64)):
-                local, own = _local(ids[group], [None, *names])
+                local, own = _local(ids[:, group], [b"", *names])
                 rows.append((row["lang"], row["part"], len(group), *_pack(local, counts[group], own)))
                 numbers.append(int(piece[group[0]]))
             out = _run_batch(rows)
@@ -375,15 +380,11 @@ def merge_runs(runs: list[tuple[list[bytes], np.ndarray, np.ndarray]]):
         )
         every.append(np.concatenate([[0], numbers])[ids])
         counts.append(n)
-    ids, counts = np.concatenate(every), np.concatenate(counts)
-    heads, head = np.unique(ids[:, 0] << 32 | ids[:, 1], return_inverse=True)
-    codes, place = np.unique(head << 32 | ids[:, 2], return_inverse=True)
-    head = heads[codes >> 32]
-    merged = np.stack([head >> 32, head & 0xFFFFFFFF, codes & 0xFFFFFFFF], axis=1)
-    # Sums of integers in doubles would round.
-    order = np.argsort(place, kind="stable")
-    starts = np.searchsorted(place[order], np.arange(len(codes)))
-    return list(index), merged, np.add.reduceat(counts[order], starts)
+    ids, counts = np.concatenate(every, axis=1), np.concatenate(counts)
+    order = np.lexsort(ids[::-1])
+    ids, counts = ids[:, order], counts[order]
+    starts = np.flatnonzero(np.append(True, (np.diff(ids, axis=1) != 0).any(axis=0)))
+    return list(index), ids[:, starts], np.add.reduceat(counts, starts)
 
 
 def _merger(least: int):
@@ -395,12 +396,12 @@ def _merger(least: int):
         runs = zip(*(table.column(c).to_pylist() for c in ("words", "ids", "counts")), strict=True)
         names, ids, counts = merge_runs([_unpack(*r) for r in runs])
         lang = table.column("lang")[0].as_py()
-        total = int(counts[ids[:, 1] == 0].sum())
+        total = int(counts[ids[1] == 0].sum())
         often = np.flatnonzero(counts >= least)
-        size = (ids[often] > 0).sum(axis=1)
+        size = (ids[:, often] > 0).sum(axis=0)
         phrases = [
             b" ".join(names[i - 1] for i in row if i).decode("utf-8", "replace")
-            for row in ids[often].tolist()
+            for row in ids[:, often].T.tolist()
         ]
         return pa.table(
             {
@@ -427,14 +428,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     partitions = min(PARTITIONS, size // PARTITION_BYTES + 1)
     runs = materialize(texts.mapInArrow(_counter(partitions), _RUN), "runs")
 
-    sizes = runs.groupBy("lang", "part").agg(F.sum("entries").alias("all"))
-    large = sizes.where(F.col("all") > LARGE).select(
-        "lang", "part", F.ceil(F.col("all") * 2 / LARGE).cast("int").alias("pieces")
+    # Partitions beyond a bound are dealt again; their list is short, each stands for that many entries.
+    sizes = runs.groupBy("lang", "part").agg(F.sum("entries").alias("all")).where(F.col("all") > LARGE)
+    large = materialize(
+        sizes.select("lang", "part", F.ceil(F.col("all") * 2 / LARGE).cast("int").alias("pieces")), "large"
     )
-    dealt = runs.join(large, ["lang", "part"], "left")
-    whole = dealt.where("pieces IS NULL").drop("pieces").withColumn("piece", F.lit(0))
-    again = dealt.where("pieces IS NOT NULL").mapInArrow(_deal_again, f"{_RUN}, piece int")
-    every = whole.unionByName(again)
+    every = runs.withColumn("piece", F.lit(0))
+    if not large.isEmpty():
+        again = runs.join(large, ["lang", "part"]).mapInArrow(_deal_again, f"{_RUN}, piece int")
+        every = every.join(large, ["lang", "part"], "left_anti").unionByName(again)
     merged = every.groupBy("lang", "part", "piece").applyInArrow(_merger(least), _COUNTS)
     return materialize(merged, "phrases")
 
