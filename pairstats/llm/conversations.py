@@ -33,6 +33,8 @@ STRIDE = 5
 LONGEST = 9
 #: Key of the empty prefix.
 ROOT = hashlib.sha256(b"").digest()
+#: Ids of a list that are spelled out together.
+CHUNK = 50_000
 #: A parent with more children than this share of all nodes, and than this number, is sliced.
 HOT_SHARE, HOT_CHILDREN = 1_000, 1_000
 
@@ -124,8 +126,34 @@ def _chain(batches):
         )
 
 
+def _id_chunks(batches):
+    """(key, first, ids): decimal ids joined by commas; rows come in order of (key, conv_id)."""
+    import pyarrow as pa
+
+    def out(rows):
+        columns = zip(*[(key, ids[0], b",".join(b"%d" % i for i in ids)) for key, ids in rows], strict=True)
+        kinds = (pa.binary(), pa.int64(), pa.binary())
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["key", "first", "ids"])
+
+    current, held, done = None, [], []
+    for batch in batches:
+        keys, ids = batch.column("key").to_pylist(), batch.column("conv_id").to_pylist()
+        for key, conv in zip(keys, ids, strict=True):
+            if held and (key != current or len(held) == CHUNK):
+                done.append((current, held))
+                held = []
+            current = key
+            held.append(conv)
+        if done:
+            yield out(done)
+            done = []
+    if held:
+        yield out([(current, held)])
+
+
 def _end_lists(batches):
-    """SHA-256 of the ids that end at each key; rows come in order of (key, conv_id)."""
+    """SHA-256 of the ids that end at each key; chunks come in order of (key, first)."""
     import pyarrow as pa
 
     def out(rows):
@@ -136,14 +164,14 @@ def _end_lists(batches):
 
     current, state, done = None, None, []
     for batch in batches:
-        keys, ids = batch.column("key").to_pylist(), batch.column("conv_id").to_pylist()
-        for key, conv in zip(keys, ids, strict=True):
+        keys, ids = batch.column("key").to_pylist(), batch.column("ids").to_pylist()
+        for key, chunk in zip(keys, ids, strict=True):
             if key == current:
-                state.update(b",%d" % conv)
+                state.update(b"," + chunk)
                 continue
             if current is not None:
                 done.append((current, state.hexdigest()))
-            current, state = key, hashlib.sha256(b"%d" % conv)
+            current, state = key, hashlib.sha256(chunk)
         if done:
             yield out(done)
             done = []
@@ -152,8 +180,16 @@ def _end_lists(batches):
 
 
 def end_lists(ends: DataFrame) -> DataFrame:
-    """(key, ends_sha256) of (key, conv_id): the ids in order, joined by commas, hashed as they pass."""
-    ordered = ends.select("key", "conv_id").repartition("key").sortWithinPartitions("key", "conv_id")
+    """(key, ends_sha256) of (key, conv_id): the ids in order, joined by commas.
+
+    Ranges of (key, conv_id) are sorted and spelled out in many tasks, whatever ends at one key. A
+    digest of a list cannot be cut, so the chunks of a key then pass one task, which only hashes them.
+    """
+    ordered = ends.select("key", "conv_id").repartitionByRange("key", "conv_id")
+    chunks = ordered.sortWithinPartitions("key", "conv_id").mapInArrow(
+        _id_chunks, "key binary, first bigint, ids binary"
+    )
+    ordered = chunks.repartition("key").sortWithinPartitions("key", "first")
     return ordered.mapInArrow(_end_lists, "key binary, ends_sha256 string")
 
 
