@@ -7,8 +7,10 @@ from pairstats.plans.collocations import (
     select_collocations,
     stage_counts,
 )
+from pairstats.plans.counters import RunCounters
 
 __all__ = [
+    "RunCounters",
     "association_counts",
     "association_scores",
     "extract_collocations",

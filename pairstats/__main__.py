@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from pairstats.functions.words import LANGUAGES
+from pairstats.operators.clean import split_valid_written
 from pairstats.plans.collocations import TIES, extract_collocations
+from pairstats.plans.counters import RunCounters
 from pairstats.session import SETTINGS
 from pairstats.sinks.text import write_scored_text, write_top_k_report
 from pairstats.sources.ngrams import READERS
@@ -31,6 +33,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--stop-words", help="path of a text file, one word per line")
     parser.add_argument("--report", help="path of a report of the best pairs, must be new")
     parser.add_argument("--top", type=int, default=10, help="pairs per period in the report")
+    parser.add_argument("--rejects", help="path of the rejected facts with reasons, must be new")
+    parser.add_argument("--counters", action="store_true", help="print the rows of each stage")
     return parser.parse_args(argv)
 
 
@@ -39,6 +43,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName("pairstats").config(map=SETTINGS).getOrCreate()
     ngrams = READERS[args.source](spark, args.input, args.sample, args.seed)
     words = stop_words(spark, args.language, args.stop_words) if args.stop_words else None
+    counters = RunCounters() if args.counters else None
+    if args.rejects:
+        # A list of one's own comes after the other checks here, as it may be a table of any size.
+        ngrams, rejects = split_valid_written(ngrams, args.language, [] if args.stop_words else None)
+        rejects.write.mode("errorifexists").parquet(args.rejects)
     found = extract_collocations(
         ngrams,
         args.language,
@@ -48,8 +57,12 @@ def main(argv: Sequence[str] | None = None) -> None:
         ties=args.ties,
         fold_case=args.fold_case,
         stop_words=words,
+        counters=counters,
     )
     write_scored_text(found, args.output)
+    if counters:
+        for stage, rows in counters.rows().items():
+            print(f"{stage}\t{rows}")
     if args.report:
         write_top_k_report(found, args.report, args.top)
 

@@ -1,4 +1,8 @@
-"""Period buckets and the text form of a pair key."""
+"""Period buckets and the text form of a pair key.
+
+A field of a text line is the plain word or number. NULL is ``\\N``, and characters that part fields
+or lines are written as two, as is the backslash itself, so that every row can be read back.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +15,34 @@ def period_bucket(year: Column, width: int = 10) -> Column:
     return year - year % F.lit(width)
 
 
+# Fixed values of the line format.
+NULL = "\\N"
+_ESCAPES = {" ": "\\s", "\t": "\\t", "\n": "\\n", "\r": "\\r"}
+# Not two backslashes: then each escape could be undone by itself, whatever stands before it.
+_BACKSLASH = ("\\", "\\b")
+
+
+def text_field(value: Column) -> Column:
+    """A value as a field of a text line, never NULL."""
+    text = escaped = value.cast("string")
+    for plain, mark in [_BACKSLASH, *_ESCAPES.items()]:
+        escaped = F.replace(escaped, F.lit(plain), F.lit(mark))
+    # Hardly any word needs it, so one search comes first.
+    return F.coalesce(F.when(text.rlike(r"[\\ \t\n\r]"), escaped).otherwise(text), F.lit(NULL))
+
+
+def field_text(field: Column) -> Column:
+    """The inverse of ``text_field``, as text; a backslash that starts no escape stays."""
+    plain = field
+    for char, mark in [*_ESCAPES.items(), _BACKSLASH]:
+        plain = F.replace(plain, F.lit(mark), F.lit(char))
+    marked = F.contains(field, F.lit("\\"))
+    return F.when(field != NULL, F.when(marked, plain).otherwise(field))
+
+
 def pair_key(period: Column, w1: Column, w2: Column) -> Column:
     """``period w1 w2``, the key as it stands in a text file."""
-    return F.concat_ws(" ", period.cast("string"), w1, w2)
+    return F.concat_ws(" ", text_field(period), text_field(w1), text_field(w2))
 
 
 def nth_field(text: Column, sep: str, n: int) -> Column:
@@ -32,6 +61,6 @@ def split_pair_key(key: Column) -> tuple[Column, Column, Column]:
     """The (period, w1, w2) columns of a text key."""
     return (
         nth_field(key, " ", 1).try_cast("int").alias("period"),
-        nth_field(key, " ", 2).alias("w1"),
-        nth_field(key, " ", 3).alias("w2"),
+        field_text(nth_field(key, " ", 2)).alias("w1"),
+        field_text(nth_field(key, " ", 3)).alias("w2"),
     )

@@ -19,7 +19,7 @@ from pairstats.functions.words import (
     stop_word_list,
 )
 from pairstats.operators.counts import HOT_PAIRS, HOT_WORDS, slice_hot
-from pairstats.sinks.stage import materialize
+from pairstats.sinks.stage import materialize, split_written
 
 # A longer list of stop words becomes a table, instead of text in the plan.
 LONG_LIST = 5_000
@@ -106,7 +106,7 @@ def reject_reason(
 def split_valid(
     ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The good rows, and the rejected rows with their ``reason``.
+    """The good rows, and the rejected rows with their ``reason``; using both reads ``ngrams`` twice.
 
     ``ngrams`` holds ngram, year and match_count, and two flags if it came from text lines.
     """
@@ -115,6 +115,17 @@ def split_valid(
     return valid, ngrams.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
+def split_valid_written(
+    ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``split_valid`` out of a single scan of ``ngrams``.
+
+    Every row is judged once and written under its outcome; the two tables read their own folders.
+    """
+    reason = reject_reason(ngrams, language, stop_words)
+    return split_written(ngrams.withColumn("reason", reason), "reason", "outcomes")
+
+
 def reject_report(
     ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
 ) -> DataFrame:

@@ -10,10 +10,12 @@ shuffled blocks, and may not see the hot one.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairstats.sinks.stage import materialize, materialize_by
+from pairstats.sinks.stage import materialize, materialize_buckets
 
 PAIR = ("period", "w1", "w2")
 
@@ -49,15 +51,49 @@ def period_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("period").agg(F.sum("c12").alias("n"))
 
 
-def _grouping_sets(counts: DataFrame, sets: list[tuple[str, ...]], *more: Column) -> DataFrame:
-    levels = counts.groupingSets([[F.col(c) for c in s] for s in sets], *PAIR)
-    level = F.grouping_id().cast("int").alias("level")
-    return levels.agg(level, F.sum("c12").alias("total"), *more)
+def bucketed_pairs(counts: DataFrame, place: str = "w1", buckets: int | None = None) -> DataFrame:
+    """The pair table, written in buckets of (period, ``place``).
+
+    Totals of the words in that place, and the join that attaches them, then read bucket by bucket and
+    shuffle no pair. Worth its one shuffle where the totals are too large to broadcast, and more so where
+    the table is used again. A word hot enough to be sliced is still spread over many tasks.
+    """
+    if buckets is None:
+        buckets = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize_buckets(counts, ["period", place], buckets, "pair_counts")
+
+
+def _n_pairs() -> Column:
+    return F.count(F.lit(1)).alias("n_pairs")
+
+
+def word_totals(counts: DataFrame, place: str) -> DataFrame:
+    """(period, ``place``, total, n_pairs): occurrences and number of pairs of each word there."""
+    totals = counts.groupBy("period", place).agg(F.sum("c12").alias("total"), _n_pairs())
+    return materialize(totals, f"{place}_totals")
+
+
+def roll_up(totals: DataFrame) -> DataFrame:
+    """(period, total, n_pairs) out of the totals of words, of which there are far fewer than pairs."""
+    return totals.groupBy("period").agg(F.sum("total").alias("total"), F.sum("n_pairs").alias("n_pairs"))
 
 
 def count_levels(counts: DataFrame) -> DataFrame:
-    """Pair, word and period counts in one pass; ``level`` tells them apart (see ``LEVELS``)."""
-    return _grouping_sets(counts, [PAIR, ("period", "w1"), ("period", "w2"), ("period",)])
+    """Pair, word and period counts; ``level`` tells them apart (see ``LEVELS``).
+
+    Each level is summed from the next finer one: words from the pairs, periods from the written totals
+    of first words. No pair is copied, as grouping sets would do for each level. ``counts`` is read three
+    times: give a written table.
+    """
+    left = word_totals(counts, "w1")
+    levels = [counts.withColumnRenamed("c12", "total"), left, right_counts(counts), roll_up(left)]
+    levels[2] = levels[2].withColumnRenamed("c2", "total")
+
+    def row(level: int, part: DataFrame) -> DataFrame:
+        words = [F.col(c) if c in part.columns else F.lit(None).cast("string").alias(c) for c in ("w1", "w2")]
+        return part.select("period", *words, F.lit(level).alias("level"), "total")
+
+    return reduce(DataFrame.unionByName, [row(level, part) for level, part in enumerate(levels)])
 
 
 def join_by_period(rows: DataFrame, totals: DataFrame, periods: int | None = None) -> DataFrame:
@@ -67,10 +103,6 @@ def join_by_period(rows: DataFrame, totals: DataFrame, periods: int | None = Non
     return rows.join(F.broadcast(totals) if periods <= MANY_PERIODS else totals, "period")
 
 
-def _n_pairs() -> Column:
-    return F.count(F.lit(1)).alias("n_pairs")
-
-
 def _attach_word_total(counts: DataFrame, totals: DataFrame, place: str, rows: int) -> DataFrame:
     """Join the totals (period, ``place``, total, n_pairs) of a word in that place.
 
@@ -106,8 +138,7 @@ def slice_hot(
 
 
 def _with_word_count(counts: DataFrame, place: str, name: str) -> DataFrame:
-    totals = counts.groupBy("period", place).agg(F.sum("c12").alias("total"), _n_pairs())
-    totals = materialize(totals, f"{name}_totals")
+    totals = word_totals(counts, place)
     rows = totals.agg(F.sum("n_pairs")).first()[0] or 0
     out = _attach_word_total(counts, totals, place, rows)
     return out.select(*counts.columns, F.col("total").alias(name))
@@ -134,18 +165,17 @@ def with_period_total(counts: DataFrame) -> DataFrame:
 
 
 def with_all_counts(counts: DataFrame) -> DataFrame:
-    """Attach ``c1``, ``c2`` and ``n``, all taken from one pass over the pair table."""
-    sets = [("period", "w1"), ("period", "w2"), ("period",)]
-    totals = materialize_by(_grouping_sets(counts, sets, _n_pairs()), "level", [1, 2, 3], "totals")
-    left = totals[1].select("period", "w1", "total", "n_pairs")
-    right = totals[2].select("period", "w2", "total", "n_pairs")
-    period = totals[3].select("period", F.col("total").alias("n"))
-    periods, rows = totals[3].agg(F.count(F.lit(1)), F.sum("n_pairs")).first()
+    """Attach ``c1``, ``c2`` and ``n``. Totals of words are summed from the pairs, those of periods
+    from the totals of first words."""
+    left, right = word_totals(counts, "w1"), word_totals(counts, "w2")
+    period = materialize(roll_up(left), "period_totals")
+    periods, rows = period.agg(F.count(F.lit(1)), F.sum("n_pairs")).first()
     rows = rows or 0
     out = _attach_word_total(counts, left, "w1", rows)
     out = out.select(*counts.columns, F.col("total").alias("c1"))
     out = _attach_word_total(out, right, "w2", rows)
     out = out.select(*counts.columns, "c1", F.col("total").alias("c2"))
+    period = period.select("period", F.col("total").alias("n"))
     return join_by_period(out, period, periods).select(*counts.columns, "c1", "c2", "n")
 
 

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairstats.operators.clean import clean_pairs, drop_stop_pairs, pair_outcomes, stop_table
-from pairstats.operators.counts import pair_counts, with_all_counts, with_period_total
+from pairstats.operators.counts import bucketed_pairs, pair_counts, with_all_counts, with_period_total
 from pairstats.operators.scoring import with_npmi, with_relative_npmi
 from pairstats.operators.select import either_threshold, one_per_score, rank_order
+from pairstats.plans.counters import RunCounters, watched
 from pairstats.sinks.stage import materialize
 
 TIES = ("keep", "one_per_score")
@@ -28,19 +29,30 @@ def association_counts(
     width: int = 10,
     fold_case: bool = False,
     stop_words: Iterable[str] | DataFrame | None = None,
+    counters: RunCounters | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Clean and count: (period, w1, w2, c12, c1, c2, n)."""
+    """Clean and count: (period, w1, w2, c12, c1, c2, n).
+
+    With ``buckets`` the pair table is written in so many buckets of (period, w1), which then join their
+    totals without a shuffle; see ``bucketed_pairs``.
+    """
     stop_words = stop_table(ngrams.sparkSession, stop_words)
     table = isinstance(stop_words, DataFrame)
-    pairs = clean_pairs(ngrams, language, width, fold_case, [] if table else stop_words)
-    pairs = materialize(pair_counts(pairs), "pair_counts")
+    facts = watched(ngrams, counters, "input")
+    pairs = clean_pairs(facts, language, width, fold_case, [] if table else stop_words)
+    pairs = pair_counts(watched(pairs, counters, "kept"))
     if table:
         # Stop words are a matter of the words alone, so they can go after counting.
-        pairs = materialize(drop_stop_pairs(pairs, stop_words, language), "pair_counts")
-    return with_all_counts(pairs)
+        pairs = drop_stop_pairs(materialize(pairs, "pair_counts"), stop_words, language)
+    pairs = watched(pairs, counters, "pairs")
+    written = materialize(pairs, "pair_counts") if buckets is None else bucketed_pairs(pairs, "w1", buckets)
+    return with_all_counts(written)
 
 
-def association_scores(counts: DataFrame, keep_counts: bool = True) -> DataFrame:
+def association_scores(
+    counts: DataFrame, keep_counts: bool = True, counters: RunCounters | None = None
+) -> DataFrame:
     """Score counted pairs: adds ``npmi`` and ``rel_npmi`` (and ``n`` where it is missing).
 
     The scores are written, because each is needed for its period's sum and again after it.
@@ -51,7 +63,7 @@ def association_scores(counts: DataFrame, keep_counts: bool = True) -> DataFrame
     scores = with_npmi(counts)
     if not keep_counts:
         scores = scores.select("period", "w1", "w2", "npmi")
-    return with_relative_npmi(materialize(scores, "scores"))
+    return with_relative_npmi(materialize(watched(scores, counters, "scored"), "scores"))
 
 
 def select_collocations(
@@ -61,6 +73,7 @@ def select_collocations(
     ties: str = "keep",
     keep_scores: bool = False,
     digits: int | None = None,
+    counters: RunCounters | None = None,
 ) -> DataFrame:
     """Pairs that reach either threshold, best first.
 
@@ -73,8 +86,10 @@ def select_collocations(
     if not keep_scores:
         chosen = chosen.select("period", "w1", "w2", "npmi")
     if ties == "one_per_score":
-        chosen = one_per_score(chosen, digits)
-    return rank_order(chosen, digits)
+        chosen = one_per_score(watched(chosen, counters, "selected"), digits)
+        return watched(rank_order(chosen, digits), counters, "distinct_scores")
+    # Counted behind the range sort, which reads its input twice: once for its ranges.
+    return watched(rank_order(chosen, digits), counters, "selected")
 
 
 def extract_collocations(
@@ -88,11 +103,15 @@ def extract_collocations(
     fold_case: bool = False,
     stop_words: Iterable[str] | DataFrame | None = None,
     digits: int | None = None,
+    counters: RunCounters | None = None,
 ) -> DataFrame:
-    """The whole run: clean, count, score, choose and order."""
-    counts = association_counts(ngrams, language, width, fold_case, stop_words)
-    scores = association_scores(counts, keep_scores)
-    return select_collocations(scores, min_npmi, rel_min_npmi, ties, keep_scores, digits)
+    """The whole run: clean, count, score, choose and order.
+
+    ``counters`` (new for each run) counts the rows that leave each stage, without reading any twice.
+    """
+    counts = association_counts(ngrams, language, width, fold_case, stop_words, counters)
+    scores = association_scores(counts, keep_scores, counters)
+    return select_collocations(scores, min_npmi, rel_min_npmi, ties, keep_scores, digits, counters)
 
 
 def stage_counts(

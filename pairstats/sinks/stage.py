@@ -8,13 +8,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Folders of local sessions that name none, and folders found to be shared, by application.
 _local_folders: dict[str, str] = {}
 _seen_folders: set[tuple[str, str]] = set()
+# The folder of rows that have no reason to be rejected.
+KEPT = "kept"
+# Names of the tables in buckets.
+_bucketed: list[str] = []
 # Folders of the open runs, the innermost last.
 _runs: list[str] = []
 
@@ -104,6 +107,8 @@ def written_tables(spark: SparkSession) -> Iterator[str]:
 
 def free_tables(spark: SparkSession) -> None:
     """Delete all tables this application has written; results that read them are gone, too."""
+    while _bucketed:
+        spark.sql(f"DROP TABLE IF EXISTS {_bucketed.pop()}")
     folder = _application_folder(spark)
     file_system(spark, folder).delete(_hadoop_path(spark, folder), True)
 
@@ -119,25 +124,43 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialize_by(df: DataFrame, column: str, values: list, name: str) -> dict:
-    """Write ``df`` once, split by a column of few values; read back one table per value.
+def materialize_buckets(df: DataFrame, keys: list[str], buckets: int, name: str) -> DataFrame:
+    """``materialize``, as a table in buckets of ``keys``: later joins and sums by them need no shuffle.
 
-    Each table is read from its own folder, so that Spark sees the size of that part alone.
+    Rows go to their buckets before they are written, so that each bucket is one file. The table has
+    a name of its own in the session's catalog, until ``free_tables``.
     """
     spark, path = df.sparkSession, stage_path(df.sparkSession, name)
-    schema = df.drop(column).schema
-    df.write.partitionBy(column).parquet(path)
-
-    def part(value) -> DataFrame:
-        try:
-            return spark.read.schema(schema).parquet(f"{path}/{column}={value}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            # No row has this value, so there is no folder.
-            return spark.createDataFrame([], schema)
-
-    return {value: part(value) for value in values}
+    table = f"pairstats_{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    _bucketed.append(table)
+    return spark.table(table)
+
+
+def write_split(df: DataFrame, reason: str, path: str) -> None:
+    """Write ``df`` in one pass, one folder for each value of ``reason``, rows without one under a
+    folder of their own. The path must be new."""
+    kept = F.coalesce(F.col(reason), F.lit(KEPT))
+    df.withColumn(reason, kept).write.mode("errorifexists").partitionBy(reason).parquet(path)
+
+
+def read_split(df: DataFrame, reason: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """What ``write_split`` wrote of ``df``: the rows without a reason, and the others with it.
+
+    Each side reads its own folders.
+    """
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    good = rows.where(F.col(reason) == KEPT).drop(reason)
+    rejects = rows.where(F.col(reason) != KEPT)
+    return good, rejects.select(*[c for c in df.columns if c != reason], reason)
+
+
+def split_written(df: DataFrame, reason: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of ``df`` out of a single pass over it, in the shared folder."""
+    path = stage_path(df.sparkSession, name)
+    write_split(df, reason, path)
+    return read_split(df, reason, path)
 
 
 def write_stage(df: DataFrame, path: str) -> None:

@@ -1,4 +1,4 @@
-"""Text results: ``period w1 w2 TAB score``."""
+"""Text results: ``period w1 w2 TAB score``; see ``functions.keys`` for NULLs and odd characters."""
 
 from __future__ import annotations
 
@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairstats.functions.keys import pair_key
+from pairstats.functions.keys import pair_key, text_field
 from pairstats.operators.select import rank_order, top_k
 
 
 def _line(values: Sequence[str]) -> Column:
     key = pair_key(F.col("period"), F.col("w1"), F.col("w2"))
-    scores = F.concat_ws(" ", *[F.col(v).cast("string") for v in values])
+    scores = F.concat_ws(" ", *[text_field(F.col(v)) for v in values])
     return F.concat_ws("\t", key, scores)
 
 

@@ -4,26 +4,85 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairstats.functions.keys import nth_field, split_pair_key
+from pairstats.functions.keys import NULL, field_text, nth_field, split_pair_key
+from pairstats.sinks.stage import split_written
 
 
 def parse_scored_lines(
     lines: DataFrame, values: Mapping[str, str] | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Pairs with their values out of column ``value``, after the columns ``keep``."""
-    values = {"npmi": "double"} if values is None else values
+    """Pairs with their values out of column ``value``, after the columns ``keep``.
+
+    Every line gives a row: what does not parse is NULL. ``split_scored_lines`` tells such lines apart.
+    """
+    values = _values(values)
     key = nth_field(F.col("value"), "\t", 1)
     rest = nth_field(F.col("value"), "\t", 2)
     columns = [
-        nth_field(rest, " ", i).try_cast(kind).alias(name)
+        _parsed(nth_field(rest, " ", i), kind).alias(name)
         for i, (name, kind) in enumerate(values.items(), start=1)
     ]
     return lines.select(*keep, *split_pair_key(key), *columns)
 
 
+def _values(values: Mapping[str, str] | None) -> Mapping[str, str]:
+    return {"npmi": "double"} if values is None else values
+
+
+def _parsed(field: Column, kind: str) -> Column:
+    return field_text(field) if kind == "string" else field.try_cast(kind)
+
+
+def scored_reject_reason(values: Mapping[str, str] | None = None) -> Column:
+    """The first check a scored line in column ``value`` fails, NULL for a good one.
+
+    ``few_fields``: no TAB, or fewer than three fields before it. ``many_fields``: more fields than
+    there are names for, on either side. ``bad_period``, ``empty_word``. ``few_values``, ``bad_value``:
+    a value is missing, or neither parses nor is marked as NULL.
+    """
+    values, line = _values(values), F.col("value")
+    key, rest = nth_field(line, "\t", 1), F.substring_index(line, "\t", -1)
+    tabs = F.char_length(line) - F.char_length(F.replace(line, F.lit("\t"), F.lit("")))
+    fields = F.size(F.split(key, " ")), F.size(F.split(rest, " "))
+    period, *words = (nth_field(key, " ", i) for i in (1, 2, 3))
+    bad = F.lit(False)
+    for i, kind in enumerate(values.values(), start=1):
+        field = nth_field(rest, " ", i)
+        if kind != "string":
+            bad = bad | ((field != NULL) & field.try_cast(kind).isNull())
+    return (
+        F.when((tabs < 1) | (fields[0] < 3), "few_fields")
+        .when((tabs > 1) | (fields[0] > 3) | (fields[1] > len(values)), "many_fields")
+        .when((period != NULL) & period.try_cast("int").isNull(), "bad_period")
+        .when((words[0] == "") | (words[1] == ""), "empty_word")
+        .when(fields[1] < len(values), "few_values")
+        .when(bad, "bad_value")
+    )
+
+
+def split_scored_lines(
+    lines: DataFrame, values: Mapping[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs of the good lines (column ``value``), and the rejected lines (value, reason).
+
+    The lines are read once: both sides are written by the way. Blank lines, which part the groups of a
+    report, are neither.
+    """
+    judged = lines.where(F.col("value") != "").select("value", scored_reject_reason(values).alias("reason"))
+    good, rejects = split_written(judged, "reason", "scored_lines")
+    return parse_scored_lines(good, values), rejects
+
+
+def split_scored_text(
+    spark: SparkSession, path: str, values: Mapping[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``split_scored_lines`` of text files."""
+    return split_scored_lines(spark.read.text(path), values)
+
+
 def read_scored_text(
     spark: SparkSession, path: str, values: Mapping[str, str] | None = None
 ) -> DataFrame:

@@ -115,6 +115,34 @@ scores AS (
 
 CHOSEN = "chosen AS (SELECT * FROM scores WHERE npmi >= 0.7 OR rel_npmi >= 0.3)"
 
+SCORED_LINES = r"""
+made AS (
+  SELECT doc_id % 10 AS d, doc_id, w1, w2, CAST(length(w1) AS VARCHAR) AS n1,
+         CAST(length(w2) AS VARCHAR) AS n2,
+         CASE doc_id % 10 WHEN 3 THEN 'x' ELSE '' END
+           || CASE doc_id % 10 WHEN 7 THEN '\N' ELSE CAST(1900 + doc_id % 100 AS VARCHAR) END AS p
+  FROM adjacent),
+scored_lines AS (
+  SELECT p || ' ' || w1
+           || CASE d WHEN 1 THEN '' WHEN 2 THEN ' ' || w2 || ' ' || w1 WHEN 8 THEN ' ' ELSE ' ' || w2 END
+           || CASE WHEN doc_id % 20 = 0 THEN '' ELSE chr(9)
+           || CASE d WHEN 4 THEN n1 WHEN 5 THEN n1 || ' y' || n2 WHEN 6 THEN '\N ' || n2
+                WHEN 9 THEN n1 || ' ' || n2 || ' ' || n1 ELSE n1 || ' ' || n2 END END AS value
+  FROM made),
+cut AS (
+  SELECT value, string_split(value, chr(9)) AS f, string_split(split_part(value, chr(9), 1), ' ') AS k,
+         string_split(split_part(value, chr(9), 2), ' ') AS v
+  FROM scored_lines),
+judged AS (
+  SELECT *, CASE WHEN len(f) < 2 OR len(k) < 3 THEN 'few_fields'
+              WHEN len(f) > 2 OR len(k) > 3 OR len(v) > 2 THEN 'many_fields'
+              WHEN k[1] <> '\N' AND try_cast(k[1] AS INTEGER) IS NULL THEN 'bad_period'
+              WHEN k[2] = '' OR k[3] = '' THEN 'empty_word'
+              WHEN len(v) < 2 THEN 'few_values'
+              WHEN len(list_filter(v, lambda x: x <> '\N' AND try_cast(x AS BIGINT) IS NULL)) > 0
+                THEN 'bad_value' END AS reason
+  FROM cut)"""
+
 REASON = """
   CASE WHEN NOT complete THEN 'few_fields'
        WHEN w1 IS NULL THEN 'not_two_words'
@@ -172,6 +200,14 @@ def statements() -> dict[str, str]:
         "rejected_lines": f"""{lines}
             SELECT line, reason FROM (SELECT line, {REASON} AS reason FROM parsed)
             WHERE reason IS NOT NULL""",
+        "split_by_outcome": f"""{lines}
+            SELECT line, coalesce({REASON}, 'kept') AS outcome FROM parsed""",
+        "scored_lines_good": f"""{_with(DOC_PAIRS, SCORED_LINES)}
+            SELECT try_cast(k[1] AS INTEGER) AS period, k[2] AS w1, k[3] AS w2,
+                   try_cast(v[1] AS BIGINT) AS n1, try_cast(v[2] AS BIGINT) AS n2
+            FROM judged WHERE reason IS NULL""",
+        "scored_lines_rejected": f"""{_with(DOC_PAIRS, SCORED_LINES)}
+            SELECT value, reason FROM judged WHERE reason IS NOT NULL""",
         "clean_pairs_english": f"{doc_clean} SELECT period, w1, w2, match_count FROM clean",
         "clean_pairs_fold_case": f"""{doc_clean}
             SELECT period, lower(w1) AS w1, lower(w2) AS w2,
@@ -222,6 +258,7 @@ def statements() -> dict[str, str]:
         "with_period_total": f"{doc_counted} SELECT period, w1, w2, c12, n FROM counted",
         "association_counts": f"{doc_counted} SELECT {all_counts} FROM counted",
         "association_counts_stop_table": f"{doc_counted} SELECT {all_counts} FROM counted",
+        "association_counts_buckets": f"{doc_counted} SELECT {all_counts} FROM counted",
         "association_counts_products": f"""
             {product_counted.replace("year % 10", "year % 5")} SELECT {all_counts} FROM counted""",
         "reverse_pair_view": f"""{products}
@@ -265,6 +302,20 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT 'selected', count(*) FROM chosen
             UNION ALL SELECT 'distinct_scores', count(*)
               FROM (SELECT DISTINCT period, round(npmi, 9) FROM chosen)""",
+        "run_counters": f"""{doc_scores}, {CHOSEN}
+            SELECT 'input' AS stage, CAST(count(*) AS BIGINT) AS n_rows FROM facts
+            UNION ALL SELECT 'kept', count(*) FROM clean
+            UNION ALL SELECT 'pairs', count(*) FROM pairs
+            UNION ALL SELECT 'scored', count(*) FROM scores
+            UNION ALL SELECT 'selected', count(*) FROM chosen""",
+        "text_with_nulls": rf"""{doc_pairs}
+            SELECT CASE WHEN length(w1) % 5 > 0 THEN period END AS period,
+                   CASE length(w2) % 7 WHEN 0 THEN w1 || ' \N' || chr(9) || '\s' WHEN 1 THEN NULL
+                     ELSE w1 END AS w1,
+                   CASE WHEN length(w1) % 6 = 0 THEN '\' || w2 || chr(13) || chr(10) ELSE w2 END AS w2,
+                   CASE WHEN length(w2) % 3 > 0 THEN c12 END AS c12, c12 + 1 AS further,
+                   CASE WHEN length(w1) % 4 > 0 THEN w2 || ' ' || w1 END AS words
+            FROM pairs""",
         "stage_parquet_round_trip": f"{doc_pairs} SELECT period, w1, w2, c12 FROM pairs",
         "scored_text_round_trip": f"{doc_scores} SELECT period, w1, w2, {npmi}, {rel} FROM scores",
         "counts_text_round_trip": f"{doc_counted} SELECT period, w1, w2, c12, c1, c2 FROM counted",

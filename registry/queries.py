@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairstats.functions.keys import pair_key, period_bucket
 from pairstats.operators import clean, counts, scoring, select
 from pairstats.plans import collocations as plans
+from pairstats.plans.counters import RunCounters
 from pairstats.sinks.stage import materialize, read_stage, stage_path, write_stage
 from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
 from pairstats.sources.ngrams import (
@@ -18,7 +19,7 @@ from pairstats.sources.ngrams import (
     read_ngrams_table,
     read_ngrams_text,
 )
-from pairstats.sources.scored import parse_scored_lines, read_scored_text
+from pairstats.sources.scored import parse_scored_lines, read_scored_text, split_scored_lines
 from pairstats.sources.stop_words import stop_words
 from registry.tables import (
     adjacent_pairs,
@@ -29,6 +30,7 @@ from registry.tables import (
     facts,
     hebrew_ngrams,
     product_ngrams,
+    scored_lines,
     table,
 )
 
@@ -159,6 +161,29 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("line", "reason")
 
 
+@query
+def split_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and rejected lines out of one scan, each under its outcome."""
+    lines = clean.parse_ngram_lines(document_lines(spark, sf_dir))
+    good, rejects = clean.split_valid_written(lines, "english")
+    kept = good.select("line", F.lit("kept").alias("outcome"))
+    return kept.union(rejects.select("line", F.col("reason").alias("outcome")))
+
+
+@query
+def scored_lines_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of the well-formed scored lines."""
+    good, _ = split_scored_lines(scored_lines(spark, sf_dir), dict.fromkeys(("n1", "n2"), "bigint"))
+    return good
+
+
+@query
+def scored_lines_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The malformed scored lines, with their reasons."""
+    _, rejects = split_scored_lines(scored_lines(spark, sf_dir), dict.fromkeys(("n1", "n2"), "bigint"))
+    return rejects
+
+
 @query
 def clean_pairs_english(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_pairs(document_ngrams(spark, sf_dir), "english")
@@ -291,6 +316,12 @@ def association_counts_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame
     return plans.association_counts(document_ngrams(spark, sf_dir), "english", stop_words=stop)
 
 
+@query
+def association_counts_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a pair table in buckets of period and first word."""
+    return plans.association_counts(document_ngrams(spark, sf_dir), "english", buckets=8)
+
+
 @query
 def association_counts_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.association_counts(product_ngrams(spark, sf_dir), "english", width=5)
@@ -378,6 +409,17 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.stage_counts(ngrams, "english", 0.7, 0.3, digits=TIE_DIGITS)
 
 
+@query
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per stage of a run, counted by the run itself."""
+    counters = RunCounters()
+    found = plans.extract_collocations(
+        document_ngrams(spark, sf_dir), "english", 0.7, 0.3, counters=counters
+    )
+    materialize(found, "collocations")
+    return spark.createDataFrame(list(counters.rows().items()), "stage string, n_rows bigint")
+
+
 # --- sinks ---------------------------------------------------------------------------------
 
 
@@ -396,6 +438,26 @@ def scored_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_scores(read_scored_text(spark, path, values))
 
 
+@query
+def text_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts with NULLs in any column and words of odd characters, through text and back."""
+    path = stage_path(spark, "odd")
+    pairs = document_pairs(spark, sf_dir)
+    first, second = F.length("w1"), F.length("w2")
+    odd = pairs.select(
+        F.when(first % 5 > 0, F.col("period")).alias("period"),
+        F.when(second % 7 == 0, F.concat("w1", F.lit(" \\N\t\\s")))
+        .when(second % 7 != 1, F.col("w1"))
+        .alias("w1"),
+        F.when(first % 6 == 0, F.concat(F.lit("\\"), "w2", F.lit("\r\n"))).otherwise(F.col("w2")).alias("w2"),
+        F.when(second % 3 > 0, F.col("c12")).alias("c12"),
+        (F.col("c12") + 1).alias("further"),
+        F.when(first % 4 > 0, F.concat_ws(" ", "w2", "w1")).alias("words"),
+    )
+    write_pair_text(odd, path, ["c12", "further", "words"])
+    return read_scored_text(spark, path, {"c12": "bigint", "further": "bigint", "words": "string"})
+
+
 @query
 def delivered_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each pair in the written text: its line, after all part files before its own."""

@@ -109,3 +109,26 @@ def product_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("p_name").alias("ngram"), "year")
         .agg(F.sum("sold").alias("match_count"))
     )
+
+
+def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjacent word pairs as lines ``period w1 w2 TAB n1 n2`` (column ``value``), good and malformed.
+
+    The last digit of a document's id decides; the values are the lengths of the words.
+    """
+    pairs = adjacent_pairs(document_words(spark, sf_dir))
+    digit = F.col("doc_id") % 10
+    period = (F.lit(1900) + F.col("doc_id") % 100).cast("string")
+    period = F.when(digit == 3, F.concat(F.lit("x"), period)).when(digit == 7, "\\N").otherwise(period)
+    second = F.when(digit == 2, F.concat_ws(" ", "w2", "w1")).when(digit == 8, F.lit("")).otherwise(F.col("w2"))
+    key = F.when(digit == 1, F.concat_ws(" ", period, "w1")).otherwise(F.concat_ws(" ", period, "w1", second))
+    n1, n2 = (F.char_length(w).cast("string") for w in ("w1", "w2"))
+    values = (
+        F.when(digit == 4, n1)
+        .when(digit == 5, F.concat(n1, F.lit(" y"), n2))
+        .when(digit == 6, F.concat(F.lit("\\N "), n2))
+        .when(digit == 9, F.concat_ws(" ", n1, n2, n1))
+        .otherwise(F.concat_ws(" ", n1, n2))
+    )
+    lone = (digit == 0) & (F.col("doc_id") % 20 == 0)
+    return pairs.select(F.when(lone, key).otherwise(F.concat_ws("\t", key, values)).alias("value"))

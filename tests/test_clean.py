@@ -246,3 +246,32 @@ def test_samples(spark):
     assert clean.sample_by_hash(df, ["name"], 1.0).count() == 20000
     assert clean.sample_by_hash(df, ["name"], 0.0).count() == 0
     assert 9500 < clean.sample_rows(df, 0.5, seed=3).count() < 10500
+
+
+def test_facts_and_rejects_out_of_one_scan(spark):
+    """Both tables hold what two scans would give; each line is parsed and judged once."""
+    rows = kept_lines() + list(REJECTED)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(line):
+        seen.add(1)
+        return (line,)
+
+    rdd = spark.sparkContext.parallelize(rows, 5).map(count)
+    lines = clean.parse_ngram_lines(spark.createDataFrame(rdd, "line string"))
+    good, rejects = clean.split_valid_written(lines, "english")
+    assert {r.line: r.reason for r in rejects.collect()} == REJECTED
+    assert sorted(r.line for r in good.collect()) == sorted(kept_lines())
+    assert seen.value == len(rows)
+    plain_good, plain_rejects = clean.split_valid(lines, "english")
+    assert good.schema == plain_good.schema and rejects.dtypes == plain_rejects.dtypes
+    assert sorted(map(tuple, rejects.collect()), key=repr) == sorted(
+        map(tuple, plain_rejects.collect()), key=repr
+    )
+
+
+def test_each_side_reads_its_own_folders(spark, lines):
+    good, rejects = clean.split_valid_written(lines, "english")
+    for df in (good, rejects):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(reason" in plan

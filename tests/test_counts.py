@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from worked_example import EXPECTED
 from pairstats.operators import clean, counts, scoring
 from pairstats.sinks.stage import materialize
+from worked_example import EXPECTED
 
 
 def rows_of(df):
@@ -200,3 +200,49 @@ def test_only_columns_in_use_are_read(spark, tmp_path):
     plan = executed(counts.pair_counts(clean.clean_pairs(facts, "english")))
     assert "ReadSchema: struct<ngram:string,year:int,match_count:bigint>" in plan
     assert "GreaterThan(match_count,0)" in plan
+
+
+def test_levels_copy_no_pair(spark, settings, pairs):
+    """No grouping sets over pairs; periods are summed from totals of words."""
+    pairs = materialize(pairs, "pairs")
+    plan = counts.count_levels(pairs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+    attached = counts.with_all_counts(pairs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in attached
+
+
+def pair_exchanges(df) -> int:
+    """Shuffles of rows that carry the count of a pair."""
+    df.collect()
+    lines = executed(df).split("Initial Plan")[0].split("\n")
+    found = 0
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(period" in line:
+            below = "\n".join(lines[i + 1 : i + 4])
+            found += "c12" in below
+    return found
+
+
+def test_buckets_spare_a_shuffle_of_the_pairs(spark, settings):
+    """Pairs in buckets of (period, w1) join the totals of first words where they lie."""
+    no_broadcast(settings, adaptive__enabled="false")
+    pairs = hot_pairs(spark, 3000)
+    plain, dealt = materialize(pairs, "pairs"), counts.bucketed_pairs(pairs, "w1", 8)
+    assert rows_of(counts.with_left_count(dealt)) == rows_of(counts.with_left_count(plain))
+    assert pair_exchanges(counts.with_left_count(plain)) == 1
+    assert pair_exchanges(counts.with_left_count(dealt)) == 0
+    assert rows_of(counts.with_all_counts(dealt)) == rows_of(counts.with_all_counts(plain))
+    both = pair_exchanges(counts.with_all_counts(plain)), pair_exchanges(counts.with_all_counts(dealt))
+    assert both[1] == both[0] - 1
+    totals = dealt.groupBy("period", "w1").agg(F.sum("c12"))
+    assert "Exchange" not in executed(totals)
+
+
+def test_hot_words_in_buckets_are_sliced(spark, settings, monkeypatch):
+    no_broadcast(settings, adaptive__enabled="false", shuffle__partitions="32")
+    pairs = counts.bucketed_pairs(hot_pairs(spark), "w1", 32)
+    want = rows_of(counts.with_left_count(pairs))
+    monkeypatch.setattr(counts, "HOT_PAIRS", 500)
+    out = counts.with_left_count(pairs)
+    sizes = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < out.count() / 10 and rows_of(out) == want

@@ -1,17 +1,21 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from worked_example import REJECTED, kept_lines
 from pairstats import association_counts
+from pairstats.functions.keys import NULL, field_text, text_field
 from pairstats.operators.clean import clean_pairs
 from pairstats.sinks import stage
 from pairstats.sinks.stage import materialize, read_stage, stage_path, stage_root, write_stage
 from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
 from pairstats.sources import ngrams as sources
-from pairstats.sources.scored import read_scored_text
+from pairstats.sources.scored import read_scored_text, split_scored_lines, split_scored_text
+from worked_example import REJECTED, kept_lines
 
 SCHEMA = "period int, w1 string, w2 string, npmi double, rel_npmi double"
 ROWS = [
@@ -230,17 +234,101 @@ def test_sequence_files_need_no_python_worker(spark, tmp_path):
     assert sorted(r.ngram for r in read.collect()) == ["new york", "x"]
 
 
-def test_only_a_missing_folder_is_an_empty_table(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "a")], "level int, w string")
-    tables = stage.materialize_by(df, "level", [1, 2], "t")
-    assert tables[1].count() == 1 and tables[2].count() == 0
+ODD = [
+    (1990, "c", "d", None, 0.2),
+    (None, "a", "b", 0.5, None),
+    (1990, None, "b", None, None),
+    (1990, "a b", "tab\there", 0.25, 1.0),
+    (1990, "\\N", "\\s\\b", 0.5, 0.5),
+    (1990, "line\nend\r", "back\\slash", -0.5, 0.5),
+    (None, None, None, None, None),
+    (1990, "", "empty", 1.0, 1.0),
+]
 
-    def fail(*_):
-        raise AnalysisException("no rights", errorClass="UNABLE_TO_INFER_SCHEMA", messageParameters={})
 
-    monkeypatch.setattr(type(spark.read), "parquet", fail)
-    with pytest.raises(AnalysisException):
-        stage.materialize_by(df, "level", [1], "t")
+def test_text_keeps_nulls_and_odd_characters(spark, tmp_path):
+    """What is written in a line comes back: no NULL moves a column, no character ends a field."""
+    df = spark.createDataFrame(ODD, SCHEMA)
+    write_pair_text(df, str(tmp_path / "out"), ["npmi", "rel_npmi"])
+    values = {"npmi": "double", "rel_npmi": "double"}
+    assert rows_of(read_scored_text(spark, str(tmp_path / "out"), values)) == rows_of(df)
+    lines = [line for part in part_lines(tmp_path / "out") for line in part]
+    assert "1990 c d\t\\N 0.2" in lines and "\\N a b\t0.5 \\N" in lines
+    words = df.select("period", "w1", "w2", F.concat_ws(" ", "w2", "w1").alias("npmi"))
+    write_pair_text(words, str(tmp_path / "words"), ["npmi"])
+    back = read_scored_text(spark, str(tmp_path / "words"), {"npmi": "string"})
+    assert rows_of(back) == rows_of(words)
+
+
+@given(st.text(alphabet="ab\\Nnstr \t\n\r\x00é", max_size=12))
+@hypothesis_settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_fields_round_trip(spark, word):
+    field = text_field(F.lit(word))
+    there, back = spark.range(1).select(field, field_text(field)).first()
+    assert back == word and there != NULL and not set(there) & set(" \t\n\r")
+
+
+def test_scored_rejects(spark, tmp_path):
+    path = tmp_path / "scored"
+    path.mkdir()
+    good = ["1990 new york\t15 0.5", "\\N new \\N\t\\N \\N", "1990 a\\sb c\t-3 1.0E-5"]
+    bad = {
+        "1990 new york": "few_fields",
+        "1990 new\t1 2": "few_fields",
+        "\t": "few_fields",
+        "1990 new york city\t1 2": "many_fields",
+        "1990 new york\t1 2\t3": "many_fields",
+        "1990 new york\t1 2 3": "many_fields",
+        "199x new york\t1 2": "bad_period",
+        " new york\t1 2": "bad_period",
+        "1990  york\t1 2": "empty_word",
+        "1990 new \t1 2": "empty_word",
+        "1990 new york\t1": "few_values",
+        "1990 new york\t": "few_values",
+        "1990 new york\tx 2": "bad_value",
+        "1990 new york\t1 y": "bad_value",
+        "1990 new york\t 2": "bad_value",
+    }
+    (path / "part-0").write_text("\n".join([*good, "", *bad, ""]))
+    values = {"c12": "bigint", "npmi": "double"}
+    kept, rejects = split_scored_text(spark, str(path), values)
+    assert {r.value: r.reason for r in rejects.collect()} == bad
+    assert rows_of(kept) == sorted(
+        [(1990, "new", "york", 15, 0.5), (None, "new", None, None, None), (1990, "a b", "c", -3, 1e-05)],
+        key=repr,
+    )
+
+
+def test_both_sides_of_a_split_are_written_by_one_read(spark):
+    """Each line passes once, however often the two tables are used."""
+    lines = [f"1990 a w{i}\t{'x' if i % 3 else i}" for i in range(90)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        seen.add(1)
+        return row
+
+    rdd = spark.sparkContext.parallelize([(line,) for line in lines], 4).map(count)
+    kept, rejects = split_scored_lines(spark.createDataFrame(rdd, "value string"))
+    assert (kept.count(), rejects.count(), kept.count()) == (30, 60, 30)
+    assert seen.value == 90
+
+
+def test_split_of_nothing(spark):
+    df = spark.createDataFrame([], "value string, reason string")
+    good, rejects = stage.split_written(df, "reason", "t")
+    assert good.collect() == rejects.collect() == []
+    assert good.columns == ["value"] and rejects.columns == ["value", "reason"]
+
+
+def test_buckets_are_written_and_freed(spark):
+    df = spark.range(1000).select((F.col("id") % 5).alias("a"), F.col("id").alias("b"))
+    table = stage.materialize_buckets(df, ["a"], 4, "t")
+    assert rows_of(table) == rows_of(df)
+    name = stage._bucketed[-1]
+    assert name in [t.name for t in spark.catalog.listTables()]
+    stage.free_tables(spark)
+    assert name not in [t.name for t in spark.catalog.listTables()] and stage._bucketed == []
 
 
 def test_written_tables_can_be_freed(spark, tmp_path):

@@ -6,8 +6,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from worked_example import EXPECTED, REJECTED, kept_lines, rounded
 from pairstats import (
+    RunCounters,
     association_counts,
     association_scores,
     extract_collocations,
@@ -20,6 +20,7 @@ from pairstats.operators.counts import pair_counts, with_all_counts
 from pairstats.sinks.stage import read_stage, write_stage
 from pairstats.sinks.text import write_scored_text
 from pairstats.sources.scored import read_scored_text
+from worked_example import EXPECTED, REJECTED, kept_lines, rounded
 
 
 def rows_of(df):
@@ -144,3 +145,50 @@ def test_command_line(spark, tmp_path):
     assert "idea" not in {r[2] for r in rows_of(read_scored_text(spark, out + "2"))}
     with pytest.raises(SystemExit):
         main(["0.7", "0.3", "latin", str(text), out])
+
+
+def test_counters_of_a_run_equal_the_counted_stages(spark, lines):
+    lines = lines.repartition(6)
+    want = {r.stage: r.n_rows for r in stage_counts(lines, "english", 0.7, 0.3, digits=9).collect()}
+    counters = RunCounters()
+    found = extract_collocations(lines, "english", 0.7, 0.3, counters=counters)
+    assert counters.rows("input", "kept", "pairs", "scored") == {
+        stage: want[stage] for stage in ("input", "kept", "pairs", "scored")
+    }
+    assert counters.rows("scored") == {"scored": want["scored"]}
+    found.collect()
+    assert counters.rows() == {k: v for k, v in want.items() if k != "distinct_scores"}
+    ties = RunCounters()
+    one = extract_collocations(
+        lines, "english", 0.7, 0.3, ties="one_per_score", digits=9, counters=ties
+    )
+    one.collect()
+    assert ties.rows() == want
+
+
+def test_counters_serve_one_run(lines):
+    counters = RunCounters()
+    association_counts(lines, "english", counters=counters)
+    with pytest.raises(ValueError):
+        association_counts(lines, "english", counters=counters)
+
+
+def test_counters_change_no_row(lines):
+    with_counters = extract_collocations(lines, "english", 0.7, 0.3, counters=RunCounters())
+    assert rows_of(with_counters) == rows_of(extract_collocations(lines, "english", 0.7, 0.3))
+
+
+def test_shell_run_with_rejects_and_counters(spark, tmp_path, capsys):
+    source = tmp_path / "in"
+    source.mkdir()
+    bad = [line for line in REJECTED if "\n" not in line]
+    (source / "part-0").write_text("\n".join([*kept_lines(), *bad]) + "\n")
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    arguments = ["0.7", "0.3", "english", str(source), out, "--source", "text"]
+    main([*arguments, "--rejects", rejects, "--counters"])
+    got = {r.line: r.reason for r in spark.read.parquet(rejects).collect()}
+    assert got == {line: REJECTED[line] for line in bad}
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.splitlines() if "\t" in line)
+    kept = [r for r in EXPECTED if r[-1]]
+    assert printed["kept"] == str(len(kept_lines())) and printed["selected"] == str(len(kept))
+    assert read_scored_text(spark, out).count() == len(kept)

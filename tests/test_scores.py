@@ -3,11 +3,14 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.errors import ArithmeticException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from worked_example import EXPECTED, rounded
 from pairstats.operators import scoring, select
 from pairstats.plans.collocations import association_counts, association_scores
+from pairstats.sinks.stage import materialize
+from worked_example import EXPECTED, rounded
 
 
 @pytest.fixture
@@ -160,7 +163,99 @@ def test_top_k_keeps_null_periods_and_scores_at_any_k(spark, settings):
     assert [r[-1] for r in small if r[0] is None and r[3] is None] != []
 
 
-def test_top_k_counts_the_rows_that_meet_in_a_task(spark, monkeypatch):
-    monkeypatch.setattr(select, "MANY_ROWS", 20)
-    best = select.top_k(many(spark), 10)
-    assert "WindowGroupLimit" not in best._jdf.queryExecution().executedPlan().toString()
+def test_top_k_drops_rows_before_they_are_ranked(spark, monkeypatch):
+    """Few rows beyond k reach the sort, whatever the scores: distinct, one score for most, NULL."""
+    monkeypatch.setattr(select, "FEW_ROWS", 1)
+    i = F.col("id")
+    made = spark.range(0, 60_000, 1, 8).select(
+        (i % 2).cast("int").alias("period"),
+        F.md5(i.cast("string")).alias("w1"),
+        F.lit("w").alias("w2"),
+        F.when(i % 7 > 0, F.when(i % 3 > 0, F.lit(0.5)).otherwise((i % 1000) / 1000)).alias("npmi"),
+    )
+    df = materialize(made, "scores")
+    for k in (5, 400, 9000):
+        rows = df.withColumn("_score", F.col("npmi"))
+        kept = select._within_bounds(rows, "period", F.substring("w1", 1, 4), k)
+        sizes = {r.period: r["count"] for r in kept.groupBy("period").count().collect()}
+        assert set(sizes) == {0, 1} and all(k <= n <= k + 500 for n in sizes.values())
+        whole = df.withColumn(
+            "rank",
+            F.row_number().over(
+                Window.partitionBy("period").orderBy(F.desc_nulls_last("npmi"), "w1", "w2")
+            ),
+        ).where(F.col("rank") <= k)
+        assert sorted(map(tuple, select.top_k(df, k).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_a_bound_that_misses_ranks_the_group_whole(spark, monkeypatch):
+    """A sketch may promise too much; the counts show it, and no row is lost."""
+    df = materialize(many(spark), "scores")
+    want = sorted(map(tuple, select.top_k(df, 90).collect()), key=repr)
+    monkeypatch.setattr(select, "FEW_ROWS", 1)
+    monkeypatch.setattr(select, "SLACK", 1e-9)
+    high = F.lit(1e9)
+    monkeypatch.setattr(F, "kll_sketch_get_quantile_double", lambda s, r: F.transform(r, lambda _: high))
+    assert sorted(map(tuple, select.top_k(df, 90).collect()), key=repr) == want
+
+
+def test_top_k_starts_no_job_when_built(spark):
+    """Neither for few rows nor for many; the input is grouped, so that planning it would run a shuffle."""
+    context, group = spark.sparkContext, "top-k-built"
+    context.setJobGroup(group, group)
+    try:
+        grouped = many(spark).groupBy("period", "w1", "w2").agg(F.max("npmi").alias("npmi"))
+        best = [select.top_k(grouped, k) for k in (10, 5000)]
+        assert list(context.statusTracker().getJobIdsForGroup(group)) == []
+        assert all(df.count() for df in best)
+        assert list(context.statusTracker().getJobIdsForGroup(group)) != []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+# --- sums ----------------------------------------------------------------------------------
+
+
+def test_sums_do_not_depend_on_order(spark):
+    """Bit-equal sums and shares under three partitionings; plain sums of these rows differ."""
+    i = F.col("id")
+    rows = spark.range(0, 40_000, 1, 8).select(
+        (i % 3).cast("int").alias("period"),
+        i.cast("string").alias("w1"),
+        F.lit("w").alias("w2"),
+        F.when(i % 11 > 0, F.sin(i * 1.7) / (i % 97 + 1)).alias("npmi"),
+    )
+    orders = [rows.coalesce(1), rows.repartition(7, "w1"), rows.orderBy(F.xxhash64("w1")).repartition(13)]
+    sums, shares, plain = set(), set(), set()
+    for df in orders:
+        df = materialize(df, "scores")
+        sums.add(tuple(sorted(map(tuple, scoring.npmi_totals(df).collect()))))
+        shared = scoring.with_relative_npmi(df).select("w1", "rel_npmi").collect()
+        shares.add(tuple(sorted(map(tuple, shared))))
+        plain.add(tuple(sorted(map(tuple, df.groupBy("period").agg(F.sum("npmi")).collect()))))
+    assert len(sums) == len(shares) == 1 and len(plain) > 1
+    exact = {}
+    for row in rows.collect():
+        if row.npmi is not None:
+            exact.setdefault(row.period, []).append(row.npmi)
+    for period, total in next(iter(sums)):
+        assert total == pytest.approx(math.fsum(exact[period]), rel=1e-11)
+
+
+def test_sums_of_odd_values(spark):
+    def total(*values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return df.agg(scoring.exact_sum(F.col("x"))).first()[0]
+
+    assert total() is None and total(None) is None
+    assert total(0.1, None, 0.2) == pytest.approx(0.3, rel=1e-15)
+    assert total(-1.0, 1.0, 2.0**-52) == 2.0**-52
+    assert math.isnan(total(float("nan"), 1.0)) and total(float("inf"), 1.0) == float("inf")
+    assert total(1e300, 1.0) == 1e300
+
+
+def test_a_sum_that_does_not_fit_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "LOWER", 0)
+    df = spark.range(4096).select(F.lit(1000.0).alias("x"))
+    with pytest.raises(ArithmeticException):
+        df.agg(scoring.exact_sum(F.col("x"))).collect()
