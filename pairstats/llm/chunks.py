@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
 #: Distinct chunks kept in memory by a task; beyond that it starts afresh.
-KEPT = 400_000
+KEPT = 300_000
 
 #: White space other than a single blank between characters that are none.
 _ODD = ["  ", " \n", "\n "] + [
@@ -52,6 +54,18 @@ def piece_chunks(text: str) -> list[str]:
     return ["▁" + p for p in text.split(" ")]
 
 
+@contextlib.contextmanager
+def no_collection() -> Iterator[None]:
+    """Python's search for cycles is off inside: there are none among chunks, but millions of objects."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class Index(dict):
     """The number of each chunk, given at its first occurrence."""
 

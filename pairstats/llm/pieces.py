@@ -6,6 +6,10 @@ next shorter piece is tried; where none fits, the position is marked as failed i
 back and its shorter ones are tried. A sequence of which all adjacent pairs are stable is the one
 that merging yields, so the result is exact, in time linear in practice.
 
+Chunks are cut further wherever two characters stand side by side in no piece, since no merge crosses
+such a place either. What is left is mostly plain words; each distinct one is encoded once, and one run of
+the automaton over many of them joined gives the longest piece at every position.
+
 Chunks with several ``▁`` in a row are merged directly: the pieces of such runs share one score, and
 ties, which merging breaks by position, are no property of a pair.
 """
@@ -14,15 +18,19 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame
 
-from pairstats.llm.chunks import Index, batches_of, piece_chunks
+from pairstats.llm.chunks import KEPT, Index, batches_of, no_collection, piece_chunks
 from pairstats.llm.common import map_texts, texts_of
 
 SPACE = "▁"
 #: Pairs of pieces whose stability a task remembers.
 PAIRS = 300_000
+#: Parts that the automaton runs over at once.
+TOGETHER = 2_000
 #: Up to so many characters, looking at all pairs again is faster than a heap of them.
 SHORT = 24
 
@@ -55,11 +63,17 @@ class Pieces:
                 self.ids[piece] = i
                 self.score[piece] = model.get_score(i)
         self.byte_ids = {b: i for i, b in self.bytes.items()}
-        self.longest = max(map(len, self.ids))
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
-            self.automaton.add_word(piece, piece)
+            if len(piece) > 1:
+                self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
+        # Characters that stand side by side in some piece, as two numbers in one.
+        beside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.beside = np.array(sorted(ord(a) << 21 | ord(b) for a, b in beside), np.int64)
+        used = set("".join(self.ids))
+        # Parts texts that are matched together: a character of no piece.
+        self.apart = next(c for c in map(chr, range(0x10FFFF, 0, -1)) if c not in used)
         self.plain = [piece.replace(SPACE, " ") for piece in self.text]
         self.stable_pairs: dict[tuple[str, str], bool] = {}
 
@@ -115,26 +129,55 @@ class Pieces:
             self.stable_pairs[left, right] = known
         return known
 
-    def longest_at(self, chunk: str, at: int) -> int:
-        """Length of the longest piece that begins at a position; 1 where none does.
+    def reach(self, text: str) -> list[int]:
+        """Length of the longest piece that begins at each position; 1 where none does."""
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        out = np.ones(len(text), np.int64)
+        np.maximum.at(out, found[:, 0] - found[:, 1] + 1, found[:, 1])
+        return out.tolist()
+
+    def reaches(self, parts: list[str]) -> list[list[int]]:
+        """``reach`` of each part, by one run over all of them."""
+        every, at, out = self.reach(self.apart.join(parts)), 0, []
+        for part in parts:
+            out.append(every[at : at + len(part)])
+            at += len(part) + 1
+        return out
 
-        The automaton's trie says how far a piece can reach at most.
-        """
-        size = self.automaton.longest_prefix(chunk[at : at + self.longest])
-        while size > 1 and chunk[at : at + size] not in self.score:
-            size -= 1
-        return max(size, 1)
+    def parts_of(self, chunks: list[str]) -> list[list[str]]:
+        """Each chunk, cut between characters that stand side by side in no piece."""
+        every = self.apart.join(chunks) + self.apart
+        chars = np.frombuffer(every.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        pairs = chars[:-1] << 21 | chars[1:]
+        at = np.minimum(np.searchsorted(self.beside, pairs), len(self.beside) - 1)
+        cuts = np.append(np.flatnonzero(self.beside[at] != pairs) + 1, len(chars))
+        # What parts the chunks is cut off on both sides; a chunk of that very character is one part.
+        ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1) - 1
+        lasts = np.searchsorted(cuts, ends).tolist()
+        cuts, out, k, start = cuts.tolist(), [], 0, 0
+        for last, end in zip(lasts, ends.tolist(), strict=True):
+            if last == k:
+                out.append([every[start:end]])
+            else:
+                places = [start, *cuts[k : last + 1]]
+                out.append([every[a:b] for a, b in zip(places, places[1:])])
+            k, start = last + 2, end + 1
+        return out
+
+    def encode_chunk(self, chunk: str, reach: list[int] | None = None) -> list[str]:
+        """The pieces of a chunk; a character without a piece stands for itself.
 
-    def encode_chunk(self, chunk: str) -> list[str]:
-        """The pieces of a chunk; a character without a piece stands for itself."""
+        ``reach`` gives the longest piece at each position.
+        """
         if chunk in self.score and self.stable("", chunk):
             return [chunk]
         if chunk.startswith(SPACE * 2):
             return self.merged(chunk)
         n = len(chunk)
+        reach = self.reach(chunk) if reach is None else reach
         failed = bytearray(n + 1)
         out: list[str] = []
-        at, size = 0, self.longest_at(chunk, 0) if n else 0
+        at, size = 0, reach[0] if n else 0
         while at < n:
             last = out[-1] if out else ""
             while size:
@@ -149,7 +192,7 @@ class Pieces:
             if size:
                 out.append(piece)
                 at += size
-                size = self.longest_at(chunk, at) if at < n else 0
+                size = reach[at] if at < n else 0
             else:
                 failed[at] = 1
                 if not out:  # cannot happen with a consistent model
@@ -185,13 +228,14 @@ class Pieces:
         return [i for c in piece_chunks(text) for i in self.ids_of(self.encode_chunk(c))]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids; the blank that encoding puts in front is taken away again.
+        """The text of ids; the blank that encoding puts in front is taken away again."""
+        text = self.decoded(ids)
+        return text[1:] if text[:1] == " " else text
 
-        Control ids, which encoding never makes, stand for nothing.
-        """
+    def decoded(self, ids: list[int]) -> str:
+        """The text of ids as they stand; control ids, which encoding never makes, are nothing."""
         if self.bytes.keys().isdisjoint(ids) and self.control.isdisjoint(ids):
-            text = "".join(map(self.plain.__getitem__, ids))
-            return text[1:] if text[:1] == " " else text
+            return "".join(map(self.plain.__getitem__, ids))
         out, held = [], bytearray()
         for i in ids:
             if i in self.bytes:
@@ -202,8 +246,7 @@ class Pieces:
                 held.clear()
             out.append("" if i in self.control else self.plain[i])
         out.append(held.decode("utf-8", "replace"))
-        text = "".join(out)
-        return text[1:] if text[:1] == " " else text
+        return "".join(out)
 
 
 def encoded_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -218,18 +261,29 @@ def encoded_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def task():
         model, index = Pieces(path), Index()
-        space = model.ids[SPACE]
         counts: list[int] = []
         lines: list[str] = []
         plain: list[str] = []
+        # Number of ids, the ids as text and the decoded text of each part met.
+        known: dict[str, tuple[int, str, str]] = {}
+
+        def encode(parts: list[str]) -> None:
+            for at in range(0, len(parts), TOGETHER):
+                some = parts[at : at + TOGETHER]
+                for part, reach in zip(some, model.reaches(some), strict=True):
+                    ids = model.ids_of(model.encode_chunk(part, reach))
+                    known[part] = len(ids), ",".join(map(str, ids)), model.decoded(ids)
 
         def learn(chunks: list[str]) -> None:
-            for chunk in chunks:
-                ids = model.ids_of(model.encode_chunk(chunk))
-                counts.append(len(ids))
-                lines.append(",".join(map(str, ids)))
-                # A blank in front, so that taking one away leaves the chunk's own.
-                plain.append(model.decode([space, *ids]))
+            cut = model.parts_of(chunks)
+            if len(known) > KEPT:
+                known.clear()
+            encode(list(dict.fromkeys(p for parts in cut for p in parts if p not in known)))
+            for parts in cut:
+                found = [known[p] for p in parts]
+                counts.append(sum(n for n, _, _ in found))
+                lines.append(",".join([line for _, line, _ in found]))
+                plain.append("".join([text for _, _, text in found]))
 
         def forget() -> None:
             for kept in (counts, lines, plain):
@@ -237,13 +291,14 @@ def encoded_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
         def run(texts: list[str]) -> list[list]:
             totals, ids_digests, text_digests = [], [], []
-            for _, rows in batches_of(texts, piece_chunks, learn, forget, index):
-                for numbers in rows:
-                    numbers = numbers.tolist()
-                    totals.append(sum(map(counts.__getitem__, numbers)))
-                    ids_digests.append(sha(",".join(map(lines.__getitem__, numbers))))
-                    text = "".join(map(plain.__getitem__, numbers))
-                    text_digests.append(sha(text[1:] if text[:1] == " " else text))
+            with no_collection():
+                for _, rows in batches_of(texts, piece_chunks, learn, forget, index):
+                    for numbers in rows:
+                        numbers = numbers.tolist()
+                        totals.append(sum(map(counts.__getitem__, numbers)))
+                        ids_digests.append(sha(",".join(map(lines.__getitem__, numbers))))
+                        text = "".join(map(plain.__getitem__, numbers))
+                        text_digests.append(sha(text[1:] if text[:1] == " " else text))
             return [totals, ids_digests, text_digests]
 
         return run
