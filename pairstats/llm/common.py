@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +66,17 @@ def wrapped(docs: DataFrame) -> DataFrame:
     )
 
 
+def give_back() -> None:
+    """Return free memory to the system; the end of a task calls it, as workers wait beside others."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_texts(
     df: DataFrame, added: str, function: Callable, drop: str = "text", per_task: bool = False
 ) -> DataFrame:
@@ -89,5 +101,7 @@ def map_texts(
             columns = [batch.column(f.name) for f in kept]
             columns += [pa.array(x, type=t.type) for x, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        batch = made = columns = over = None
+        give_back()
 
     return df.mapInArrow(run, schema)
