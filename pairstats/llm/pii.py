@@ -26,6 +26,8 @@ from pairstats.llm.common import map_texts, texts_of
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose windows the field is trained on, at most, and windows taken from them.
 SAMPLE, WINDOWS, EPOCHS = 4000, 1500, 5
+#: Times SAMPLE that thinning leaves, of which a quarter or more should hold digits or signs.
+THINNED = 4
 #: Tokens in a segment, and characters beside a sign that a window takes in.
 LONGEST, BESIDE = 28, 48
 #: A segment is added where it beats plain text by so much.
@@ -64,6 +66,12 @@ def _digits(s: str) -> str:
     return "".join(_DIGIT.findall(s))
 
 
+def _at_most_255(digits: str) -> bool:
+    """Of any number of digits: a long run of them is never made a number."""
+    digits = digits.lstrip("0")
+    return len(digits) < 3 or (len(digits) == 3 and digits <= "255")
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the fixed patterns, by kind and start; linear in the text."""
     found = []
@@ -79,7 +87,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         at = text.find("@", max(at + 1, end))
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            if all(_at_most_255(p) for p in m.group().split(".")):
                 found.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() < 16:
@@ -345,9 +353,15 @@ def find_spans(text: str, weights: dict) -> tuple[list, list]:
 
 
 def fit_field(docs: DataFrame) -> dict:
-    """Weights from at most SAMPLE documents that hold digits or signs; {} if none has a span."""
+    """Weights from at most SAMPLE documents that hold digits or signs; {} if none has a span.
+
+    Documents are thinned by a hash to a few times SAMPLE over the whole table, however many tasks read
+    it, before the first SAMPLE by another hash are taken.
+    """
     texts = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9][ .()-]?[0-9]{2}|@"))
-    # A top-k by hash: no task sees more than SAMPLE rows of each other task.
+    share = min(1.0, THINNED * SAMPLE / max(1, docs.count()))
+    slot = F.pmod(F.xxhash64("text", "doc_id"), F.lit(2**30))
+    texts = texts.where(slot < F.lit(int(share * 2**30)))
     held = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     made = map_texts(
         held.select("doc_id", "text"),
