@@ -4,8 +4,10 @@ A filter is a direction; a vector passes where its inner product with it exceeds
 directions are a random product code: the rotated space is cut into blocks with a few random
 code words each, and every combination of code words is a direction. The inner product is a sum over
 blocks, so all exceeding directions of a vector are found by merging sorted block sums instead of trying
-each (list decoding). Vectors that share a filter are compared, block against block, and verified
-in double precision. The number of directions grows with the number of vectors, so that a filter holds
+each (list decoding). Vectors that share a filter are compared, block against block, by bytes, and verified
+in double precision. Each carries the angle that its rounding to bytes turned it by, and two are
+verified if the angle of their bytes is within the threshold's and both of these: so, whatever the length and
+the components, rounding loses no pair. The number of directions grows with the number of vectors, so that a filter holds
 about ``SHARED`` unrelated ones at any size, and so does the number of independent codes, so that a pair at
 exactly ``COSINE`` is missed with probability ``MISS`` at most at any size.
 """
@@ -29,8 +31,8 @@ SHARED = 64
 MISS, TRIALS = 0.001, 1000
 #: Members of a filter that one task compares with as many others.
 BLOCK = 1024
-#: Vectors are compared by their bytes first; rounding moves a cosine by less than that.
-ROUNDING = 0.02
+#: An angle above what single precision adds to that of two rounded vectors, at any length.
+SLACK = 0.002
 
 
 def _cap_shares(dimensions: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +147,34 @@ def _units(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def rounded(unit: np.ndarray) -> list[bytes]:
+    """Each unit vector in bytes, the largest component as 127; before them the angle to it, in four bytes."""
+    low = np.round(unit * (127 / np.abs(unit).max(1, keepdims=True)))
+    length = np.linalg.norm(low, axis=1, keepdims=True)
+    # Of the distance, as an arc cosine is not exact near 1.
+    angle = 2 * np.arcsin(np.minimum(np.linalg.norm(unit - low / length, axis=1) / 2, 1))
+    angle = (angle + 1e-6).astype(np.float32)
+    return [a.tobytes() + b.tobytes() for a, b in zip(angle, low.astype(np.int8), strict=True)]
+
+
+def close(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (of left, of right) of pairs that may reach COSINE; rows are what ``rounded`` gives, as bytes."""
+    (turn, x), (other, y) = _opened(left), _opened(right)
+    most = np.arccos(COSINE) + turn[:, None] + other.max(initial=0) + SLACK
+    # One bound for a row of the left; then the pair's own, for the few that pass.
+    cosine = x @ y.T
+    i, j = np.nonzero(cosine >= np.cos(np.minimum(most, np.pi)))
+    angle = np.arccos(np.clip(cosine[i, j], -1, 1))
+    fits = angle <= np.arccos(COSINE) + turn[i] + other[j] + SLACK
+    return i[fits], j[fits]
+
+
+def _opened(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    turn = np.ascontiguousarray(rows[:, :4]).view(np.float32).ravel()
+    x = rows[:, 4:].astype(np.float32)
+    return turn, x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _filtered(nodes: DataFrame, plan: dict[int, tuple[int, int]]) -> DataFrame:
     """(filter, node, bytes): each vector under every filter it passes, as rounded bytes.
 
@@ -169,18 +199,18 @@ def _filtered(nodes: DataFrame, plan: dict[int, tuple[int, int]]) -> DataFrame:
                 for at in range(0, len(rows), step):
                     part = rows[at : at + step]
                     unit = _units(np.array([vectors[k] for k in part], float))
-                    low = np.round(unit * 127).astype(np.int8)
+                    low = rounded(unit)
                     keys, nodes_, bytes_ = [], [], []
                     if not number:  # one filter for all
                         keys.append(np.full(len(part), dimensions % 4096))
                         nodes_.append(np.array([ids[k] for k in part]))
-                        bytes_ = [b.tobytes() for b in low]
+                        bytes_ = low
                     for s, code in enumerate(codes[dimensions]):
                         for k, found, b in zip(part, code.passed(unit), low, strict=True):
                             # Vectors of other lengths have filters of their own.
                             keys.append((found * number + s) * 4096 + dimensions % 4096)
                             nodes_.append(np.full(len(found), ids[k]))
-                            bytes_.extend([b.tobytes()] * len(found))
+                            bytes_.extend([b] * len(found))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(keys), pa.int64()),
                          pa.array(np.concatenate(nodes_), pa.int64()),
@@ -197,18 +227,17 @@ def _compared(rows: DataFrame) -> DataFrame:
 
     def compare(key, table):
         node, own = (table.column(c).to_numpy() for c in ("node", "own"))
-        bits = table.column("bytes").to_pylist()
+        bits = table.column("bytes").to_numpy().tolist()
         found = [np.empty((0, 2), np.int64)]
         for length in {len(b) for b in bits}:
             same = np.array([len(b) == length for b in bits])
             x = np.frombuffer(b"".join(b for b in bits if len(b) == length), np.int8)
-            x = x.reshape(-1, length).astype(np.float32)
-            x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
+            x = x.reshape(-1, length)
             ids, of = node[same], own[same]
             one, two = np.flatnonzero(of == key[1].as_py()), np.flatnonzero(of == key[2].as_py())
             for at in range(0, len(one), 256):
                 part = one[at : at + 256]
-                i, j = np.nonzero(x[part] @ x[two].T >= COSINE - ROUNDING)
+                i, j = close(x[part], x[two])
                 pairs = np.stack([ids[part][i], ids[two][j]], 1)
                 found.append(pairs[pairs[:, 0] != pairs[:, 1]])
         pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
@@ -218,6 +247,19 @@ def _compared(rows: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
+def _flat(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All components of a column of vectors, where each vector starts, and its length."""
+    ends = vectors.offsets.to_numpy()
+    return vectors.values.to_numpy(), ends[:-1].astype(np.int64), np.diff(ends)
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the cosine of each row of ``x`` with that of ``y`` reaches COSINE."""
+    x, y = (v / np.abs(v).max(1, keepdims=True) for v in (x, y))
+    dot = lambda a, b: np.einsum("nd,nd->n", a, b)
+    return dot(x, y) / np.sqrt(dot(x, x) * dot(y, y)) >= COSINE
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose cosine reaches the threshold in double precision."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("embedding").alias(f"v_{x}"))
@@ -225,15 +267,13 @@ def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            left, right = (batch.column(c).to_pylist() for c in ("v_a", "v_b"))
-            keep = []
-            for x, y in zip(left, right, strict=True):
-                if len(x) != len(y):
-                    keep.append(False)
-                    continue
-                x, y = np.array(x, float), np.array(y, float)
-                x, y = x / np.abs(x).max(), y / np.abs(y).max()
-                keep.append(bool(x @ y / np.sqrt((x @ x) * (y @ y)) >= COSINE))
+            (x, starts, lengths), (y, others, sizes) = (_flat(batch.column(c)) for c in ("v_a", "v_b"))
+            keep = np.zeros(batch.num_rows, bool)
+            for length in np.unique(lengths[lengths == sizes]):
+                same = np.flatnonzero((lengths == length) & (sizes == length))
+                for at in range(0, len(same), step := max(1, 1_000_000 // int(length))):
+                    part, place = same[at : at + step], np.arange(length)
+                    keep[part] = _linked(x[starts[part, None] + place], y[others[part, None] + place])
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return rows.mapInArrow(run, "a bigint, b bigint")

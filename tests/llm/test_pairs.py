@@ -201,3 +201,37 @@ def test_all_texts_and_vectors_of_one_id_are_linked(spark):
     df = spark.createDataFrame([(5, x), (5, y), (5, z), (1, x), (3, y), (7, y)],
                                "vec_id bigint, embedding array<double>")
     assert {r.component_id for r in caps.near_vectors(df).collect()} == {1}
+
+
+@pytest.mark.parametrize("dimensions", [1, 2, 64, 768, 4096])
+def test_rounding_to_bytes_loses_no_pair(dimensions):
+    """Pairs at exactly the threshold, also with a few components far above all others."""
+    for heavy in (0, 3):
+        left, right = caps.random_pairs(dimensions, 200, caps.COSINE, 7)
+        if heavy and dimensions > 8:
+            rng = np.random.default_rng(3)
+            left, right = left.copy(), right.copy()
+            left[:, :heavy] = right[:, :heavy] = rng.standard_normal((200, heavy)) * 20
+            left, right = caps._units(left), caps._units(right)
+        rows = lambda x: np.frombuffer(b"".join(caps.rounded(x)), np.int8).reshape(len(x), -1)
+        found = set(zip(*(k.tolist() for k in caps.close(rows(left), rows(right)))))
+        want = np.argwhere(left @ right.T >= caps.COSINE - 1e-9)
+        assert {tuple(k) for k in want.tolist()} <= found and len(want)
+        # Rounding adds few pairs: none of two unrelated vectors.
+        if dimensions >= 64 and not heavy:
+            assert len(found) == 200
+
+
+@pytest.mark.parametrize("dimensions", [300, 2000])
+def test_long_vectors_equal_brute_force(spark, dimensions):
+    """Links on both sides of the threshold, copies scaled by any factor, more than one batch's lengths."""
+    left, right = caps.random_pairs(dimensions, 40, caps.COSINE + 1e-6, 11)
+    _, under = caps.random_pairs(dimensions, 40, caps.COSINE - 1e-6, 11)
+    vectors = np.concatenate([left, right * 1e-9, under * 1e9])
+    df = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>"
+    )
+    units = caps._units(vectors)
+    linked = units @ units.T >= caps.COSINE
+    got = {r.vec_id: r.n_links for r in caps.near_vectors(df).collect()}
+    assert got == {i: int(linked[i].sum()) - 1 for i in range(len(vectors))}
