@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -39,15 +40,12 @@ VALUES = 10
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SHOUT = re.compile(r"[A-ZÀ-Þ]{3,}")
-#: A term counts where it follows one of these.
-_BEFORE = " \"'(*_-[<>|.,;:!?/#"
-
 
 def terms_of(text: str) -> set[str]:
     """Words and the stems that begin them; a word ends with ``$``."""
     found = set()
     for word in set(_LETTERS.findall(text.lower())):
-        found.add(word[:24] + "$")
+        found.add(word + "$")
         found.update(word[:n] for n in STEMS if n < len(word))
     return found
 
@@ -112,35 +110,51 @@ def mine_terms(sample: DataFrame) -> list[tuple[str, float]]:
     return [(term, share) for _, term, share in found[:TERMS]]
 
 
-def look(texts: list[str], terms: list[tuple[str, float]]) -> list[list]:
-    """For each text the terms it holds and how often, its voters' votes, and pattern values."""
+def is_letter(sign: str) -> bool:
+    """Whether a sign belongs to a word, as in ``_LETTERS``."""
+    return sign.isalnum() and not sign.isdecimal()
+
+
+def finder(terms: list[tuple[str, float]]):
+    """(automaton over the terms' spellings, terms): made once for each task."""
     import ahocorasick
 
     # A word and a stem may be spelled alike: the spelling leads to both.
     alike: dict[str, list[int]] = {}
     for k, (term, _) in enumerate(terms):
-        alike.setdefault(term.rstrip("$"), []).append(k)
+        alike.setdefault(term.removesuffix("$"), []).append(k)
     automaton = ahocorasick.Automaton()
     for spelling, numbers in alike.items():
-        for before in _BEFORE:
-            automaton.add_word(before + spelling, (len(spelling), numbers))
+        automaton.add_word(spelling, (len(spelling), numbers))
     automaton.make_automaton()
+    return automaton if alike else None, terms
+
+
+def look(texts: list[str], found_by) -> list[list]:
+    """For each text the terms it holds and how often, its voters' votes, and pattern values.
+
+    A term counts wherever a word begins with it, or is it, just where ``terms_of`` takes terms from.
+    """
+    automaton, terms = found_by
     hits, times, votes, values = [], [], [], []
     for text in texts:
         found: dict[int, int] = {}
         places: set[int] = set()
         whole: set[int] = set()
-        if alike and text:
-            lower = " " + text.lower().replace("\n", " ").replace("\t", " ")
+        if automaton is not None and text:
+            lower = text.lower()
             last = len(lower) - 1
             for end, (length, numbers) in automaton.iter(lower):
-                ends = end == last or not lower[end + 1].isalpha()
+                start = end - length + 1
+                if start and is_letter(lower[start - 1]):
+                    continue
+                ends = end == last or not is_letter(lower[end + 1])
                 for j in numbers:
                     if ends == terms[j][0].endswith("$"):
                         found[j] = found.get(j, 0) + 1
-                        places.add(end - length)
+                        places.add(start)
                         if ends and terms[j][1] >= STRONG:
-                            whole.add(end - length)
+                            whole.add(start)
         n_words = text.count(" ") + 1
         shout = len(_SHOUT.findall(text)) / n_words
         bang = text.count("!") / n_words
@@ -264,7 +278,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFra
     seen = map_texts(
         plain,
         "hits array<int>, times array<int>, votes string, values array<double>",
-        lambda texts: look(texts, terms),
+        lambda: partial(look, found_by=finder(terms)),
+        per_task=True,
     )
     seen = materialize(seen, "toxicity_votes")
     # At most 3 to the number of voters, times 3, combinations over all documents.

@@ -393,3 +393,17 @@ def test_repeats_foretell():
     assert hit1[5] and state2[6] == 1 and state2[9] > state2[6] and state2[10] > 0
     weight, own = mixing.own_shares(ids, text)
     assert weight[0] == 0 and (own[:4] == 0).all() and own[5] > 0 and (own <= weight).all()
+
+
+def test_terms_are_found_wherever_they_are_mined():
+    """After any sign that is no letter, in words of any length, and nowhere else."""
+    long = "x" * 30
+    words = ["grob", long, "überall", "grober", "gr", "1grob"]
+    around = ["{}", "\u201c{}\u201d", "a\u2014{}\u2014b", "b\u00a0{}\u00a0c", "7{}", "\n{}\t", "²{}", "a{}", "_{}_"]
+    texts = [a.format(w) for a in around for w in words] + ["", "grob grob"]
+    terms = [(t, 0.99) for t in ("grob$", "grob", long + "$", "übe", "überall$", "gro")]
+    hits = toxicity.look(texts, toxicity.finder(terms))[0]
+    for text, found in zip(texts, hits, strict=True):
+        assert {terms[k][0] for k in found} == toxicity.terms_of(text) & {t for t, _ in terms}, text
+    assert toxicity.look(["grob grob"], toxicity.finder(terms))[1] == [[2, 2]]
+    assert toxicity.look(["any"], toxicity.finder([]))[0] == [[]]
