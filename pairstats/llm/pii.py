@@ -8,8 +8,10 @@ separators, ends, words before) score it under each kind, and dynamic programmin
 boundaries picks the best set of segments and kinds together. A candidate holds a digit or sign, so outside
 the windows none exists and the best labelling there is plain text.
 
-The field is trained on windows of the corpus itself: spans of the fixed patterns and rewritten
-forms of them are its positive segments; spans that fail a check and all other numbers are not.
+The field is trained on the distinct windows of the whole corpus: spans of the fixed patterns and rewritten
+forms of them are its positive segments; spans that fail a check and all other numbers are not. Windows are
+dealt by hash to shards of bounded size, a task trains a field on each, and a weight of the whole is the mean
+over the shards that met its feature. Features are hashed to ``SLOTS`` numbers, which bounds the weights.
 """
 
 from __future__ import annotations
@@ -17,17 +19,22 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairstats.llm.common import map_texts, texts_of
+from pairstats.sinks.stage import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose windows the field is trained on, at most, and windows taken from them.
-SAMPLE, WINDOWS, EPOCHS = 4000, 1500, 5
-#: Times SAMPLE that thinning leaves, of which a quarter or more should hold digits or signs.
-THINNED = 4
+#: Windows of a shard, by expectation, and passes over them.
+SHARD, EPOCHS = 4000, 3
+#: Numbers that features are hashed to.
+SLOTS = 2**16
+#: Slots of the constant feature and of none.
+_CONSTANT, _NONE = SLOTS, SLOTS + 1
 #: Tokens in a segment, and characters beside a sign that a window takes in.
 LONGEST, BESIDE = 28, 48
 #: A segment is added where it beats plain text by so much.
@@ -45,6 +52,14 @@ _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|[^\sA-Za-z0-9]")
 _REWRITTEN = r"[\[({]\s?at\s?[\])}]|[\[({]\.[\])}]|(?<=\s)at(?=\s[A-Za-z0-9-]{1,63}\.[A-Za-z0-9])"
 _SIGN = re.compile(rf"[0-9]+|@|\bdot\b|{_REWRITTEN}", re.I | re.A)
 _ELSE = re.compile(_REWRITTEN, re.I | re.A)
+_LETTERS, _DIGITS, _PLAIN = re.compile(r"[a-z]+"), re.compile(r"[0-9]+"), re.compile(r"[a-z0-9]")
+_SIGNS = re.compile(r"[\[({ ]+(?:at|dot)[\])} ]+|[\[({]\.[\])}]")
+_AT = re.compile(r"@|[\[({]\s?at\s?[\])}]| at ")
+_DOT = re.compile(r"[\[({]\s?dot\s?[\])}]| dot |[\[({]\.[\])}]")
+_ONE_LOCAL = re.compile(r"[a-z0-9._%+-]+")
+_ONE_DOMAIN = re.compile(
+    r"[a-z0-9-]+(?:(?:\.| dot |\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?)[a-z0-9-]+)+"
+)
 _TOP = frozenset(("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu"))
 _CUES = {
     "email": frozenset(("mail", "email", "contact", "write", "e")),
@@ -124,9 +139,8 @@ def _tokens(part: str) -> list[tuple[int, int]]:
     return [m.span() for m in _TOKEN.finditer(part)]
 
 
-def candidates(part: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, list[str]]]:
-    """(first token, token after the last, features) of the segments that may be personal data."""
-    out = []
+def candidates(part: str, tokens: list[tuple[int, int]]):
+    """(first token, token after the last, slots of features) of the segments that may be personal data, by first token."""
     n = len(tokens)
     for i in range(n):
         a = tokens[i][0]
@@ -135,6 +149,7 @@ def candidates(part: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int,
             continue
         if a and (part[a - 1].isalnum() or part[a - 1] in "@+._%-"):
             continue
+        cues = None
         for j in range(i + 1, min(n, i + LONGEST) + 1):
             b = tokens[j - 1][1]
             if part[b - 1] == "\n":
@@ -144,80 +159,78 @@ def candidates(part: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int,
             s = part[a:b]
             if not (_DIGIT.search(s) or "@" in s or "dot" in s.lower() or _ELSE.search(s)):
                 continue
-            out.append((i, j, features(part, a, b)))
-    return out
+            cues = _cues(part, a) if cues is None else cues
+            yield i, j, features(s) + cues
+
+
+def _slots(names: list[str]) -> tuple[int, ...]:
+    return tuple([zlib.crc32(x.encode("utf-8", "surrogatepass")) % SLOTS for x in names])
+
 
+def _cues(part: str, a: int) -> tuple[int, ...]:
+    """Slots of the words before a segment."""
+    before = set(_LETTERS.findall(part[max(0, a - 24) : a].lower())[-2:])
+    return _slots(["cue " + kind for kind, words in _CUES.items() if words & before])
 
-def features(part: str, a: int, b: int) -> list[str]:
-    """Of the whole segment and the words before it."""
-    s = part[a:b]
+
+def features(s: str) -> tuple[int, ...]:
+    """Slots of the whole segment's features."""
     low = s.lower()
-    groups = re.findall(r"[0-9]+", s)
+    groups = _DIGITS.findall(s)
     lengths = [len(g) for g in groups]
     total = sum(lengths)
-    plain = re.sub(r"[\[({ ]+(?:at|dot)[\])} ]+|[\[({]\.[\])}]", "", low)
+    signs = "at" in low or "dot" in low or any(x in low for x in (".]", ".)", ".}"))
+    plain = _SIGNS.sub("", low) if signs else low
     out = [
         "groups=" + ",".join(map(str, lengths)) if len(groups) <= 5 else "groups=many",
         "digits=" + ("0" if not total else "1-6" if total < 7 else "7-15" if total < 16 else "16-19"
                      if total < 20 else "more"),
-        "gap=" + "".join(sorted(set(re.sub(r"[a-z0-9]", "", plain)))),
-        "letters" if re.search(r"[a-z]", plain) else "no letters",
+        "gap=" + "".join(sorted(set(_PLAIN.sub("", plain)))),
+        "letters" if _LETTERS.search(plain) else "no letters",
         "begins " + ("+" if s[0] == "+" else "(" if s[0] == "(" else "0" if s[0].isdigit() else "a"),
     ]
     if len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups):
         out.append("octets")
     if 16 <= total <= 19:
         out.append("checksum" if luhn("".join(groups)) else "no checksum")
-    at = re.search(r"@|[\[({]\s?at\s?[\])}]| at ", low)
-    dot = re.search(r"[\[({]\s?dot\s?[\])}]| dot |[\[({]\.[\])}]", low)
+    at = _AT.search(low) if signs or "@" in low else None
     if at:
         out.append("at " + at.group().strip(" ()[]{}"))
         local, domain = low[: at.start()].strip(), low[at.end() :].strip()
-        out.append("one local" if re.fullmatch(r"[a-z0-9._%+-]+", local) else "bad local")
-        out.append("one domain" if re.fullmatch(
-            r"[a-z0-9-]+(?:(?:\.| dot |\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?)[a-z0-9-]+)+", domain
-        ) else "bad domain")
+        out.append("one local" if _ONE_LOCAL.fullmatch(local) else "bad local")
+        out.append("one domain" if _ONE_DOMAIN.fullmatch(domain) else "bad domain")
         out.append("top" if re.split(r"[^a-z]", low)[-1] in _TOP else "no top")
-    if dot:
+    if signs and _DOT.search(low):
         out.append("dot")
-    before = re.findall(r"[a-z]+", part[max(0, a - 24) : a].lower())[-2:]
-    for kind, words in _CUES.items():
-        if words & set(before):
-            out.append("cue " + kind)
-    out.append("long" if b - a > 45 else "short")
-    return out
-
-
-def _score(weights: dict, kind: str, names: list[str]) -> float:
-    return sum(weights.get((kind, x), 0.0) for x in names) + weights.get((kind, ""), 0.0)
-
-
-def _log_sum(values: list[float]) -> float:
-    top = max(values)
-    return top + math.log(sum(math.exp(v - top) for v in values))
-
-
-def _ending(found: list) -> dict[int, list]:
-    by: dict[int, list] = {}
-    for c in found:
-        by.setdefault(c[1], []).append(c)
-    return by
+    out.append("long" if len(s) > 45 else "short")
+    return _slots(out)
 
 
 def decode(part: str, weights: dict) -> list[tuple[str, int, int, float]]:
-    """The best segmentation of a window: (kind, start, end, lead over plain text)."""
+    """The best segmentation of a window: (kind, start, end, lead over plain text).
+
+    Of equal ones plain text comes first, then the earlier start, then the kind as listed. Segments are scored
+    as they come, so that a long window holds none of them.
+    """
     tokens = _tokens(part)
-    by = _ending(candidates(part, tokens))
-    best, back = [0.0], [None]
-    for j in range(1, len(tokens) + 1):
-        value, came = best[j - 1], None
-        for i, _, names in by.get(j, ()):
-            for kind in KINDS:
-                s = _score(weights, kind, names)
-                if best[i] + s > value:
-                    value, came = best[i] + s, (i, kind, s)
-        best.append(value)
-        back.append(came)
+    none = (0.0,) * len(KINDS)
+    constant = weights.get(_CONSTANT, none)
+    best: list[float] = [0.0] + [-math.inf] * len(tokens)
+    back: list = [None] * (len(tokens) + 1)
+    settled = 0
+    for i, j, slots in candidates(part, tokens):
+        while settled < i:
+            settled += 1
+            if best[settled - 1] >= best[settled]:
+                best[settled], back[settled] = best[settled - 1], None
+        rows = [weights.get(x, none) for x in slots]
+        for k, kind in enumerate(KINDS):
+            s = constant[k] + sum(row[k] for row in rows)
+            if best[i] + s > best[j]:
+                best[j], back[j] = best[i] + s, (i, kind, s)
+    for j in range(settled + 1, len(tokens) + 1):
+        if best[j - 1] >= best[j]:
+            best[j], back[j] = best[j - 1], None
     out, j = [], len(tokens)
     while j:
         if back[j] is None:
@@ -229,38 +242,67 @@ def decode(part: str, weights: dict) -> list[tuple[str, int, int, float]]:
     return out[::-1]
 
 
-def _step(part: str, gold: set[tuple[str, int, int]], weights: dict, sums: dict, rate: float) -> None:
-    """One step along the gradient of the log-likelihood, by forward and backward sums."""
-    tokens = _tokens(part)
-    found = candidates(part, tokens)
-    n = len(tokens)
-    by = _ending(found)
-    scored = {c[:2]: {k: _score(weights, k, c[2]) for k in KINDS} for c in found}
-    ahead = [0.0] * (n + 1)
+class _Window:
+    """A window made ready for training: its segments, their slots and which of them are true."""
+
+    def __init__(self, part: str, gold: set[tuple[str, int, int]]):
+        tokens = _tokens(part)
+        found = list(candidates(part, tokens))
+        self.tokens = len(tokens)
+        self.first = np.array([c[0] for c in found], dtype=np.int32)
+        self.last = np.array([c[1] for c in found], dtype=np.int32)
+        widest = max((len(c[2]) for c in found), default=0) + 1
+        slots = np.full((len(found), widest), _NONE, dtype=np.int32)
+        for row, c in zip(slots, found, strict=True):
+            row[: len(c[2]) + 1] = [_CONSTANT, *c[2]]
+        self.slots, place = np.unique(slots, return_inverse=True)
+        self.place = place.reshape(slots.shape).astype(np.int32)
+        self.gold = np.array(
+            [[(k, tokens[i][0], tokens[j - 1][1]) in gold for k in KINDS] for i, j, _ in found], dtype=float
+        ).reshape(len(found), len(KINDS))
+
+
+def _shares(window: _Window, scores: np.ndarray) -> tuple[np.ndarray, float]:
+    """Probability of each segment under each kind, by forward and backward sums, and the log of all sums."""
+    n = window.tokens
+    whole = np.logaddexp.reduce(scores, axis=1).tolist()
+    ends: list[list] = [[] for _ in range(n + 1)]
+    starts: list[list] = [[] for _ in range(n + 1)]
+    for i, j, s in zip(window.first.tolist(), window.last.tolist(), whole, strict=True):
+        ends[j].append((i, s))
+        starts[i].append((j, s))
+    ahead, behind = [0.0] * (n + 1), [0.0] * (n + 1)
     for j in range(1, n + 1):
-        ahead[j] = _log_sum(
-            [ahead[j - 1]]
-            + [ahead[i] + s for i, _, _ in by.get(j, ()) for s in scored[i, j].values()]
-        )
-    starts: dict[int, list] = {}
-    for c in found:
-        starts.setdefault(c[0], []).append(c)
-    behind = [0.0] * (n + 1)
+        ahead[j] = _log_sum([ahead[j - 1], *(ahead[i] + s for i, s in ends[j])]) if ends[j] else ahead[j - 1]
     for i in range(n - 1, -1, -1):
-        behind[i] = _log_sum(
-            [behind[i + 1]]
-            + [behind[j] + s for _, j, _ in starts.get(i, ()) for s in scored[i, j].values()]
-        )
-    for i, j, names in found:
-        for kind in KINDS:
-            p = math.exp(min(0.0, ahead[i] + scored[i, j][kind] + behind[j] - ahead[n]))
-            gap = float((kind, tokens[i][0], tokens[j - 1][1]) in gold) - p
-            if abs(gap) < 1e-4:
-                continue
-            for x in ("", *names):
-                key = (kind, x)
-                sums[key] = sums.get(key, 1e-3) + gap * gap
-                weights[key] = weights.get(key, 0.0) * (1 - 1e-4) + rate * gap / math.sqrt(sums[key])
+        behind[i] = _log_sum([behind[i + 1], *(behind[j] + s for j, s in starts[i])]) if starts[i] else behind[i + 1]
+    beside = np.array(ahead)[window.first] + np.array(behind)[window.last] - ahead[n]
+    return np.exp(np.minimum(0.0, beside[:, None] + scores)), ahead[n]
+
+
+def _log_sum(values: list[float]) -> float:
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values))
+
+
+def _step(window: _Window, weights: np.ndarray, sums: np.ndarray, rate: float) -> None:
+    """One step along the gradient of the log-likelihood."""
+    if not len(window.first):
+        return
+    old = weights[:, window.slots]
+    scores = old[:, window.place].sum(axis=2).T
+    gap = window.gold - _shares(window, scores)[0]
+    gap[np.abs(gap) < 1e-4] = 0.0
+    width = window.place.shape[1]
+    gradient = np.array([
+        np.bincount(window.place.ravel(), np.repeat(gap[:, k], width), len(window.slots))
+        for k in range(len(KINDS))
+    ])
+    gradient[:, window.slots == _NONE] = 0.0
+    sums[:, window.slots] += gradient**2
+    weights[:, window.slots] = old * (1 - 1e-4 * (gradient != 0)) + rate * gradient / np.sqrt(
+        sums[:, window.slots]
+    )
 
 
 def _rewritten(kind: str, s: str, rng: random.Random) -> tuple[str, bool]:
@@ -300,7 +342,7 @@ def _other_number(rng: random.Random) -> str:
 
 
 def training_windows(text: str, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """Windows of a text with their true segments: as they are, rewritten, and other numbers."""
+    """Windows of a text with their true segments: spans rewritten, other numbers, and what no span covers."""
     rng = random.Random(seed)
     found = base_spans(text)
     out = []
@@ -314,26 +356,29 @@ def training_windows(text: str, seed: int) -> list[tuple[str, list[tuple[str, in
             if yes:
                 gold.append((kind, len(left), len(left) + len(s)))
             out.append((part, gold))
-        part = left + text[a:b] + right
-        out.append((part, base_spans(part)))
         part = left + _other_number(rng) + right
         out.append((part, base_spans(part)))
-    for a, b in windows(text, found)[:4]:
-        out.append((text[a:b][: 4 * BESIDE], base_spans(text[a:b][: 4 * BESIDE])))
+    for a, b in windows(text, found):
+        # A long window is taught in pieces.
+        for x in range(a, b, 4 * BESIDE):
+            part = text[x : min(b, x + 4 * BESIDE)]
+            out.append((part, base_spans(part)))
     return out
 
 
 def train(parts: list[tuple[str, list[tuple[str, int, int]]]]) -> dict:
-    """Weights by (kind, feature), from windows with their true segments."""
-    weights: dict = {(kind, ""): -2.0 for kind in KINDS}
-    sums: dict = {}
+    """Weights of the kinds by slot, from windows with their true segments."""
+    weights = np.zeros((len(KINDS), SLOTS + 2))
+    weights[:, _CONSTANT] = -2.0
+    sums = np.full(weights.shape, 1e-3)
     rng = random.Random(7)
-    parts = list(parts)
+    ready = [_Window(part, {tuple(g) for g in gold}) for part, gold in parts]
     for epoch in range(EPOCHS):
-        rng.shuffle(parts)
-        for part, gold in parts:
-            _step(part, {tuple(g) for g in gold}, weights, sums, 0.6 / (1 + epoch / 2))
-    return {k: round(v, 6) for k, v in weights.items()}
+        rng.shuffle(ready)
+        for window in ready:
+            _step(window, weights, sums, 0.6 / (1 + epoch / 2))
+    met = np.unique(np.concatenate([[_CONSTANT], *(w.slots for w in ready)]))
+    return {int(x): tuple(weights[:, x].round(6).tolist()) for x in met if x != _NONE}
 
 
 def find_spans(text: str, weights: dict) -> tuple[list, list]:
@@ -352,35 +397,54 @@ def find_spans(text: str, weights: dict) -> tuple[list, list]:
     return sorted(base, key=by), sorted(added, key=by)
 
 
+def _written(gold: list[tuple[str, int, int]]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(gold))
+
+
+def _read(gold: str) -> list[tuple[str, int, int]]:
+    split = (g.split(":") for g in gold.split(",") if g)
+    return [(k, int(a), int(b)) for k, a, b in split]
+
+
 def fit_field(docs: DataFrame) -> dict:
-    """Weights from at most SAMPLE documents that hold digits or signs; {} if none has a span.
+    """Weights from the windows of all texts that hold digits or signs; {} if none has a span.
 
-    Documents are thinned by a hash to a few times SAMPLE over the whole table, however many tasks read
-    it, before the first SAMPLE by another hash are taken.
+    A window that occurs more than once counts once. Shards grow in number with the windows, not in size, and
+    what comes back to the driver is a mean for each slot: SLOTS + 1 rows at most.
     """
-    texts = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9][ .()-]?[0-9]{2}|@"))
-    share = min(1.0, THINNED * SAMPLE / max(1, docs.count()))
-    slot = F.pmod(F.xxhash64("text", "doc_id"), F.lit(2**30))
-    texts = texts.where(slot < F.lit(int(share * 2**30)))
-    held = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    texts = docs.select("text").where(F.col("text").rlike("[0-9][ .()-]?[0-9]{2}|@"))
     made = map_texts(
-        held.select("doc_id", "text"),
-        "parts array<struct<part:string,gold:array<struct<kind:string,a:int,b:int>>>>",
-        lambda texts: [[
-            [{"part": p, "gold": [{"kind": k, "a": a, "b": b} for k, a, b in g]} for p, g in w]
-            for w in (training_windows(t, len(t)) for t in texts)
-        ]],
-    )
-    rows = made.select(F.inline("parts")).orderBy(F.xxhash64("part"), "part").limit(WINDOWS).collect()
-    parts = [(r["part"], [tuple(g) for g in r["gold"]]) for r in rows]
-    return train(parts) if any(g for _, g in parts) else {}
+        texts,
+        "parts array<struct<part:string,gold:string>>",
+        lambda texts: [
+            [[{"part": p, "gold": _written(g)} for p, g in training_windows(t, len(t))] for t in texts]
+        ],
+    )
+    parts = made.select(F.inline("parts")).groupBy("part").agg(F.max("gold").alias("gold"))
+    parts = materialize(parts, "windows")
+    if parts.where("gold <> ''").isEmpty():
+        return {}
+    shards = -(-parts.count() // SHARD)
+
+    def fit(shard):
+        import pandas as pd
+
+        shard = shard.sort_values("part")
+        weights = train([(p, _read(g)) for p, g in zip(shard["part"], shard["gold"], strict=True)])
+        return pd.DataFrame({"slot": list(weights), "weights": [list(w) for w in weights.values()]})
+
+    dealt = parts.withColumn("shard", F.pmod(F.xxhash64("part"), F.lit(shards)))
+    fitted = dealt.groupBy("shard").applyInPandas(fit, "slot int, weights array<double>")
+    means = [F.avg(F.col("weights")[k]).alias(kind) for k, kind in enumerate(KINDS)]
+    rows = fitted.groupBy("slot").agg(*means).collect()
+    return {r["slot"]: tuple(round(r[kind], 6) for kind in KINDS) for r in rows}
 
 
 def mark_personal_data(docs: DataFrame, weights: dict | None = None) -> DataFrame:
     """``docs`` (doc_id, text, others) without text, with ``base`` and ``added``: lists of spans.
 
     Offsets are in code points, ends exclusive. A null or empty text has no spans; repeated rows
-    and rows without id get their own. Without a span of the fixed patterns in the sample there is
+    and rows without id get their own. Without a span of the fixed patterns in any text there is
     no field, and nothing is added.
     """
     plain = docs.withColumn("text", F.coalesce("text", F.lit("")))

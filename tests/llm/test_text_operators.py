@@ -269,6 +269,89 @@ def test_field_finds_addresses_without_digits(texts):
     assert pii.find_spans("we met at the house (at noon) and left.", weights) == ([], [])
 
 
+def segmentations(part, weights):
+    """Every set of segments that do not overlap, with its score, segment by segment."""
+    tokens = pii._tokens(part)
+    none = (0.0,) * len(pii.KINDS)
+    found = [
+        (i, j, kind, sum(weights.get(x, none)[k] for x in (pii._CONSTANT, *slots)))
+        for i, j, slots in pii.candidates(part, tokens) for k, kind in enumerate(pii.KINDS)
+    ]
+
+    def rest(at):
+        yield 0.0, []
+        for i, j, kind, s in found:
+            if i >= at:
+                for total, more in rest(j):
+                    yield s + total, [(kind, tokens[i][0], tokens[j - 1][1]), *more]
+
+    return rest(0)
+
+
+def test_segmentation_equals_all_segmentations():
+    rng = random.Random(8)
+    several = 0
+    for part in random_texts(120, 9, "1a2@. +-", 6) + ["at 10 dot 20", "+1 23 45", "a@b.c 12", "1 2 3"]:
+        weights = {pii._CONSTANT: tuple(rng.uniform(-2, 1) for _ in pii.KINDS)}
+        for _, _, slots in pii.candidates(part, pii._tokens(part)):
+            for x in slots:
+                weights.setdefault(x, tuple(rng.uniform(-1, 1) for _ in pii.KINDS))
+        ranked = sorted(segmentations(part, weights), reverse=True)
+        found = pii.decode(part, weights)
+        assert [f[:3] for f in found] == ranked[0][1] or ranked[0][0] - ranked[1][0] < 1e-9
+        assert sum(f[3] for f in found) == pytest.approx(ranked[0][0])
+        several += len(found) > 1
+    assert several > 5
+
+
+def test_probabilities_equal_all_segmentations():
+    """Forward and backward sums beside the sum over every segmentation."""
+    rng = random.Random(9)
+    for part in [*random_texts(40, 8, "1a2@. +-", 7), "+1 23 45", "a@b.c 12"]:
+        weights = {pii._CONSTANT: tuple(rng.uniform(-2, 1) for _ in pii.KINDS)}
+        found = list(pii.candidates(part, pii._tokens(part)))
+        for _, _, slots in found:
+            for x in slots:
+                weights.setdefault(x, tuple(rng.uniform(-1, 1) for _ in pii.KINDS))
+        if not found:
+            continue
+        window = pii._Window(part, set())
+        scores = np.array([
+            [sum(weights[x][k] for x in (pii._CONSTANT, *slots)) for k in range(len(pii.KINDS))]
+            for _, _, slots in found
+        ])
+        shares, log = pii._shares(window, scores)
+        every = [(np.exp(s), segments) for s, segments in segmentations(part, weights)]
+        total = sum(p for p, _ in every)
+        assert log == pytest.approx(np.log(total))
+        tokens = pii._tokens(part)
+        for row, (i, j, _) in zip(shares, found, strict=True):
+            for k, kind in enumerate(pii.KINDS):
+                segment = (kind, tokens[i][0], tokens[j - 1][1])
+                want = sum(p for p, segments in every if segment in segments) / total
+                assert row[k] == pytest.approx(want)
+
+
+def test_field_of_all_windows(spark, monkeypatch):
+    """Shards that no task order changes; copies of a text teach nothing more; long tables are decoded."""
+    names = [f"t{i % 7}.x{i % 11}@mail{i}.example.com" for i in range(90)]
+    rows = [(i, f"we write to {x} or call +1 (988) 555-{i:04d} then") for i, x in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(pii, "SHARD", 100)
+    weights = pii.fit_field(docs)
+    assert len(weights) > 50 and all(len(w) == len(pii.KINDS) for w in weights.values())
+    again = pii.fit_field(docs.union(docs.where("doc_id < 30")).repartition(7))
+    assert again.keys() == weights.keys()
+    for slot, row in weights.items():
+        assert again[slot] == pytest.approx(row, abs=2e-6)
+    address = "t3.x4 (at) mail7 (dot) example (dot) com"
+    found = pii.find_spans(f"we write to {address} about it", weights)[1]
+    assert found == [("email", 12, 12 + len(address))]
+    assert pii.fit_field(spark.createDataFrame([(1, "in 1234 and 567")], docs.schema)) == {}
+    base, _ = pii.find_spans("12 7\t" * 3000, weights)
+    assert base == []
+
+
 def test_spans_keep_the_fixed_ones(documents, texts):
     for r in pii.digest_personal_data(documents).collect():
         want = brute_spans(texts[r.doc_id])
