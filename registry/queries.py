@@ -463,19 +463,19 @@ def delivered_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each pair in the written text: its line, after all part files before its own."""
     path = stage_path(spark, "scores")
     write_scored_text(document_scores(spark, sf_dir), path, ["npmi"], TIE_DIGITS)
-    # A part file is one row here; Spark's line reader would not tell places.
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file"),
-        F.split(F.rtrim("value", F.lit("\n")), "\n").alias("lines"),
+    # Lines of one block of a file are read in their order by one task, so their ids rise by one; written
+    # once, as another scan may number them otherwise.
+    block = F.struct("_metadata.file_name", "_metadata.file_block_start").alias("block")
+    lines = spark.read.text(path, lineSep="\n").select(
+        block, F.monotonically_increasing_id().alias("id"), "value"
     )
-    files = materialize(files.where("size(lines) > 0 AND lines[0] <> ''"), "files")
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each part file.
-    before = files.select("file", F.size("lines").alias("n")).select(
-        "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
-    )
-    lines = files.select("file", F.posexplode("lines").alias("at", "value")).join(before, "file")
-    position = (F.col("before") + F.col("at") + 1).alias("position")
+    lines = materialize(lines, "lines")
+    # One row for each block.
+    blocks = lines.groupBy("block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select("block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    lines = lines.join(F.broadcast(before), "block")
+    position = (F.col("before") + F.col("id") - F.col("first") + 1).alias("position")
     return show_scores(parse_scored_lines(lines.select(position, "value"), keep=["position"]))
 
 

@@ -15,6 +15,7 @@ from pairstats.sinks.stage import materialize, read_stage, stage_path, stage_roo
 from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
 from pairstats.sources import ngrams as sources
 from pairstats.sources.scored import read_scored_text, split_scored_lines, split_scored_text
+from registry import queries
 from worked_example import REJECTED, kept_lines
 
 SCHEMA = "period int, w1 string, w2 string, npmi double, rel_npmi double"
@@ -365,3 +366,23 @@ def test_folder_of_one_machine_is_refused(spark, monkeypatch):
         stage._check_shared(Session, "/tmp/pairstats-test-shared")
     Context.seen = [True, True]
     stage._check_shared(Session, "/tmp/pairstats-test-shared")
+
+
+def test_delivered_order_holds_no_file_in_a_row(spark, settings, monkeypatch, tmp_path):
+    """Places hold over several blocks of a file, and no row is as large as a part file."""
+    settings(files__maxPartitionBytes="200", files__openCostInBytes="1")
+    rows = [(1900 + k % 3 * 10, f"w{k:03d}", "v\rx", (k * 7 % 11) / 8, 0.0) for k in range(120)]
+    scores = spark.createDataFrame(rows, SCHEMA)
+    written = []
+
+    def spy(df, name):
+        out = materialize(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(queries, "document_scores", lambda *_: scores)
+    monkeypatch.setattr(queries, "materialize", spy)
+    found = sorted(tuple(r) for r in queries.delivered_order(spark, "").collect())
+    ranked = sorted(rows, key=lambda r: (r[0], -r[3], r[1]))
+    assert found == [(k, *r[:4]) for k, r in enumerate(ranked, start=1)]
+    assert written == [len(rows)]
