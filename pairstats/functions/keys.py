@@ -57,10 +57,24 @@ def nth_field(text: Column, sep: str, n: int) -> Column:
     return F.substring_index(F.substring_index(padded, sep, n), sep, -1)
 
 
+# What may parse as a whole number: digits with at most a sign, and the characters that a cast trims.
+_NUMBER = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*\z"
+
+
+def parsed(field: Column, kind: str) -> Column:
+    """A field as a number of type ``kind``, NULL where it does not parse.
+
+    Only a field that may parse is cast: a cast that fails costs an exception inside Spark, some
+    fifty times as long as the cast itself.
+    """
+    may = field.rlike(_NUMBER) if kind in ("int", "bigint") else field != NULL
+    return F.when(may, field.try_cast(kind))
+
+
 def split_pair_key(key: Column) -> tuple[Column, Column, Column]:
     """The (period, w1, w2) columns of a text key."""
     return (
-        nth_field(key, " ", 1).try_cast("int").alias("period"),
+        parsed(nth_field(key, " ", 1), "int").alias("period"),
         field_text(nth_field(key, " ", 2)).alias("w1"),
         field_text(nth_field(key, " ", 3)).alias("w2"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairstats.functions.keys import nth_field, period_bucket
+from pairstats.functions.keys import parsed, period_bucket
 from pairstats.functions.words import (
     check_language,
     first_word,
@@ -27,7 +27,7 @@ LONG_LIST = 5_000
 # The shape of a line. At least four fields, of which empty ones at the end do not
 # count; and, in a numeric line, digits with at most a sign (no blanks) in fields two and three.
 COMPLETE = r"^[^\t]*\t[^\t]*\t[^\t]*\t+[^\t]"
-NUMERIC = r"^[^\t]*\t[+-]?[0-9]+\t[+-]?[0-9]+\t+[^\t]"
+DIGITS = r"^[+-]?[0-9]+\z"
 
 
 def parse_ngram_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -37,16 +37,25 @@ def parse_ngram_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     a year and a count. A number that does not parse is NULL; one with blanks around it parses, but
     its line is not ``numeric``.
     """
-    text = F.col(line)
-    return lines.select(
-        text.alias("line"),
-        text.rlike(COMPLETE).alias("complete"),
-        text.rlike(NUMERIC).alias("numeric"),
-        nth_field(text, "\t", 1).alias("ngram"),
-        nth_field(text, "\t", 2).try_cast("int").alias("year"),
-        nth_field(text, "\t", 3).try_cast("bigint").alias("match_count"),
-        nth_field(text, "\t", 4).try_cast("bigint").alias("page_count"),
-        nth_field(text, "\t", 5).try_cast("bigint").alias("volume_count"),
+    # A line is split once, in an explode: no later filter is moved below that, to split it again.
+    fields = F.split(F.col(line), "\t")
+    cut = lines.select(F.col(line).alias("line"), F.explode(F.array(fields)).alias("_fields"))
+    ngram, year, matches, pages, volumes = (F.get("_fields", F.lit(i)) for i in range(5))
+    # The whole line is searched only where its fourth field is empty and not its last.
+    complete = (
+        F.when(pages != "", True)
+        .when(F.array_size("_fields") <= 4, False)
+        .otherwise(F.col("line").rlike(COMPLETE))
+    )
+    return cut.select(
+        "line",
+        complete.alias("complete"),
+        (complete & year.rlike(DIGITS) & matches.rlike(DIGITS)).alias("numeric"),
+        ngram.alias("ngram"),
+        parsed(year, "int").alias("year"),
+        parsed(matches, "bigint").alias("match_count"),
+        parsed(pages, "bigint").alias("page_count"),
+        parsed(volumes, "bigint").alias("volume_count"),
     )
 
 
@@ -112,18 +121,25 @@ def split_valid(
     """
     valid = ngrams.where(is_valid(ngrams, language, stop_words))
     reason = reject_reason(ngrams, language, stop_words)
-    return valid, ngrams.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    # A filter is not moved below an explode: there every mention of a column would be worked out again.
+    judged = ngrams.select("*", F.explode(F.array(reason)).alias("reason"))
+    return valid, judged.where(F.col("reason").isNotNull())
 
 
 def split_valid_written(
-    ngrams: DataFrame, language: str, stop_words: Iterable[str] | None = None
+    ngrams: DataFrame,
+    language: str,
+    stop_words: Iterable[str] | None = None,
+    keep: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``split_valid`` out of a single scan of ``ngrams``.
 
     Every row is judged once and written under its outcome; the two tables read their own folders.
+    ``keep`` names the columns to write, all unless given.
     """
     reason = reject_reason(ngrams, language, stop_words)
-    return split_written(ngrams.withColumn("reason", reason), "reason", "outcomes")
+    judged = ngrams.select(*(keep or ngrams.columns), reason.alias("reason"))
+    return split_written(judged, "reason", "outcomes")
 
 
 def reject_report(

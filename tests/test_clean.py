@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from worked_example import REJECTED, kept_lines
-from pairstats.functions.keys import nth_field, period_bucket, split_pair_key
+from pairstats.functions.keys import nth_field, parsed as number_of, period_bucket, split_pair_key
 from pairstats.functions.words import HEBREW_STOP_WORDS, stop_word_list
 from pairstats.operators import clean
 from pairstats.sources.stop_words import stop_words
@@ -275,3 +275,25 @@ def test_each_side_reads_its_own_folders(spark, lines):
     for df in (good, rejects):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(reason" in plan
+
+
+def test_rejects_are_judged_above_the_parsing(spark):
+    """No filter is moved below the parsing, where it would spell every field out for each mention."""
+    made = spark.range(3).select(F.concat_ws("\t", "id", F.lit("1991"), F.lit("3")).alias("line"))
+    _, rejects = clean.split_valid(clean.parse_ngram_lines(made), "english")
+    plan = rejects._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate explode(array(CASE WHEN") :]
+    assert "Filter" not in below and plan.count("split(") == 1
+    assert sorted(tuple(r) for r in rejects.select("line", "reason").collect()) == [
+        (f"{k}\t1991\t3", "few_fields") for k in range(3)
+    ]
+
+
+def test_failing_casts_are_told_beforehand(spark):
+    """What a guarded cast gives is what the plain one gives."""
+    texts = ["", "x", "1", "+1", "-1", "1.5", " 7 ", "\x1f8\x7f", "1 2", "--1", "+", "١", "\\N", None]
+    texts += ["2147483647", "2147483648", "-9223372036854775808", "9223372036854775808", "1e3", "NaN", "007", " 5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in ("int", "bigint", "double"):
+        got = df.select(number_of(F.col("t"), kind).alias("a"), F.col("t").try_cast(kind).alias("b")).collect()
+        assert [repr(r["a"]) for r in got] == [repr(r["b"]) for r in got]
