@@ -16,6 +16,10 @@ _local_folders: dict[str, str] = {}
 _seen_folders: set[tuple[str, str]] = set()
 # The folder of rows that have no reason to be rejected.
 KEPT = "kept"
+# Folders that a task of a split writes at the same time, and bytes that each holds back: with more
+# folders than that Spark sorts the rest.
+WRITERS, HELD = 16, 1 << 25
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 # Names of the tables in buckets.
 _bucketed: list[str] = []
 # Folders of the open runs, the innermost last.
@@ -140,9 +144,19 @@ def materialize_buckets(df: DataFrame, keys: list[str], buckets: int, name: str)
 
 def write_split(df: DataFrame, reason: str, path: str) -> None:
     """Write ``df`` in one pass, one folder for each value of ``reason``, rows without one under a
-    folder of their own. The path must be new."""
+    folder of their own. The path must be new.
+
+    There are few reasons, so a task writes all its folders at once and sorts no row.
+    """
+    conf = df.sparkSession.conf
     kept = F.coalesce(F.col(reason), F.lit(KEPT))
-    df.withColumn(reason, kept).write.mode("errorifexists").partitionBy(reason).parquet(path)
+    split = df.withColumn(reason, kept).write.mode("errorifexists").partitionBy(reason)
+    before = conf.get(_WRITERS, None)
+    conf.set(_WRITERS, str(WRITERS))
+    try:
+        split.option("parquet.block.size", str(HELD)).parquet(path)
+    finally:
+        conf.unset(_WRITERS) if before is None else conf.set(_WRITERS, before)
 
 
 def read_split(df: DataFrame, reason: str, path: str) -> tuple[DataFrame, DataFrame]:

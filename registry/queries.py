@@ -165,7 +165,7 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good and rejected lines out of one scan, each under its outcome."""
     lines = clean.parse_ngram_lines(document_lines(spark, sf_dir))
-    good, rejects = clean.split_valid_written(lines, "english")
+    good, rejects = clean.split_valid_written(lines, "english", keep=["line"])
     kept = good.select("line", F.lit("kept").alias("outcome"))
     return kept.union(rejects.select("line", F.col("reason").alias("outcome")))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairstats import association_counts
 from pairstats.functions.keys import NULL, field_text, text_field
-from pairstats.operators.clean import clean_pairs
+from pairstats.operators.clean import clean_pairs, parse_ngram_lines, split_valid_written
 from pairstats.sinks import stage
 from pairstats.sinks.stage import materialize, read_stage, stage_path, stage_root, write_stage
 from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
@@ -386,3 +386,22 @@ def test_delivered_order_holds_no_file_in_a_row(spark, settings, monkeypatch, tm
     ranked = sorted(rows, key=lambda r: (r[0], -r[3], r[1]))
     assert found == [(k, *r[:4]) for k, r in enumerate(ranked, start=1)]
     assert written == [len(rows)]
+
+
+def test_a_split_sorts_no_row(spark, settings, monkeypatch):
+    """A task writes all folders at once; only the columns asked for are written."""
+    settings(maxConcurrentOutputFileWriters="0")
+    writer, seen = type(spark.range(0).write), []
+    plain = writer.parquet
+
+    def spy(self, path, *more):
+        seen.append(spark.conf.get(stage._WRITERS))
+        return plain(self, path, *more)
+
+    monkeypatch.setattr(writer, "parquet", spy)
+    rows = [(f"w{k} v\t1991\t{k % 3}\t1\t1",) for k in range(60)]
+    lines = parse_ngram_lines(spark.createDataFrame(rows, "line string"))
+    good, rejects = split_valid_written(lines, "english", keep=["line"])
+    assert good.columns == ["line"] and rejects.columns == ["line", "reason"]
+    assert good.count() + rejects.count() == 60
+    assert seen == [str(stage.WRITERS)] and spark.conf.get(stage._WRITERS) == "0"
