@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairstats.functions.keys import NULL, field_text, nth_field, split_pair_key
+from pairstats.functions.keys import NULL, field_text, nth_field, parsed, split_pair_key
 from pairstats.sinks.stage import split_written
 
 
@@ -33,7 +33,7 @@ def _values(values: Mapping[str, str] | None) -> Mapping[str, str]:
 
 
 def _parsed(field: Column, kind: str) -> Column:
-    return field_text(field) if kind == "string" else field.try_cast(kind)
+    return field_text(field) if kind == "string" else parsed(field, kind)
 
 
 def scored_reject_reason(values: Mapping[str, str] | None = None) -> Column:
@@ -43,20 +43,26 @@ def scored_reject_reason(values: Mapping[str, str] | None = None) -> Column:
     there are names for, on either side. ``bad_period``, ``empty_word``. ``few_values``, ``bad_value``:
     a value is missing, or neither parses nor is marked as NULL.
     """
-    values, line = _values(values), F.col("value")
-    key, rest = nth_field(line, "\t", 1), F.substring_index(line, "\t", -1)
-    tabs = F.char_length(line) - F.char_length(F.replace(line, F.lit("\t"), F.lit("")))
-    fields = F.size(F.split(key, " ")), F.size(F.split(rest, " "))
-    period, *words = (nth_field(key, " ", i) for i in (1, 2, 3))
+    return _reject_reason(*_cut(F.split("value", "\t")), values)
+
+
+def _cut(parts: Column) -> tuple[Column, Column, Column]:
+    """The number of parts of a line, and the fields of the first and of the last part."""
+    return F.size(parts), F.split(F.get(parts, F.lit(0)), " "), F.split(F.element_at(parts, -1), " ")
+
+
+def _reject_reason(parts: Column, key: Column, rest: Column, values: Mapping[str, str] | None) -> Column:
+    values, fields = _values(values), (F.size(key), F.size(rest))
+    period, *words = (F.get(key, F.lit(i)) for i in range(3))
     bad = F.lit(False)
-    for i, kind in enumerate(values.values(), start=1):
-        field = nth_field(rest, " ", i)
+    for i, kind in enumerate(values.values()):
+        field = F.get(rest, F.lit(i))
         if kind != "string":
-            bad = bad | ((field != NULL) & field.try_cast(kind).isNull())
+            bad = bad | ((field != NULL) & parsed(field, kind).isNull())
     return (
-        F.when((tabs < 1) | (fields[0] < 3), "few_fields")
-        .when((tabs > 1) | (fields[0] > 3) | (fields[1] > len(values)), "many_fields")
-        .when((period != NULL) & period.try_cast("int").isNull(), "bad_period")
+        F.when((parts < 2) | (fields[0] < 3), "few_fields")
+        .when((parts > 2) | (fields[0] > 3) | (fields[1] > len(values)), "many_fields")
+        .when((period != NULL) & parsed(period, "int").isNull(), "bad_period")
         .when((words[0] == "") | (words[1] == ""), "empty_word")
         .when(fields[1] < len(values), "few_values")
         .when(bad, "bad_value")
@@ -71,7 +77,13 @@ def split_scored_lines(
     The lines are read once: both sides are written by the way. Blank lines, which part the groups of a
     report, are neither.
     """
-    judged = lines.where(F.col("value") != "").select("value", scored_reject_reason(values).alias("reason"))
+    # Lines and their parts are split once, in an explode: else each mention would split them again.
+    cut = lines.select("value", F.explode(F.array(F.split("value", "\t"))).alias("_parts"))
+    cut = cut.where(F.col("value") != "").select(
+        "value", F.inline(F.array(F.struct(*_cut(F.col("_parts"))))).alias("_n", "_key", "_rest")
+    )
+    reason = _reject_reason(F.col("_n"), F.col("_key"), F.col("_rest"), values)
+    judged = cut.select("value", reason.alias("reason"))
     good, rejects = split_written(judged, "reason", "scored_lines")
     return parse_scored_lines(good, values), rejects
 
