@@ -215,37 +215,49 @@ class Bins:
 
     def _best_change(self, b: int, slack: int, by: dict, mask: int):
         """(gain in tokens, item that comes, items that go) that fills the bin best."""
-        items = self.items[b]
-        outs = [(0, ())] + [(self.size[x], (x,)) for x in items]
-        if len(items) <= 12:
-            outs += [
-                (self.size[x] + self.size[y], (x, y)) for k, x in enumerate(items) for y in items[:k]
-            ]
-        best = None
-        for out, gone in outs:
+        best, seen = None, set()
+        for out, gone in self._outs(b):
+            if out in seen:  # the same gain as before
+                continue
+            seen.add(out)
             top = out + slack
             least = out + (best[0] if best else 0)
             sizes = mask & ((1 << (top + 1)) - 1)
-            tries = 0
-            while sizes and tries < 4:
+            while sizes:
                 n = sizes.bit_length() - 1
                 if n <= least:
                     break
-                tries += 1
-                came = self._from_emptier(by[n], b, n, out)
+                came = self._from_emptier(by[n], b)
                 if came is not None:
                     best = (n - out, came, gone)
                     break
                 sizes &= ~(1 << n)
+                mask &= ~(1 << n)  # nor for what goes otherwise
             if best and best[0] == slack:
                 break
         return best
 
-    def _from_emptier(self, items: list[int], b: int, n: int, out: int):
-        """An item of ``n`` tokens in a bin that the change leaves emptier than this one was."""
-        for item in items[-8:]:
+    def _outs(self, b: int):
+        """(tokens, items) of nothing, one or two items of a bin; items of one size are the same, so
+        there are few: the sizes of a bin add up to its fill."""
+        yield 0, ()
+        of: dict[int, list[int]] = {}
+        for item in self.items[b]:
+            of.setdefault(self.size[item], []).append(item)
+        for n, same in of.items():
+            yield n, (same[0],)
+        sizes = list(of)
+        for k, n in enumerate(sizes):
+            if len(of[n]) > 1:
+                yield 2 * n, (of[n][0], of[n][1])
+            for m in sizes[:k]:
+                yield n + m, (of[n][0], of[m][0])
+
+    def _from_emptier(self, items: list[int], b: int):
+        """One of some items that is in a bin not fuller than this one; the emptiest come last."""
+        for item in reversed(items):
             a = self.place[item]
-            if a != b and self.size[item] == n and self.fill[a] <= self.fill[b]:
+            if a != b and self.fill[a] <= self.fill[b]:
                 return item
         return None
 

@@ -328,3 +328,36 @@ def test_secrets_of_nothing(spark):
     assert secrets.find_secrets(none).collect() == []
 
 
+
+
+def test_best_change_of_packing_is_the_best_of_all():
+    """The gain is that of brute force over all items of emptier bins and all one or two that may go."""
+    from itertools import combinations
+
+    from pairstats.llm.packing import Bins
+
+    rng, found = np.random.default_rng(5), 0
+    for _ in range(60):
+        bins = Bins([1], 300)
+        bins.size = rng.integers(1, 60, 120).tolist()
+        bins.place = rng.integers(0, 12, 120).tolist()
+        bins.items = [[k for k in range(120) if bins.place[k] == b] for b in range(12)]
+        bins.fill = [sum(bins.size[k] for k in items) for items in bins.items]
+        by: dict[int, list[int]] = {}
+        for k, n in enumerate(bins.size):
+            by.setdefault(n, []).append(k)
+        mask = sum(1 << n for n in by)
+        for b in range(12):
+            slack = bins.capacity - bins.fill[b]
+            if slack <= 0:
+                continue
+            outs = [0, *[sum(bins.size[k] for k in c) for r in (1, 2) for c in combinations(bins.items[b], r)]]
+            come = [
+                bins.size[k] for k in range(120)
+                if bins.place[k] != b and bins.fill[bins.place[k]] <= bins.fill[b]
+            ]
+            gains = [n - out for n in set(come) for out in set(outs) if 0 < n - out <= slack]
+            best = bins._best_change(b, slack, by, mask)
+            assert (best[0] if best else 0) == max(gains, default=0)
+            found += best is not None
+    assert found > 50
