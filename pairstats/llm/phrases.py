@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairstats.llm.common import give_back
 from pairstats.operators.counts import slice_hot
 from pairstats.operators.select import best_rows
 from pairstats.sinks.stage import materialize
@@ -344,6 +345,8 @@ def _counter(partitions: int):
                         by_lang = {x: Words(w.lang, names, langs) for x, w in by_lang.items()}
                         carried = tuple(by_lang[lang][word] if word else 0 for word in last)
         yield from spill()
+        trie = names = langs = by_lang = batch = texts = codes = None
+        give_back()
 
     return run
 
@@ -370,21 +373,42 @@ def _deal_again(batches):
             )
 
 
-def merge_runs(runs: list[tuple[list[bytes], np.ndarray, np.ndarray]]):
-    """(words, ids of each phrase, counts) of all runs together; ids count from 1, 0 is none."""
+def merge_runs(runs: Iterable[tuple[list[bytes], np.ndarray, np.ndarray]]):
+    """(words, ids of each phrase, counts) of all runs together; ids count from 1, 0 is none.
+
+    Runs are taken one by one. A phrase is held as one code while the words fit its bits, so that
+    memory is some six numbers a phrase.
+    """
     index: dict[bytes, int] = {}
-    every, counts = [], []
+    every, counts, wide = [], [], False
     for names, ids, n in runs:
         numbers = np.fromiter(
             (index.setdefault(name, len(index) + 1) for name in names), np.int64, len(names)
         )
-        every.append(np.concatenate([[0], numbers])[ids])
+        ids = np.concatenate([[0], numbers])[ids]
+        if not wide and len(index) > MASK:
+            every, wide = [_places(codes) for codes in every], True
+        every.append(ids if wide else ids[0] << 2 * BITS | ids[1] << BITS | ids[2])
         counts.append(n)
-    ids, counts = np.concatenate(every, axis=1), np.concatenate(counts)
-    order = np.lexsort(ids[::-1])
-    ids, counts = ids[:, order], counts[order]
-    starts = np.flatnonzero(np.append(True, (np.diff(ids, axis=1) != 0).any(axis=0)))
-    return list(index), ids[:, starts], np.add.reduceat(counts, starts)
+    del ids
+    ids, counts = np.concatenate(every, axis=-1), np.concatenate(counts)
+    every.clear()
+    order = np.lexsort(ids[::-1]) if wide else np.argsort(ids)
+    ids, counts = ids[..., order], counts[order]
+    del order
+    new = np.diff(ids, axis=-1) != 0
+    starts = np.flatnonzero(np.append(True, new.any(axis=0) if wide else new))
+    ids = ids[..., starts]
+    return list(index), ids if wide else _places(ids), np.add.reduceat(counts, starts)
+
+
+def _places(codes: np.ndarray) -> np.ndarray:
+    """The word ids of codes, a row for each place."""
+    out = np.empty((LONGEST, len(codes)), np.int64)
+    for row, level in zip(out, (2 * BITS, BITS, 0), strict=True):
+        np.right_shift(codes, level, out=row)
+        row &= MASK
+    return out
 
 
 def _merger(least: int):
@@ -393,8 +417,9 @@ def _merger(least: int):
     def merge(table):
         import pyarrow as pa
 
-        runs = zip(*(table.column(c).to_pylist() for c in ("words", "ids", "counts")), strict=True)
-        names, ids, counts = merge_runs([_unpack(*r) for r in runs])
+        columns = [table.column(c) for c in ("words", "ids", "counts")]
+        runs = (_unpack(*(c[i].as_py() for c in columns)) for i in range(len(table)))
+        names, ids, counts = merge_runs(runs)
         lang = table.column("lang")[0].as_py()
         total = int(counts[ids[1] == 0].sum())
         often = np.flatnonzero(counts >= least)
@@ -403,7 +428,7 @@ def _merger(least: int):
             b" ".join(names[i - 1] for i in row if i).decode("utf-8", "replace")
             for row in ids[:, often].T.tolist()
         ]
-        return pa.table(
+        out = pa.table(
             {
                 "lang": pa.array([lang] * (len(often) + 1), pa.string()),
                 "phrase": pa.array([None, *phrases], pa.string()),
@@ -411,6 +436,9 @@ def _merger(least: int):
                 "f": pa.array([total, *counts[often].tolist()], pa.int64()),
             }
         )
+        names = ids = counts = phrases = runs = None
+        give_back()
+        return out
 
     return merge
 

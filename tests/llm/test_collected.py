@@ -361,3 +361,36 @@ def test_best_change_of_packing_is_the_best_of_all():
             assert (best[0] if best else 0) == max(gains, default=0)
             found += best is not None
     assert found > 50
+
+
+def test_merging_runs_holds_a_phrase_in_few_numbers(monkeypatch):
+    """Equal results by codes and, with more words than fit a code, by rows of ids; memory is bounded."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+
+    def runs(size, words, parts=4):
+        for k in range(parts):
+            ids = np.unique(rng.integers(1, words, (3, size)), axis=1)
+            names = [b"%d" % (i * (k + 1)) for i in range(1, words)]
+            yield names, ids, rng.integers(1, 9, ids.shape[1])
+
+    given = list(runs(300, 30))
+    want = Counter()
+    for names, ids, n in given:
+        for *row, c in zip(*ids.tolist(), n.tolist(), strict=True):
+            want[tuple(names[i - 1] for i in row)] += c
+    for bits in (phrases.BITS, 5):
+        monkeypatch.setattr(phrases, "BITS", bits)
+        monkeypatch.setattr(phrases, "MASK", (1 << bits) - 1)
+        names, ids, counts = phrases.merge_runs(iter(given))
+        got = {tuple(names[i - 1] for i in row): c for *row, c in zip(*ids.tolist(), counts.tolist(), strict=True)}
+        assert got == want
+    monkeypatch.undo()
+    many = 250_000
+    given = [(*r,) for r in runs(many, 3000)]
+    tracemalloc.start()
+    phrases.merge_runs(given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70 * 4 * many
