@@ -11,6 +11,7 @@ from pairstats.functions.keys import pair_key, period_bucket
 from pairstats.operators import clean, counts, scoring, select
 from pairstats.plans import collocations as plans
 from pairstats.plans.counters import RunCounters
+from pairstats.sinks.sequence import write_numbered_sequence
 from pairstats.sinks.stage import materialize, read_stage, stage_path, write_stage
 from pairstats.sinks.text import write_pair_text, write_scored_text, write_top_k_report
 from pairstats.sources.ngrams import (
@@ -114,12 +115,7 @@ def ngrams_sequence_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Keys above 32 bits, because smaller Python integers would be written as IntWritable.
     number = F.monotonically_increasing_id() + F.lit(2**32)
     numbered = document_lines(spark, sf_dir).select(number, "line")
-    numbered.rdd.map(tuple).saveAsNewAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-        keyClass="org.apache.hadoop.io.LongWritable",
-        valueClass="org.apache.hadoop.io.Text",
-    )
+    write_numbered_sequence(numbered, path)
     return counts.pair_counts(clean.clean_pairs(read_ngrams_sequence(spark, path), "english"))
 
 
