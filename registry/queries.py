@@ -244,12 +244,14 @@ def row_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts about a random half: its share, and whether any fact is in it too often."""
     whole = document_ngrams(spark, sf_dir)
     keys = ["ngram", "year"]
-    per = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    both = per(whole, "n_whole").join(
-        per(clean.sample_rows(whole, 0.5, seed=7), "n_sample"), keys, "full"
+    # Both sides meet in one count of their rows: a join would sort all facts of either first.
+    side = lambda df, sampled: df.select(*keys, F.lit(sampled).alias("sampled"))
+    rows = side(whole, False).union(side(clean.sample_rows(whole, 0.5, seed=7), True))
+    both = rows.groupBy(*keys).agg(
+        F.count_if(~F.col("sampled")).alias("n_whole"), F.count_if("sampled").alias("n_sample")
     )
-    share = F.coalesce(F.sum("n_sample"), F.lit(0)) / F.sum("n_whole")
-    fits = F.coalesce("n_sample", F.lit(0)) <= F.coalesce("n_whole", F.lit(0))
+    share = F.sum("n_sample") / F.sum("n_whole")
+    fits = F.col("n_sample") <= F.col("n_whole")
     return both.agg(
         F.sum("n_whole").alias("n_rows"),
         share.between(0.45, 0.55).alias("share_in_bounds"),
