@@ -146,7 +146,8 @@ def write_split(df: DataFrame, reason: str, path: str) -> None:
     """Write ``df`` in one pass, one folder for each value of ``reason``, rows without one under a
     folder of their own. The path must be new.
 
-    There are few reasons, so a task writes all its folders at once and sorts no row.
+    There are few reasons, so a task writes all its folders at once and sorts no row. Rows of one folder are much
+    alike, and all of them are written, so they are compressed by zstd.
     """
     conf = df.sparkSession.conf
     kept = F.coalesce(F.col(reason), F.lit(KEPT))
@@ -154,7 +155,7 @@ def write_split(df: DataFrame, reason: str, path: str) -> None:
     before = conf.get(_WRITERS, None)
     conf.set(_WRITERS, str(WRITERS))
     try:
-        split.option("parquet.block.size", str(HELD)).parquet(path)
+        split.option("parquet.block.size", str(HELD)).option("compression", "zstd").parquet(path)
     finally:
         conf.unset(_WRITERS) if before is None else conf.set(_WRITERS, before)
 
