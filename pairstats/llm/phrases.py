@@ -170,11 +170,11 @@ class Trie:
                 self._burst(j)
 
     def spill(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Yield each subtree as (sorted codes, counts), and empty the trie."""
-        containers = self.containers
+        """Yield each subtree as (sorted codes, counts), and empty the trie; a table goes as its subtree comes."""
+        containers = self.containers[::-1]
         self.starts, self.containers = [0], [Container()]
-        for container in containers:
-            codes, counts = container.items()
+        while containers:
+            codes, counts = containers.pop().items()
             order = np.argsort(codes)
             yield codes[order], counts[order]
 
@@ -282,15 +282,18 @@ def _local(ids: np.ndarray, names: list[bytes]) -> tuple[np.ndarray, list[bytes]
 
 def _runs(trie: Trie, names: list, langs: list, partitions: int) -> Iterator[tuple]:
     """The trie's subtrees as rows of sorted runs, one for each language and prefix partition."""
-    spilled = list(trie.spill())
-    codes = np.concatenate([c for c, _ in spilled])
-    counts = np.concatenate([n for _, n in spilled])
-    del spilled
     hashes = np.fromiter(map(zlib.crc32, names), np.uint64, len(names))
-    first = codes >> 2 * BITS
-    part = _mix(hashes[first], hashes[codes >> BITS & MASK]) % np.uint64(partitions)
-    key = np.array(langs)[first] * partitions + part.astype(np.int64)
-    del first, part, hashes
+    numbers = np.array(langs)
+    every, n, keys = [], [], []
+    for codes, counts in trie.spill():
+        first = codes >> 2 * BITS
+        part = _mix(hashes[first], hashes[codes >> BITS & MASK]) % np.uint64(partitions)
+        every.append(codes)
+        n.append(counts)
+        keys.append(numbers[first] * partitions + part.astype(np.int64))
+    del hashes, numbers
+    codes, counts, key = np.concatenate(every), np.concatenate(n), np.concatenate(keys)
+    del every, n, keys
     for group in _groups(key):
         own = codes[group]
         ids, used = _local(np.stack([own >> 2 * BITS, own >> BITS & MASK, own & MASK]), names)
@@ -326,6 +329,8 @@ def _counter(partitions: int):
                     rows, size = [], 0
             if rows:
                 yield _run_batch(rows)
+            rows = None
+            give_back()
 
         for batch in batches:
             languages = batch.column("lang").to_pylist()
@@ -374,10 +379,16 @@ def _deal_again(batches):
 
 
 def merge_runs(runs: Iterable[tuple[list[bytes], np.ndarray, np.ndarray]]):
-    """(words, ids of each phrase, counts) of all runs together; ids count from 1, 0 is none.
+    """(words, ids of each phrase, counts) of all runs together; ids count from 1, 0 is none."""
+    names, ids, counts = _merged(runs)
+    return names, ids if ids.ndim > 1 else _places(ids), counts
+
+
+def _merged(runs: Iterable[tuple[list[bytes], np.ndarray, np.ndarray]]):
+    """``merge_runs`` with one code for each phrase where the words fit its bits, else a row for each place.
 
     Runs are taken one by one. A phrase is held as one code while the words fit its bits, so that
-    memory is some six numbers a phrase.
+    memory is some four numbers a phrase.
     """
     index: dict[bytes, int] = {}
     every, counts, wide = [], [], False
@@ -399,7 +410,7 @@ def merge_runs(runs: Iterable[tuple[list[bytes], np.ndarray, np.ndarray]]):
     new = np.diff(ids, axis=-1) != 0
     starts = np.flatnonzero(np.append(True, new.any(axis=0) if wide else new))
     ids = ids[..., starts]
-    return list(index), ids if wide else _places(ids), np.add.reduceat(counts, starts)
+    return list(index), ids, np.add.reduceat(counts, starts)
 
 
 def _places(codes: np.ndarray) -> np.ndarray:
@@ -419,14 +430,17 @@ def _merger(least: int):
 
         columns = [table.column(c) for c in ("words", "ids", "counts")]
         runs = (_unpack(*(c[i].as_py() for c in columns)) for i in range(len(table)))
-        names, ids, counts = merge_runs(runs)
+        names, ids, counts = _merged(runs)
         lang = table.column("lang")[0].as_py()
-        total = int(counts[ids[1] == 0].sum())
+        single = ids[1] == 0 if ids.ndim > 1 else ids >> BITS & MASK == 0
+        total = int(counts[single].sum())
         often = np.flatnonzero(counts >= least)
-        size = (ids[:, often] > 0).sum(axis=0)
+        # Few phrases are left; only their codes are taken apart.
+        ids = ids[..., often]
+        ids = ids if ids.ndim > 1 else _places(ids)
+        size = (ids > 0).sum(axis=0)
         phrases = [
-            b" ".join(names[i - 1] for i in row if i).decode("utf-8", "replace")
-            for row in ids[:, often].T.tolist()
+            b" ".join(names[i - 1] for i in row if i).decode("utf-8", "replace") for row in ids.T.tolist()
         ]
         out = pa.table(
             {
@@ -436,7 +450,7 @@ def _merger(least: int):
                 "f": pa.array([total, *counts[often].tolist()], pa.int64()),
             }
         )
-        names = ids = counts = phrases = runs = None
+        names = ids = counts = single = often = phrases = runs = None
         give_back()
         return out
 
