@@ -47,8 +47,9 @@ def adjacent_pairs(words: DataFrame) -> DataFrame:
 def facts(pairs: DataFrame) -> DataFrame:
     """One occurrence of each pair, dated by document id."""
     one = F.lit(1).cast("bigint")
+    # Joined once, in an explode: filters are not moved below it, to join the words again for each of their tests.
     return pairs.select(
-        F.concat_ws(" ", "w1", "w2").alias("ngram"),
+        F.explode(F.array(F.concat_ws(" ", "w1", "w2"))).alias("ngram"),
         (F.lit(1900) + F.col("doc_id") % 100).cast("int").alias("year"),
         one.alias("match_count"),
         one.alias("page_count"),

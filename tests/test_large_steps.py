@@ -57,3 +57,11 @@ def test_row_sample_joins_nothing(spark, tmp_path):
 def test_row_sample_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert [tuple(r) for r in queries.row_sample(spark, str(tmp_path)).collect()] == [(None, None, None)]
+
+
+def test_facts_join_words_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "en", "red fox jumps")], "doc_id bigint, lang string, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    pairs = queries.clean.clean_pairs(queries.document_ngrams(spark, str(tmp_path)), "english")
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("concat_ws(") == 1
+    assert sorted(tuple(r) for r in pairs.collect()) == [(1900, "fox", "jumps", 1), (1900, "red", "fox", 1)]
