@@ -7,8 +7,9 @@ its own up in a few weighted centres (they separate languages and layouts). Then
 * a bit, whether it is the word that followed the last occurrence of the two words before in this text;
   if not, a bit for the one word before. How sure these are depends on how often in a row they were right:
   so the model adapts online to what a text repeats;
-* else its share of the words so far in this text, mixed with its share of the training words, mixed
-  with the probability that the bits of its letters get.
+* else its share of the words so far in this text, mixed with what bit predictors make of its share of the
+  training words and the words before it (see ``contexts``: counted over all occurrences, weights adapted while
+  the text is scored), mixed, as it may be new, with the probability that the bits of its letters get.
 
 A letter is eight bits. Predictors with contexts of one to four letters look up, in hashed tables of
 fixed size, how often the bit was 0 and 1 over the distinct training words; their logits are added
@@ -24,11 +25,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairstats.llm.common import texts_of
+from pairstats.llm import contexts
+from pairstats.llm.common import give_back, texts_of
 from pairstats.sinks.stage import materialize
 
 #: Letters of context of each bit predictor, and the binary logarithm of its table's slots.
@@ -137,6 +139,8 @@ def bit_tables(vocabulary: DataFrame) -> dict[int, np.ndarray]:
                     for o, s in slots.items():
                         np.add.at(tables[o], s.astype(np.int64) * 2 + bit, np.ones(len(s), np.int32))
         yield from _packed(tables)
+        tables = batch = words = bits = bit = slots = None
+        give_back()
 
     def add(key, table):
         import zlib
@@ -244,9 +248,8 @@ class Mixer:
         return np.add.reduceat(total, ends - lengths)
 
 
-def train_mixer(vocabulary: DataFrame, tables: dict[int, np.ndarray]) -> tuple:
+def train_mixer(vocabulary: DataFrame, held: Broadcast) -> tuple:
     """(weights, counts of the map): every task learns online over its words; averages of all."""
-    held = vocabulary.sparkSession.sparkContext.broadcast(tables)  # fixed size
 
     def run(batches):
         mixer, n = Mixer(held.value), 0
@@ -260,10 +263,12 @@ def train_mixer(vocabulary: DataFrame, tables: dict[int, np.ndarray]) -> tuple:
                  pa.array([mixer.seen.ravel().tolist()])],
                 names=["n", "weights", "seen"],
             )
+        mixer = batch = words = None
+        give_back()
 
     parts = vocabulary.where("c > 0 AND length(word) > 1").select("word")
     rows = parts.mapInArrow(run, "n double, weights array<double>, seen array<double>").collect()
-    plain = Mixer(tables)
+    plain = Mixer(held.value)
     if not rows:
         return plain.weights, plain.seen
     total = sum(r["n"] for r in rows)
@@ -272,20 +277,20 @@ def train_mixer(vocabulary: DataFrame, tables: dict[int, np.ndarray]) -> tuple:
     return weights.reshape(plain.weights.shape), seen.reshape(plain.seen.shape)
 
 
-def spelled(vocabulary: DataFrame, tables: dict, trained: tuple) -> DataFrame:
+def spelled(vocabulary: DataFrame, held: Broadcast, trained: tuple) -> DataFrame:
     """``vocabulary`` (word, c, among others) with ``spell``, the log10 probability of its letters."""
-    held = vocabulary.sparkSession.sparkContext.broadcast((tables, *trained))  # fixed size
 
     def run(batches):
-        tables, weights, seen = held.value
-        mixer = Mixer(tables)
-        mixer.weights, mixer.seen = weights, seen
+        mixer = Mixer(held.value)
+        mixer.weights, mixer.seen = trained
         mixer.freeze()
         for batch in batches:
             out = np.zeros(batch.num_rows)
             for at, words in _word_parts(batch):
                 out[at : at + len(words)] = mixer.score(words)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, "spell"])
+        mixer = batch = words = out = None
+        give_back()
 
     names = vocabulary.columns
     return vocabulary.mapInArrow(run, "word binary, c bigint, all_c bigint, spell double")
@@ -467,7 +472,7 @@ def _numbered(texts: pa.Array, centres: np.ndarray):
     A key is the text's class as a byte, then the word; the end is a class alone.
     """
     raws = _raw(texts)
-    kinds = np.argmax(np.array([letter_pairs(t) for t in raws]) @ centres.T, 1)
+    kinds = _kinds(raws, centres)
     words, lengths = [], []
     for t in raws:
         found = t.split()
@@ -526,10 +531,101 @@ def _counted(docs: DataFrame, centres: np.ndarray) -> DataFrame:
         for k in (0, 1):
             keys = [bytes([s]) for s in range(RUNS + 1)]
             yield rows(2 - k, keys, states[k, :, 0], states[k, :, 1])
+        counts = batch = texts = words = ids = text = learn = mine = found = None
+        give_back()
 
     return docs.select("text", "learn").mapInArrow(run, "kind int, word binary, c bigint, n bigint")
 
 
+def _kinds(raws: list[bytes], centres: np.ndarray) -> np.ndarray:
+    """The class of each text."""
+    return np.argmax(np.array([letter_pairs(t) for t in raws]) @ centres.T, 1)
+
+
+def _told(batches, centres: np.ndarray):
+    """Yield (hashes of the words before, hash, class) of each word, some texts at a time."""
+    for batch in batches:
+        texts = batch.column("text")
+        for at in range(0, len(texts), 100):
+            raws = _raw(texts.slice(at, 100))
+            word, text = contexts.hashed_words(raws)
+            kind = _kinds(raws, centres).astype(np.uint8)[text]
+            yield contexts.hashed_contexts(word, kind, text), word, kind
+
+
+def context_tables(docs: DataFrame, centres: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Counts of the bits after one and after two words, over all occurrences in the training texts.
+
+    After them, the training words by class and code.
+    """
+    leaves = len(centres) * contexts.LEAVES
+    schema = "span int, part int, counts binary"
+    types = pa.schema([("span", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+
+    def fill(batches):
+        tables = [*contexts.empty_counts(), np.zeros(leaves, np.int64)]
+        for before, word, kind in _told(batches, centres):
+            contexts.count(tables[:-1], before, word)
+            tables[-1] += np.bincount(contexts.leaf(word, kind), minlength=leaves)
+        for span, table in enumerate(tables):
+            for part, at in enumerate(range(0, len(table), contexts.PART)):
+                counts = table[at : at + contexts.PART]
+                if counts.any():
+                    columns = [[span], [part], [contexts.packed(counts)]]
+                    yield pa.RecordBatch.from_pydict(dict(zip(types.names, columns, strict=True)), types)
+        tables = table = counts = before = word = kind = None
+        give_back()
+
+    def add(key, table):
+        shares = key[0].as_py() == contexts.SPANS
+        total = np.zeros(leaves if shares else contexts.PART, np.int64)
+        for raw in table.column("counts"):
+            total += contexts.unpacked(raw.as_py(), len(total), np.int64)
+        raw = contexts.packed(total if shares else contexts.eight_bits(total))
+        return pa.table([pa.array([x.as_py()], pa.int32()) for x in key] + [pa.array([raw])], schema=types)
+
+    found = docs.where("learn").select("text").mapInArrow(fill, schema)
+    # Bounded: the parts of all tables, at most 16 MB together.
+    rows = found.groupBy("span", "part").applyInArrow(add, schema).collect()
+    out = [np.zeros(1 << contexts.SLOTS, np.uint16) for _ in range(contexts.SPANS)]
+    counts = np.zeros(leaves, np.int64)
+    for r in rows:
+        at, raw = r["part"] * contexts.PART, bytes(r["counts"])
+        if r["span"] == contexts.SPANS:
+            counts = contexts.unpacked(raw, leaves, np.int64)
+        else:
+            out[r["span"]][at : at + contexts.PART] = contexts.unpacked(raw, contexts.PART, np.uint16)
+    return out, counts.reshape(len(centres), contexts.LEAVES)
+
+
+def train_contexts(docs: DataFrame, centres: np.ndarray, held: Broadcast) -> tuple:
+    """(weights, counts of the map): every task learns online over its training texts; averages of all."""
+
+    def run(batches):
+        mixer, n = contexts.ContextMixer(*held.value), 0
+        for before, word, kind in _told(batches, centres):
+            mixer.learn(before, word, kind)
+            n += len(word)
+        if n:
+            values = np.concatenate([mixer.weights.ravel() * n, mixer.seen.ravel()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(values) + 1)), pa.array(np.append(values, n))], names=["place", "value"]
+            )
+        mixer = before = word = kind = None
+        give_back()
+
+    found = docs.where("learn").select("text").mapInArrow(run, "place bigint, value double")
+    # Bounded: one row for each weight and count, and one for the number of words.
+    rows = found.groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").collect()
+    plain = contexts.ContextMixer(*held.value)
+    if not rows:
+        return plain.weights, plain.seen
+    *values, n = (r["value"] for r in rows)
+    size = plain.weights.size
+    weights = np.array(values[:size]) / n
+    return weights.reshape(plain.weights.shape), np.array(values[size:]).reshape(plain.seen.shape)
+
+
 def least_count(words: DataFrame, most: int) -> int:
     """The least count that at most ``most`` words reach, within an eighth of a power of two."""
     step = F.floor(F.log2("c") * 8).cast("int").alias("step")
@@ -579,7 +675,11 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     totals = {r["kind"]: (r["n"], r["once"]) for r in totals.collect()}  # CLASSES rows
     n = sum(x for x, _ in totals.values())
     v = vocabulary.where("all_c > 0").select(bare.alias("bare")).distinct().count()
-    tables = bit_tables(vocabulary)
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    linked, leaves = context_tables(plain, centres)
+    model = broadcast((linked, *contexts.share_tree(leaves, OTHER)))  # fixed size
+    linked = train_contexts(plain, centres, model)
+    tables = broadcast(bit_tables(vocabulary))  # fixed size
     words = spelled(vocabulary, tables, train_mixer(vocabulary, tables))
     base = F.log10((F.col("all_c") + 1) / F.lit(float(n + v + 1)))
     new, size = F.lit(0.5), F.lit(1.0)
@@ -588,22 +688,21 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
         new = F.when(kind == k, F.lit((once + 1) / (of + 2))).otherwise(new)
         size = F.when(kind == k, F.lit(float(max(of, 1)))).otherwise(size)
     share = (1 - OTHER) * F.col("c") / size + OTHER * F.col("all_c") / F.lit(float(max(n, 1)))
-    mixed = F.log10((1 - new) * share + new * F.pow(F.lit(10.0), "spell"))
-    # Never below the letters alone, which need no power of ten.
-    part = F.greatest(mixed, F.col("spell") + F.log10(new))
-    words = materialize(
-        words.select("word", "c", "all_c", base.alias("base"), part.alias("part")), "costs"
-    )
+    # The probability as a known word, before its contexts, and log10 of that as a new one.
+    known, letters = ((1 - new) * share).alias("known"), (F.col("spell") + F.log10(new)).alias("letters")
+    words = materialize(words.select("word", "c", "all_c", base.alias("base"), known, letters), "costs")
+    tables.destroy()
     # Bounded: FREQUENT words.
-    top = words.where(F.col("c") >= least_count(words, FREQUENT)).select("word", "all_c", "base", "part")
+    top = words.where(F.col("c") >= least_count(words, FREQUENT)).select("word", "all_c", "base", "known", "letters")
     held = {bytes(w): x for w, *x in top.toLocalIterator()}
-    frequent = docs.sparkSession.sparkContext.broadcast(held)
+    frequent = broadcast(held)
     del held
     fields = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, part double"
-    fields += ", n_bytes bigint, word binary, n bigint, m bigint, rest array<double>, own array<double>"
+    fields += ", n_bytes bigint, word binary, n bigint, rest array<float>, own array<float>, ratio array<float>"
 
     def run(batches):
-        known = frequent.value
+        known, mixer = frequent.value, contexts.ContextMixer(*model.value)
+        mixer.weights, mixer.seen = linked
         row = TaskContext.get().partitionId() << 40
         with np.errstate(divide="ignore"):
             yes, no = np.log10(hits), np.log10(1 - hits)
@@ -614,24 +713,30 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
                 words, numbers, text, n_bytes = _numbered(some, centres)
                 found = [known.get(w) for w in words]
                 rare = np.array([x is None for x in found])
-                facts = np.array([x or (0, 0.0, 0.0) for x in found], float)
+                facts = np.array([x or (0, 0.0, 0.0, 0.0) for x in found], float)
                 state2, hit2, state1, hit1 = repeats(numbers, text)
                 miss = ~hit2 & ~hit1
                 weight, own = own_shares(numbers, text)
-                # What a rare word costs that the text has had already is worked out at the join.
-                again = miss & (own > 0) & rare[numbers]
-                spelled_ = miss & ~again
+                at_miss = np.flatnonzero(miss)
+                word = contexts.key_hashes(words)[numbers]
+                kind = np.fromiter((w[0] for w in words), np.uint8, len(words))[numbers]
+                before = [x[at_miss] for x in contexts.hashed_contexts(word, kind, text)]
+                ratio = np.ones(len(text))
+                ratio[at_miss] = np.exp(mixer.ratios(before, word[at_miss], kind[at_miss], text[at_miss]))
+                before = word = kind = None
+                # As they travel to the join, where the costs of rare words are worked out.
+                rest, own, ratio = (x.astype(np.float32) for x in (1 - weight, own, ratio))
+                spelled_ = miss & ~rare[numbers]
                 cost = np.where(hit2, yes[0][state2], no[0][state2])
                 cost = cost + np.where(
                     hit2, 0.0, np.where(hit1, yes[1][state1], no[1][state1])
                 )
-                part = np.where(rare, 1.0, 10.0 ** facts[:, 2])[numbers]
-                part = np.where(spelled_, (1 - weight) * part + own, 1.0)
-                # Of words without a share the power of ten may be too small for a double.
-                lone = spelled_ & (own == 0)
-                part = np.where(lone, 1 - weight, part)
-                cost = cost + np.log10(part) + np.where(lone, facts[numbers, 2], 0.0)
-                spelled_ &= rare[numbers]
+                mine, one = numbers[spelled_], rest[spelled_].astype(float)
+                part = facts[mine, 2] * ratio[spelled_] + 10.0 ** facts[mine, 3]
+                with np.errstate(divide="ignore"):
+                    part = np.log10(one * part + own[spelled_])
+                # Never below the letters alone, which need no power of ten.
+                cost[spelled_] += np.maximum(part, np.log10(one) + facts[mine, 3])
                 size = len(some)
                 total = lambda x: np.bincount(text, x, size)  # noqa: E731, B023
                 first = np.arange(row, row + size)
@@ -653,45 +758,54 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
                 keys, back = np.unique(keys, return_inverse=True)
                 count = len(keys)
                 none = pa.nulls(count)
-                late = np.flatnonzero(again[where])
+                late = np.flatnonzero(miss[where])
                 late = late[np.argsort(back[late], kind="stable")]
                 ends = np.cumsum(np.bincount(back[late], minlength=count))
                 lists = [
                     pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(x[where][late]))
-                    for x in (1 - weight, own)
+                    for x in (rest, own, ratio)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(first[keys // len(words)]), *[none.cast(t) for t in types[1:7]],
                      pa.array([words[k] for k in (keys % len(words)).tolist()], pa.binary()),
-                     pa.array(np.bincount(back, minlength=count)),
-                     pa.array(np.bincount(back, spelled_[where], count).astype(np.int64)), *lists],
+                     pa.array(np.bincount(back, minlength=count)), *lists],
                     names=names,
                 )
+        known = mixer = batch = texts = words = found = None
+        give_back()
 
     names = [f.split()[0] for f in fields.split(", ")]
-    types = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-    types += [pa.list_(pa.float64())] * 2
+    types = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.int64(), pa.binary(), pa.int64()]
+    types += [pa.list_(pa.float32())] * 3
     seen = materialize(plain.select("doc_id", "text").mapInArrow(run, fields), "scored")
-    # Each repeated occurrence of a rare word: its share so far in the text mixed with the word's.
+    model.destroy()
+    frequent.destroy()
+    # Each occurrence of a rare word that was not foretold, as above.
+    cost = (
+        "greatest(log10({0}rest{1} * (known * {0}ratio{1} + pow(10D, letters)) + {0}own{1}), "
+        "log10({0}rest{1}) + letters)"
+    )
+    # Most words are rare in the text, too: a single one needs no loop.
     late = F.expr(
-        "aggregate(zip_with(rest, own, (x, y) -> log10(x * pow(10D, part) + y)), 0D, (x, y) -> x + y)"
+        f"if(size(rest) = 1, {cost.format('', '[0]')}, "
+        f"aggregate(arrays_zip(rest, own, ratio), 0D, (sum, x) -> sum + {cost.format('x.', '')}))"
     )
     rest = (
         seen.where("word IS NOT NULL")
-        .select("row", "word", "n", "m", "rest", "own")
+        .select("row", "word", "n", "rest", "own", "ratio")
         .join(words, "word")
         .groupBy("row")
         .agg(
             F.sum(F.when(F.col("all_c") > 0, F.col("n")).otherwise(0)).alias("more_known"),
             F.sum(F.col("n") * F.col("base")).alias("more_base"),
-            F.sum(F.col("m") * F.col("part") + late).alias("more_part"),
+            F.sum(late).alias("more_part"),
         )
     )
     zero = lambda c: F.coalesce(c, F.lit(0))
     score = F.col("part") + zero("more_part") - F.lit(math.log10(len(centres)))
     return (
         seen.where("word IS NULL")
-        .drop("word", "n", "m", "rest", "own")
+        .drop("word", "n", "rest", "own", "ratio")
         .join(rest, "row", "left")
         .select(
             "doc_id",
