@@ -19,6 +19,16 @@ KEPT = "kept"
 # Folders that a task of a split writes at the same time, and bytes that each holds back: with more
 # folders than that Spark sorts the rest.
 WRITERS, HELD = 16, 1 << 25
+# How they are written: lines hardly ever repeat, so a dictionary is no use, but they begin alike.
+PACKED = {
+    "parquet.block.size": str(HELD),
+    "parquet.writer.version": "PARQUET_2_0",
+    "parquet.enable.dictionary": "false",
+    "parquet.page.size": str(1 << 22),
+    "parquet.page.row.count.limit": "1000000",
+    "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "6",
+}
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 # Names of the tables in buckets.
 _bucketed: list[str] = []
@@ -147,7 +157,7 @@ def write_split(df: DataFrame, reason: str, path: str) -> None:
     folder of their own. The path must be new.
 
     There are few reasons, so a task writes all its folders at once and sorts no row. Rows of one folder are much
-    alike, and all of them are written, so they are compressed by zstd.
+    alike, and all of them are written, so they are stored as what differs from the row before and compressed by zstd.
     """
     conf = df.sparkSession.conf
     kept = F.coalesce(F.col(reason), F.lit(KEPT))
@@ -155,7 +165,7 @@ def write_split(df: DataFrame, reason: str, path: str) -> None:
     before = conf.get(_WRITERS, None)
     conf.set(_WRITERS, str(WRITERS))
     try:
-        split.option("parquet.block.size", str(HELD)).option("compression", "zstd").parquet(path)
+        split.options(**PACKED).parquet(path)
     finally:
         conf.unset(_WRITERS) if before is None else conf.set(_WRITERS, before)
 
