@@ -43,9 +43,19 @@ _powered = (np.empty(0, np.uint64), np.empty(0, np.uint64))
 
 _N = np.arange(256.0)
 _DELTA = 0.4
-#: Logit and level of knowledge of a slot: the count of 0 above that of 1, 8 bits each.
-_LOGIT = np.log((_N[None, :] + _DELTA) / (_N[:, None] + _DELTA)).astype(np.float32).ravel()
-_LEVEL = np.searchsorted(KNOWN, (_N[None, :] + _N[:, None]).ravel(), "left").astype(np.uint8)
+# Of halved counts one occurrence is less than 1, which hardly matters.
+_LESS = np.maximum(_N - 1, 0)
+
+
+def _looked_up(n0: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logit and level of knowledge of a slot: the count of 0 above that of 1, 8 bits each."""
+    logit = np.log((n1[None, :] + _DELTA) / (n0[:, None] + _DELTA)).astype(np.float32).ravel()
+    return logit, np.searchsorted(KNOWN, (n1[None, :] + n0[:, None]).ravel(), "left").astype(np.uint8)
+
+
+_LOGIT, _LEVEL = _looked_up(_N, _N)
+#: The same where an occurrence of a 0, then where one of a 1 is taken out.
+_LOGIT_LESS, _LEVEL_LESS = (np.concatenate(x) for x in zip(_looked_up(_LESS, _N), _looked_up(_N, _LESS), strict=True))
 
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,25 +205,25 @@ class ContextMixer:
         return (logit * np.float32(2) + np.float32(BUCKETS / 2)).astype(np.int64)
 
     def _inputs(self, slots, node, first, own=None):
-        """(logits to mix, gate) of a bit; ``own`` occurrences of a 0 and of a 1 are taken out."""
-        inputs, gate = [self.logits.take(first + node)], np.zeros(len(node), np.int64)
+        """(logits to mix, gate) of a bit; of ``own`` bits an occurrence is taken out."""
+        inputs, gate = [self.logits.take(first + node)], 0
         for table, s in zip(self.tables, slots, strict=True):
             n = table.take(s)
-            if own is not None:
-                # Of halved counts one occurrence is less than 1, which hardly matters.
-                zero, one = own
-                n = n - (zero & (n > 255)) * np.uint16(256) - (one & (n & np.uint16(255) > 0))
-            inputs.append(_LOGIT.take(n))
-            gate *= len(KNOWN) + 1
-            gate += _LEVEL.take(n)
-        return inputs, gate
+            if own is None:
+                inputs.append(_LOGIT.take(n))
+                gate = gate * np.uint8(len(KNOWN) + 1) + _LEVEL.take(n)
+            else:
+                n = (n | own << np.uint32(16)).astype(np.int64)
+                inputs.append(_LOGIT_LESS.take(n))
+                gate = gate * np.uint8(len(KNOWN) + 1) + _LEVEL_LESS.take(n)
+        return inputs, gate.astype(np.int64)
 
     def learn(self, contexts: list[np.ndarray], word: np.ndarray, kind: np.ndarray) -> None:
         """One step over some words."""
         first = kind.astype(np.int64) * LEAVES
         for k, bit, node, slots in code_bits(contexts, word):
             one = bit == 1
-            x, gate = self._inputs(slots, node, first, (~one, one))
+            x, gate = self._inputs(slots, node, first, bit)
             weights = self.weights[k]
             mixed = sum(w.take(gate) * v for w, v in zip(weights.T.astype(np.float32), x, strict=True))
             mixed = np.clip(mixed, -LARGEST, LARGEST)
