@@ -86,18 +86,30 @@ def key_hashes(keys: list[bytes]) -> np.ndarray:
     return word_hashes(np.frombuffer(b"".join(keys), np.uint8), starts, ends)
 
 
-def hashed_words(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, number of its text), an end after the words of each text."""
+def cut_words(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(letters, which are blank, where words begin and end in them, number of each word's text) of some texts."""
     flat = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
-    blank = (flat == 0x20) | ((flat >= 0x09) & (flat <= 0x0D))
-    after = np.concatenate([[True], blank])
-    starts, ends = np.flatnonzero(after[:-1] & ~blank), np.flatnonzero(~after[:-1] & blank)
+    blank = (flat == 0x20) | (flat - np.uint8(0x09) < 5)
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edges = np.append(0, edges)
+    starts, ends = edges[::2], edges[1::2]  # the last letter is blank
     sizes = np.fromiter(map(len, raws), np.int64, len(raws))
-    text = np.repeat(np.arange(len(raws)), sizes + 1)[starts]
-    number = np.bincount(text, minlength=len(raws)) + 1
-    out = np.zeros(len(starts) + len(raws), np.uint32)
-    out[np.arange(len(starts)) + text] = word_hashes(flat, starts, ends)
-    return out, np.repeat(np.arange(len(raws)), number)
+    number = np.diff(np.searchsorted(starts, np.append(0, np.cumsum(sizes + 1))))
+    return flat, blank, starts, ends, np.repeat(np.arange(len(raws)), number)
+
+
+def with_ends(values: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values of words and the number of each one's text, an end (0) after the words of each text."""
+    out = np.zeros(len(values) + n_texts, values.dtype)
+    out[np.arange(len(values)) + text] = values
+    return out, np.repeat(np.arange(n_texts), np.bincount(text, minlength=n_texts) + 1)
+
+
+def hashed_words(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, number of its text), an end after the words of each text."""
+    flat, _, starts, ends, text = cut_words(raws)
+    return with_ends(word_hashes(flat, starts, ends), text, len(raws))
 
 
 def hashed_contexts(word: np.ndarray, kind: np.ndarray, text: np.ndarray) -> list[np.ndarray]:
@@ -117,11 +129,8 @@ def hashed_contexts(word: np.ndarray, kind: np.ndarray, text: np.ndarray) -> lis
     return out
 
 
-def code_bits(contexts: list[np.ndarray], word: np.ndarray):
-    """Yield (bit number, bit, node of the tree of codes, slots by context) for all words at once.
-
-    Four bits of a code share a block of sixteen slots.
-    """
+def _blocks(contexts: list[np.ndarray], word: np.ndarray):
+    """Yield (number, code, four bits of it, block of sixteen slots by context) for all words at once."""
     code = word & np.uint32(LEAVES - 1)
     for four in range(CODE // 4):
         prefix = (code >> np.uint32(CODE - 4 * four)) + np.uint32(1 << (4 * four))
@@ -129,14 +138,38 @@ def code_bits(contexts: list[np.ndarray], word: np.ndarray):
         for h in contexts:
             x = h + prefix * np.uint32(0x9E3779B1)
             x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)
-            blocks.append(x >> np.uint32(36 - SLOTS) << np.uint32(4))
+            blocks.append(x >> np.uint32(36 - SLOTS))
         nibble = (code >> np.uint32(CODE - 4 * four - 4)) & np.uint32(15)
-        for b in range(4):
-            within = np.uint32(1 << b) | (nibble >> np.uint32(4 - b))
-            bit = (nibble >> np.uint32(3 - b)) & np.uint32(1)
-            k = 4 * four + b
-            node = np.uint32(1 << k) | (code >> np.uint32(CODE - k))
-            yield k, bit, node, [x | within for x in blocks]
+        yield four, code, nibble, blocks
+
+
+def _nibble_bits(four: int, code: np.ndarray, nibble: np.ndarray):
+    """Yield (bit number, bit, node of the tree of codes, slot within a block)."""
+    for b in range(4):
+        k = 4 * four + b
+        bit = (nibble >> np.uint32(3 - b)) & np.uint32(1)
+        node = np.uint32(1 << k) | (code >> np.uint32(CODE - k))
+        yield k, bit, node, np.uint32(1 << b) | (nibble >> np.uint32(4 - b))
+
+
+def code_bits(contexts: list[np.ndarray], word: np.ndarray):
+    """Yield (bit number, bit, node of the tree of codes, slots by context) for all words at once.
+
+    Four bits of a code share a block of sixteen slots.
+    """
+    for four, code, nibble, blocks in _blocks(contexts, word):
+        for k, bit, node, within in _nibble_bits(four, code, nibble):
+            yield k, bit, node, [x << np.uint32(4) | within for x in blocks]
+
+
+def counted_bits(tables: list[np.ndarray], contexts: list[np.ndarray], word: np.ndarray):
+    """``code_bits`` with what the tables hold in place of slots. A block is fetched once for its four bits."""
+    first = np.arange(0, 16 * len(word), 16)
+    for four, code, nibble, blocks in _blocks(contexts, word):
+        rows = [t.reshape(-1, 16).take(x, axis=0).ravel() for t, x in zip(tables, blocks, strict=True)]
+        for k, bit, node, within in _nibble_bits(four, code, nibble):
+            at = first + within
+            yield k, bit, node, [r.take(at) for r in rows]
 
 
 def leaf(word: np.ndarray, kind: np.ndarray) -> np.ndarray:
@@ -149,11 +182,30 @@ def empty_counts() -> list[np.ndarray]:
     return [np.zeros(1 << SLOTS, np.int64) for _ in range(SPANS)]
 
 
+def count_codes(blocks: list[np.ndarray], contexts: list[np.ndarray], word: np.ndarray) -> None:
+    """Count the four bits of each block, one step for what ``slot_counts`` makes counts of four slots."""
+    for _, _, nibble, found in _blocks(contexts, word):
+        for table, x in zip(blocks, found, strict=True):
+            np.add.at(table, x << np.uint32(4) | nibble, 1)
+
+
+def slot_counts(block: np.ndarray) -> np.ndarray:
+    """Counts of the slots, that of 1 above that of 0, from how often each block had each four bits."""
+    out = np.zeros((len(block) // 16, 16), np.int64)
+    n = block.reshape(-1, 16)
+    for b in range(3, -1, -1):
+        n0, n1 = n[:, ::2], n[:, 1::2]
+        out[:, 1 << b : 2 << b] = n1 << 32 | n0
+        n = n0 + n1  # of the bits before
+    return out.ravel()
+
+
 def count(tables: list[np.ndarray], contexts: list[np.ndarray], word: np.ndarray) -> None:
-    for _, bit, _, slots in code_bits(contexts, word):
-        one = bit.astype(np.int64) * _BELOW + 1
-        for table, s in zip(tables, slots, strict=True):
-            np.add.at(table, s, one)
+    """Add some words to counts of slots; of many words, ``count_codes`` first."""
+    blocks = empty_counts()
+    count_codes(blocks, contexts, word)
+    for table, block in zip(tables, blocks, strict=True):
+        table += slot_counts(block)
 
 
 def packed(counts: np.ndarray) -> bytes:
@@ -204,28 +256,27 @@ class ContextMixer:
         """Two buckets for each unit of logits that are at most LARGEST."""
         return (logit * np.float32(2) + np.float32(BUCKETS / 2)).astype(np.int64)
 
-    def _inputs(self, slots, node, first, own=None):
+    def _inputs(self, counts, node, first, own=None):
         """(logits to mix, gate) of a bit; of ``own`` bits an occurrence is taken out."""
         inputs, gate = [self.logits.take(first + node)], 0
-        for table, s in zip(self.tables, slots, strict=True):
-            n = table.take(s)
-            if own is None:
-                inputs.append(_LOGIT.take(n))
-                gate = gate * np.uint8(len(KNOWN) + 1) + _LEVEL.take(n)
-            else:
-                n = (n | own << np.uint32(16)).astype(np.int64)
-                inputs.append(_LOGIT_LESS.take(n))
-                gate = gate * np.uint8(len(KNOWN) + 1) + _LEVEL_LESS.take(n)
+        logit, level = (_LOGIT, _LEVEL) if own is None else (_LOGIT_LESS, _LEVEL_LESS)
+        half = None if own is None else own << np.uint32(16)
+        for n in counts:
+            n = (n if half is None else n | half).astype(np.int64)
+            inputs.append(logit.take(n))
+            gate = gate * np.uint8(len(KNOWN) + 1) + level.take(n)
         return inputs, gate.astype(np.int64)
 
     def learn(self, contexts: list[np.ndarray], word: np.ndarray, kind: np.ndarray) -> None:
         """One step over some words."""
         first = kind.astype(np.int64) * LEAVES
-        for k, bit, node, slots in code_bits(contexts, word):
+        for k, bit, node, counts in counted_bits(self.tables, contexts, word):
             one = bit == 1
-            x, gate = self._inputs(slots, node, first, bit)
+            x, gate = self._inputs(counts, node, first, bit)
             weights = self.weights[k]
-            mixed = sum(w.take(gate) * v for w, v in zip(weights.T.astype(np.float32), x, strict=True))
+            mixed = np.zeros(len(word), np.float32)
+            for w, v in zip(weights.T.astype(np.float32), x, strict=True):
+                mixed += w.take(gate) * v
             mixed = np.clip(mixed, -LARGEST, LARGEST)
             p = 1 / (1 + np.exp(-mixed))
             seen = np.bincount(self.bucket(mixed) * 2 + bit, minlength=2 * BUCKETS)
@@ -273,8 +324,8 @@ class ContextMixer:
             errors, bends = np.zeros((2, len(own), len(at)), np.float32)
             first = kind[at].astype(np.int64) * LEAVES
             total = np.ones(len(at))  # a product of CODE factors of some 0.0002 at least
-            for k, bit, node, slots in code_bits([c[at] for c in contexts], word[at]):
-                x, gate = self._inputs(slots, node, first)
+            for k, bit, node, counts in counted_bits(self.tables, [c[at] for c in contexts], word[at]):
+                x, gate = self._inputs(counts, node, first)
                 mixed = np.zeros(len(at), np.float32)
                 for w, d, v in zip(self.weights[k].T.astype(np.float32), own, x, strict=True):
                     mixed += (w.take(gate) + d) * v

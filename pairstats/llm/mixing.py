@@ -22,9 +22,11 @@ up, so everything is learned from all training texts; the tables' size is a para
 from __future__ import annotations
 
 import math
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +39,8 @@ from pairstats.sinks.stage import materialize
 ORDERS = {1: 19, 2: 21, 3: 22, 4: 22}
 #: Classes of texts (at most 8), weighted centres that a task sums its texts up in, and hashed letter pairs.
 CLASSES, CENTRES, PAIRS = 8, 32, 1024
-#: Texts a task sums up at once, and tasks whose centres are summed up together.
-SUMMED, MERGED = 1000, 64
+#: Texts a task sums up at once, tasks whose centres are summed up together, and texts whose pairs are counted at once.
+SUMMED, MERGED, PAIRED = 1000, 64, 20
 #: Weight of all classes' word shares beside those of the text's own class.
 OTHER = 0.05
 #: Words whose shares and bits every task knows; the rest is joined.
@@ -306,12 +308,25 @@ def _raw(texts: pa.Array) -> list[bytes]:
 
 def letter_pairs(raw: bytes) -> np.ndarray:
     """Square roots of the shares of hashed pairs of letters of the whole text, lower-cased."""
-    if len(raw) < 2:
-        return np.full(PAIRS, PAIRS**-0.5)
-    x = np.frombuffer(raw, np.uint8).astype(np.uint16)
-    # Products may wrap: PAIRS divides what they wrap at.
-    counts = np.bincount((x[:-1] * np.uint16(167) + x[1:] * np.uint16(31)) & np.uint16(PAIRS - 1), minlength=PAIRS)
-    return np.sqrt(counts / counts.sum())
+    return _letter_pairs([raw])[0]
+
+
+def _letter_pairs(raws: list[bytes]) -> np.ndarray:
+    """``letter_pairs`` of some texts, few at once for little memory."""
+    out = np.full((len(raws), PAIRS), PAIRS**-0.5)
+    for at in range(0, len(raws), PAIRED):
+        some = raws[at : at + PAIRED]
+        sizes = np.fromiter(map(len, some), np.int64, len(some))
+        x = np.frombuffer(b"".join(some) + b" ", np.uint8).astype(np.uint16)
+        # Products may wrap: PAIRS divides what they wrap at.
+        pair = (x[:-1] * np.uint16(167) + x[1:] * np.uint16(31)) & np.uint16(PAIRS - 1)
+        place = np.repeat(np.arange(len(some)) * PAIRS, sizes) + pair
+        counts = np.bincount(place, minlength=len(some) * PAIRS)
+        # The last letter of a text makes no pair with what comes after it.
+        counts -= np.bincount(place[np.cumsum(sizes)[sizes > 0] - 1], minlength=len(counts))
+        long = sizes > 1
+        out[at : at + PAIRED][long] = np.sqrt(counts.reshape(-1, PAIRS)[long] / (sizes[long, None] - 1))
+    return out
 
 
 def weighted_centres(
@@ -364,8 +379,8 @@ def find_classes(docs: DataFrame) -> np.ndarray:
         x, weight = np.empty((0, PAIRS), np.float32), np.empty(0)
         for batch in batches:
             for at in range(0, batch.num_rows, SUMMED):
-                more = [letter_pairs(t) for t in _raw(batch.column("text").slice(at, SUMMED))]
-                x = np.concatenate([x, np.array(more, np.float32)])
+                more = _letter_pairs(_raw(batch.column("text").slice(at, SUMMED)))
+                x = np.concatenate([x, more.astype(np.float32)])
                 weight = np.concatenate([weight, np.ones(len(more))])
                 x, weight = weighted_centres(x, weight, CENTRES, 2, False)
         if len(x):
@@ -429,7 +444,7 @@ def repeats(ids: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     two[2:] = np.where(fresh[2:] | fresh[1:-1], -1, ids[:-2])
     out, foretold = [], None
     for keys in ((two, one, text), (one, text)):
-        order = _order(*keys)
+        order = _order(*keys[:-1])  # of one key in the order of their places, and so of texts
         same = np.ones(n - 1, bool)
         for k in keys:
             k = k[order]
@@ -455,7 +470,7 @@ def own_shares(ids: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarra
     place = np.arange(n)
     starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
     so_far = place - np.repeat(starts, np.diff(np.concatenate([starts, [n]])))
-    order = _order(ids, text)
+    order = _order(ids)  # of one word in the order of their places, and so of texts
     new = np.ones(n, bool)
     sorted_ids, sorted_text = ids[order], text[order]
     new[1:] = (sorted_ids[1:] != sorted_ids[:-1]) | (sorted_text[1:] != sorted_text[:-1])
@@ -466,72 +481,88 @@ def own_shares(ids: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return weight, weight * np.maximum(times - LESS, 0) / np.maximum(so_far, 1)
 
 
-def _numbered(texts: pa.Array, centres: np.ndarray):
+def _coded(texts: pa.Array, centres: np.ndarray):
     """(distinct keys, number of each word's key, number of its text, bytes of each text).
 
     A key is the text's class as a byte, then the word; the end is a class alone.
     """
     raws = _raw(texts)
     kinds = _kinds(raws, centres)
-    words, lengths = [], []
-    for t in raws:
-        found = t.split()
-        found.append(b"")
-        lengths.append(len(found))
-        words += found
-    coded = pa.array(words, pa.binary()).dictionary_encode()
-    text = np.repeat(np.arange(len(raws)), lengths)
+    flat, blank, starts, ends, text = contexts.cut_words(raws)
+    lengths, text = contexts.with_ends(ends - starts, text, len(raws))
+    # Letters without blanks lie as Arrow has them.
+    buffers = [None, pa.py_buffer(np.append(0, np.cumsum(lengths))), pa.py_buffer(flat[~blank])]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(lengths), buffers).dictionary_encode()
     # A word is numbered once for each class that has it.
-    plain = _listed(coded.dictionary)
-    ids = kinds[text] * len(plain) + coded.indices.to_numpy()
-    used = np.zeros(len(centres) * len(plain), np.int64)
+    n = len(coded.dictionary)
+    ids = kinds[text] * n + coded.indices.to_numpy()
+    used = np.zeros(len(centres) * n, np.int64)
     used[ids] = 1
     number = np.cumsum(used) - 1
-    kind, word = np.divmod(np.flatnonzero(used), len(plain))
-    heads = [bytes([k]) for k in range(len(centres))]
-    keys = [heads[k] + plain[w] for k, w in zip(kind.tolist(), word.tolist(), strict=True)]
+    kind, word = np.divmod(np.flatnonzero(used), n)
+    heads = pa.array([bytes([k]) for k in range(len(centres))], pa.large_binary())
+    none = pa.scalar(b"", pa.large_binary())
+    keys = pc.binary_join_element_wise(heads.take(pa.array(kind)), coded.dictionary.take(pa.array(word)), none)
     return keys, number[ids], text, np.fromiter(map(len, raws), np.int64, len(raws))
 
 
+def _numbered(texts: pa.Array, centres: np.ndarray):
+    """``_coded`` with keys as bytes."""
+    keys, *found = _coded(texts, centres)
+    return _listed(keys), *found
+
+
 def _counted(docs: DataFrame, centres: np.ndarray) -> DataFrame:
     """(kind, word, c, n): of words, training and all occurrences, added up within a task.
 
     Kinds 2 and 1 are states after two and one words, with hits and occurrences in training texts.
     """
 
-    def rows(kind: int, words: list[bytes], c, n):
+    def rows(kind: int, words, c, n):
         return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * len(words), pa.int32()), pa.array(words, pa.binary()),
+            [pa.array([kind] * len(words), pa.int32()), words.cast(pa.binary()),
              pa.array(c, pa.int64()), pa.array(n, pa.int64())],
             names=["kind", "word", "c", "n"],
         )
 
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return sums.rename_columns({"c_sum": "c"}).select(["word", "c"])
+
+    def told(counts: pa.Table):
+        for part in counts.combine_chunks().to_batches():
+            yield rows(0, part.column("word"), part.column("c"), [0] * part.num_rows)
+
     def run(batches):
-        counts: dict[bytes, int] = {}
+        parts: list[pa.Table] = []
+        held = 0
         states = np.zeros((2, RUNS + 1, 2), np.int64)
         for batch in batches:
             texts, learn = batch.column("text"), batch.column("learn").to_numpy(False)
             for at in range(0, len(texts), 500):
-                words, ids, text, _ = _numbered(texts.slice(at, 500), centres)
+                words, ids, text, _ = _coded(texts.slice(at, 500), centres)
                 mine = learn[at : at + 500][text]
-                c = np.bincount(ids, mine, len(words)).astype(np.int64).tolist()
-                for w, k in zip(words, c, strict=True):
-                    counts[w] = counts.get(w, 0) + k
+                c = np.bincount(ids, mine, len(words)).astype(np.int64)
+                parts.append(pa.table({"word": words, "c": c}))
+                held += len(words)
                 found = repeats(ids, text)
                 for k in (0, 1):
                     state, hit = found[2 * k], found[2 * k + 1]
                     use = mine if not k else mine & ~found[1]
                     for j, part in enumerate((use & hit, use)):
                         states[k, :, j] += np.bincount(state[part], minlength=RUNS + 1)
-                if len(counts) > COUNTED:
-                    yield rows(0, list(counts), list(counts.values()), [0] * len(counts))
-                    counts.clear()
-        if counts:
-            yield rows(0, list(counts), list(counts.values()), [0] * len(counts))
+                if held > 2 * COUNTED:
+                    parts = [summed(parts)]
+                    held = parts[0].num_rows
+                    if held > COUNTED:
+                        yield from told(parts[0])
+                        parts, held = [], 0
+        if parts:
+            yield from told(summed(parts))
         for k in (0, 1):
-            keys = [bytes([s]) for s in range(RUNS + 1)]
+            keys = pa.array([bytes([s]) for s in range(RUNS + 1)])
             yield rows(2 - k, keys, states[k, :, 0], states[k, :, 1])
-        counts = batch = texts = words = ids = text = learn = mine = found = None
+        parts = batch = texts = words = ids = text = learn = mine = found = c = None
         give_back()
 
     return docs.select("text", "learn").mapInArrow(run, "kind int, word binary, c bigint, n bigint")
@@ -539,7 +570,7 @@ def _counted(docs: DataFrame, centres: np.ndarray) -> DataFrame:
 
 def _kinds(raws: list[bytes], centres: np.ndarray) -> np.ndarray:
     """The class of each text."""
-    return np.argmax(np.array([letter_pairs(t) for t in raws]) @ centres.T, 1)
+    return np.argmax(_letter_pairs(raws) @ centres.T, 1)
 
 
 def _told(batches, centres: np.ndarray):
@@ -565,9 +596,10 @@ def context_tables(docs: DataFrame, centres: np.ndarray) -> tuple[list[np.ndarra
     def fill(batches):
         tables = [*contexts.empty_counts(), np.zeros(leaves, np.int64)]
         for before, word, kind in _told(batches, centres):
-            contexts.count(tables[:-1], before, word)
+            contexts.count_codes(tables[:-1], before, word)
             tables[-1] += np.bincount(contexts.leaf(word, kind), minlength=leaves)
         for span, table in enumerate(tables):
+            table = contexts.slot_counts(table) if span < contexts.SPANS else table
             for part, at in enumerate(range(0, len(table), contexts.PART)):
                 counts = table[at : at + contexts.PART]
                 if counts.any():
@@ -694,14 +726,19 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     tables.destroy()
     # Bounded: FREQUENT words.
     top = words.where(F.col("c") >= least_count(words, FREQUENT)).select("word", "all_c", "base", "known", "letters")
-    held = {bytes(w): x for w, *x in top.toLocalIterator()}
-    frequent = broadcast(held)
-    del held
+    held, facts = {}, array("d")
+    for w, *x in top.toLocalIterator():
+        held[bytes(w)] = len(held)
+        facts.extend(x)
+    # The last row is that of words not held.
+    facts = np.append(np.frombuffer(facts), np.zeros(4)).reshape(-1, 4)
+    frequent = broadcast((held, facts))
+    del held, facts
     fields = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, part double"
     fields += ", n_bytes bigint, word binary, n bigint, rest array<float>, own array<float>, ratio array<float>"
 
     def run(batches):
-        known, mixer = frequent.value, contexts.ContextMixer(*model.value)
+        (known, costs), mixer = frequent.value, contexts.ContextMixer(*model.value)
         mixer.weights, mixer.seen = linked
         row = TaskContext.get().partitionId() << 40
         with np.errstate(divide="ignore"):
@@ -711,9 +748,8 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
             for at in range(0, len(texts), 500):
                 some = texts.slice(at, 500)
                 words, numbers, text, n_bytes = _numbered(some, centres)
-                found = [known.get(w) for w in words]
-                rare = np.array([x is None for x in found])
-                facts = np.array([x or (0, 0.0, 0.0, 0.0) for x in found], float)
+                found = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+                rare, facts = found < 0, costs[found]
                 state2, hit2, state1, hit1 = repeats(numbers, text)
                 miss = ~hit2 & ~hit1
                 weight, own = own_shares(numbers, text)
@@ -771,7 +807,7 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
                      pa.array(np.bincount(back, minlength=count)), *lists],
                     names=names,
                 )
-        known = mixer = batch = texts = words = found = None
+        known = costs = mixer = batch = texts = words = found = facts = None
         give_back()
 
     names = [f.split()[0] for f in fields.split(", ")]

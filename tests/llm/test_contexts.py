@@ -107,3 +107,33 @@ def test_counts_travel_whole():
     small = contexts.eight_bits(counts)
     assert small[:3].tolist() == [0, 256, 150] and small[4] == 255 << 8
     assert abs((small[3] >> 8) / (small[3] & 255) - 2) < 0.02
+
+
+def test_blocks_are_counted_and_fetched_once():
+    """One step for four bits counts every slot, and a block's counts are those of its slots."""
+    rng = np.random.default_rng(2)
+    word = rng.integers(0, 1 << 32, 3000, np.uint32)
+    word[::3] = word[0]
+    none = np.zeros(len(word), np.int64)
+    before = contexts.hashed_contexts(word, none, none)
+    blocks = contexts.empty_counts()
+    contexts.count_codes(blocks, before[:], word)
+    tables = [contexts.slot_counts(b) for b in blocks]
+    want = [collections.Counter() for _ in tables]
+    for _, bit, _, slots in contexts.code_bits(before, word):
+        for n, s in zip(want, slots, strict=True):
+            n.update((int(i), int(b)) for i, b in zip(s, bit, strict=True))
+    for table, n in zip(tables, want, strict=True):
+        assert table.nonzero()[0].tolist() == sorted({s for s, _ in n})
+        assert all(table[s] == n[s, 0] + (n[s, 1] << 32) for s, _ in n)
+    pairs = zip(contexts.code_bits(before, word), contexts.counted_bits(tables, before, word), strict=True)
+    for (k, bit, node, slots), (k2, bit2, node2, counts) in pairs:
+        assert k == k2 and (bit == bit2).all() and (node == node2).all()
+        assert all((t[s] == c).all() for t, s, c in zip(tables, slots, counts, strict=True))
+
+
+def test_words_are_cut_as_python_cuts_them():
+    for raws in ([], [b""], [b" ", b"", b"a"], [b"\ta  b\n", b"c", b"\x0b\x0c\r", b"\x08d\x0e e\x1c "]):
+        flat, _, starts, ends, text = contexts.cut_words(raws)
+        got = [(t, flat[s:e].tobytes()) for t, s, e in zip(text.tolist(), starts, ends, strict=True)]
+        assert got == [(i, w) for i, raw in enumerate(raws) for w in raw.split()]

@@ -137,3 +137,31 @@ def test_repeats_and_own_shares_beside_looking_back():
             assert math.isclose(weight[at + i], x)
             assert math.isclose(own[at + i], x * max(t[:i].count(w) - mixing.LESS, 0) / max(i, 1))
         at += len(t)
+
+
+def test_letter_pairs_of_texts_are_theirs_alone(monkeypatch):
+    raws = [b"", b"a", b"ab", b"the end", b"", b"z" * 300, bytes(range(256))]
+    monkeypatch.setattr(mixing, "PAIRED", 3)
+    for some, raw in zip(mixing._letter_pairs(raws), raws, strict=True):
+        want = np.zeros(mixing.PAIRS)
+        for x, y in zip(raw, raw[1:]):
+            want[(x * 167 + y * 31) % mixing.PAIRS] += 1
+        want = want / want.sum() if len(raw) > 1 else np.full(mixing.PAIRS, 1 / mixing.PAIRS)
+        assert np.allclose(some**2, want)
+
+
+def test_words_counted_in_parts_add_up(spark, monkeypatch):
+    """Few words held at once: counts passed on early lose none."""
+    rows = [(" ".join(f"w{(i * k) % 50}" for k in range(40)), i % 3 > 0) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "text string, learn boolean").coalesce(1)
+    centres = np.ones((1, mixing.PAIRS))
+    want = {}
+    for text, learn in rows:
+        for w in [*text.split(), ""]:
+            want[b"\0" + w.encode()] = want.get(b"\0" + w.encode(), 0) + learn
+    counted = {}
+    for most in (600_000, 10):
+        monkeypatch.setattr(mixing, "COUNTED", most)
+        found = mixing._counted(docs, centres).where("kind = 0").groupBy("word").agg(F.sum("c").alias("c"))
+        counted[most] = {bytes(r.word): r.c for r in found.collect()}
+    assert counted[10] == counted[600_000] == want
