@@ -27,7 +27,7 @@ PACKED = {
     "parquet.page.size": str(1 << 22),
     "parquet.page.row.count.limit": "1000000",
     "compression": "zstd",
-    "parquet.compression.codec.zstd.level": "6",
+    "parquet.compression.codec.zstd.level": "9",
 }
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 # Names of the tables in buckets.

@@ -83,9 +83,13 @@ def split_scored_lines(
         "value", F.inline(F.array(F.struct(*_cut(F.col("_parts"))))).alias("_n", "_key", "_rest")
     )
     reason = _reject_reason(F.col("_n"), F.col("_key"), F.col("_rest"), values)
-    judged = cut.select("value", reason.alias("reason"))
+    # Written as what is before the first TAB, and the TAB with what follows: each is more alike from line to line.
+    first = F.substring_index("value", "\t", 1)
+    rest = F.expr("substring(cast(value AS binary), octet_length(substring_index(value, '\t', 1)) + 1)")
+    judged = cut.select(first.alias("_first"), rest.cast("string").alias("_rest"), reason.alias("reason"))
+    whole = F.concat("_first", "_rest").alias("value")
     good, rejects = split_written(judged, "reason", "scored_lines")
-    return parse_scored_lines(good, values), rejects
+    return parse_scored_lines(good.select(whole), values), rejects.select(whole, "reason")
 
 
 def split_scored_text(

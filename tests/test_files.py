@@ -405,3 +405,19 @@ def test_a_split_sorts_no_row(spark, settings, monkeypatch):
     assert good.columns == ["line"] and rejects.columns == ["line", "reason"]
     assert good.count() + rejects.count() == 60
     assert seen == [str(stage.WRITERS)] and spark.conf.get(stage._WRITERS) == "0"
+
+
+def test_scored_lines_are_written_in_two_parts_and_whole_again(spark, monkeypatch):
+    """Any bytes come back as they were; what is written takes little more than its words."""
+    from pairstats.sources import scored
+
+    written = []
+    split = scored.split_written
+    monkeypatch.setattr(scored, "split_written", lambda df, *x: written.append(df.columns) or split(df, *x))
+    bad = [b"\t", b"a", b"a\t\t", b"\ta\t b", b" ", b"x\xe2\ty \xe2\x82\t\xff", "€\tא ב".encode(), b"1 a b\tx"]
+    lines = spark.createDataFrame([(x,) for x in [*bad, b"", b"1990 a b\xe2\t5", None]], "b binary")
+    kept, rejects = split_scored_lines(lines.select(F.expr("cast(b AS string)").alias("value")), {"n": "bigint"})
+    assert written == [["_first", "_rest", "reason"]]
+    got = rejects.selectExpr("cast(value AS binary) AS b", "reason").collect()
+    assert sorted(bytes(r.b) for r in got) == sorted(bad) and all(r.reason for r in got)
+    assert rejects.columns == ["value", "reason"] and kept.select("period", "n").collect() == [(1990, 5)]
